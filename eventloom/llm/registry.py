@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, sharding
+from . import bpe, langid, neighbours, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_neighbours": neighbours.op1_neighbours,
     "op2_bpe": bpe.op2_bpe,
     "op6_sharding": sharding.op6_sharding,
+    "op7_langid": langid.op7_langid,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op1_neighbours": neighbours.SQL}
