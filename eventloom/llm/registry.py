@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, neighbours, sharding
+from . import bpe, langid, neighbours, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": neighbours.op1_neighbours,
     "op2_bpe": bpe.op2_bpe,
     "op6_sharding": sharding.op6_sharding,
     "op7_langid": langid.op7_langid,
+    "op10_warc": warc.op10_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_neighbours": neighbours.SQL}
+ORACLE_SQL: dict[str, str] = {"op1_neighbours": neighbours.SQL, "op10_warc": warc.SQL}
