@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, langid, near_dup, neighbours, sharding, warc
+from . import bpe, decontaminate, langid, line_dedup, near_dup, neighbours, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": neighbours.op1_neighbours,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontamination": decontaminate.op5_decontamination,
     "op6_sharding": sharding.op6_sharding,
     "op7_langid": langid.op7_langid,
+    "op8_line_dedup": line_dedup.op8_line_dedup,
     "op10_warc": warc.op10_warc,
 }
 
