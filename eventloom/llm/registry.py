@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, langid, line_dedup, near_dup, neighbours, sharding, warc
+from . import bpe, decontaminate, langid, line_dedup, near_dup, neighbours, pii, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": neighbours.op1_neighbours,
     "op2_bpe": bpe.op2_bpe,
     "op3_near_dup": near_dup.op3_near_dup,
+    "op4_pii": pii.op4_pii,
     "op5_decontamination": decontaminate.op5_decontamination,
     "op6_sharding": sharding.op6_sharding,
     "op7_langid": langid.op7_langid,
