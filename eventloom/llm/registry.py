@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, langid, line_dedup, near_dup, neighbours, pii, sharding, warc
+from . import bpe, decontaminate, html_text, langid, line_dedup, near_dup, neighbours, pii, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": neighbours.op1_neighbours,
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_sharding": sharding.op6_sharding,
     "op7_langid": langid.op7_langid,
     "op8_line_dedup": line_dedup.op8_line_dedup,
+    "op9_html_text": html_text.op9_html_text,
     "op10_warc": warc.op10_warc,
 }
 
