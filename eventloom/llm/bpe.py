@@ -284,3 +284,8 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text of documents, encoded and decoded."""
     return bpe(table(spark, sf_dir, "documents"), vocabulary())
+
+
+def stage_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document that is left, with digests of the ids and of the decoded text."""
+    return bpe(docs, vocabulary(), keep=("doc_id", "lang", "source"), ids=True)

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, let, table
 
 KINDS = ["email", "ip", "card", "phone"]
 # The base patterns. Possessive repeats and a look at the character before only spare backtracking: a
@@ -33,11 +33,6 @@ LABELERS = 6
 BLOCK = 128
 
 
-def let(x: Column, use: Callable[[Column], Column]) -> Column:
-    """use(x), with x computed once."""
-    return F.transform(F.array(x), use)[0]
-
-
 def _digits(s: Column) -> Column:
     return F.regexp_replace(s, "[^0-9]", "")
 
