@@ -270,7 +270,7 @@ def bpe(df: DataFrame, spec: str, *, text: str = "text", keep: tuple[str, ...] =
                     out.append(pa.array([hashlib.sha256(x[1].encode("utf-8")).hexdigest() for x in got], pa.string()))
                 yield pa.RecordBatch.from_arrays(out, [*keep, "n_tokens", *[n for n, _, on in more if on]])
 
-    return df.select(*keep, text).mapInArrow(run, schema)
+    return df.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:

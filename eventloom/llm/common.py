@@ -46,9 +46,10 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def partitions_for(spark: SparkSession, rows: int, per_task: int) -> int:
-    """Enough partitions for rows at per_task rows a task, and no fewer than the session's own number."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_task))
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """df without columns of these names, whatever their case."""
+    low = {n.lower() for n in names}
+    return df.drop(*[c for c in df.columns if c.lower() in low])
 
 
 def let(x: Column, use: Callable[[Column], Column]) -> Column:
@@ -56,7 +57,7 @@ def let(x: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(x), use)[0]
 
 
-def grouped(df: DataFrame, key: str, fn: Callable[[dict[str, np.ndarray | pa.Array], np.ndarray], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def grouped(df: DataFrame, key: str, fn: Callable[[pa.Table, np.ndarray], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """Deal df by key and call fn with runs of whole groups.
 
     fn gets an Arrow table sorted by key and the offsets at which its groups begin (with the end). Unlike

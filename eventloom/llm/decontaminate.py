@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, without
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BITS = 20
@@ -198,8 +198,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", i
     Items go to the workers in parts of about part_chars characters, one pass over docs for each part, so what is
     broadcast stays bounded however large the benchmark is. Null or empty texts contain nothing; null or empty items
     are left out; repeated rows give repeated rows; texts are searched whole, in stretches of bounded memory that
-    overlap by a region. All other columns pass through; `out` must not be among them. No shuffle.
+    overlap by a region. All other columns pass through; a column named `out` is replaced. No shuffle.
     """
+    docs = without(docs, out)
     spark, names, result, first = docs.sparkSession, docs.columns, docs, True
     for items in _parts(benchmark, item_id, item_text, part_chars):
         if first or items:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, fresh, table, without
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 NAMED = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -163,14 +163,16 @@ def main_text(pages: DataFrame, *, url: str = "url", html: str = "html", out: st
     Character references are decoded, white space inside a block is one space, blocks are joined in page order by
     one space. A null or empty html, or one without content, gives ''; truncated markup is read as far as it goes; a
     page of a host with few pages is read without a template; null urls are one host. Repeated rows give repeated
-    rows; other columns pass through; `out` must not be among them. Templates go to the workers by broadcast if
+    rows; other columns pass through, but one named `out` is replaced. Templates go to the workers by broadcast if
     there are at most broadcast_hosts of them, by a shuffled join if there are more.
     """
+    pages = without(pages, out)
     names = pages.columns
-    known = cut(templates(pages, url=url, html=html))
+    host, template = fresh(pages, "host", "template")
+    known = cut(templates(pages, url=url, html=html)).toDF("of_host", template)
     few = known.count() <= broadcast_hosts
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema)
-    all_of = pages.withColumns({"host_": host_of(url)}).join(F.broadcast(known) if few else known, F.col("host_") == known["host"], "left")
+    all_of = pages.withColumn(host, host_of(url)).join(F.broadcast(known) if few else known, F.col(host) == known["of_host"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, frozenset[int]] = {}
@@ -178,15 +180,15 @@ def main_text(pages: DataFrame, *, url: str = "url", html: str = "html", out: st
             for at in range(0, b.num_rows, 64):
                 part = b.slice(at, 64)
                 got = []
-                for host, template, page in zip(part["host_"].to_pylist(), part["template"], part[html].to_pylist()):
-                    if host not in seen:
+                for name, tokens, page in zip(part[host].to_pylist(), part[template], part[html].to_pylist()):
+                    if name not in seen:
                         if len(seen) > 1000:
                             seen.clear()
-                        seen[host] = frozenset(template.as_py() or ())
-                    got.append(extract(page or "", seen[host]))
+                        seen[name] = frozenset(tokens.as_py() or ())
+                    got.append(extract(page or "", seen[name]))
                 yield pa.RecordBatch.from_arrays([*[part[n] for n in names], pa.array(got, pa.string())], [*names, out])
 
-    return all_of.select(*names, "host_", "template").mapInArrow(run, f"{kinds}, `{out}` string")
+    return all_of.select(*names, host, template).mapInArrow(run, f"{kinds}, `{out}` string")
 
 
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

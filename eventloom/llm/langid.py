@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import SuffixAutomaton
-from .common import table
+from .common import table, without
 
 UNKNOWN = "und"
 RUN = re.compile(r"[^\W\d_]+")
@@ -83,7 +83,7 @@ class Parser:
         total = 0
         for w in RUN.findall(c.lower()):
             s = f" {w} "
-            total += len(w)
+            total += sum(map(str.isalpha, w))
             for i, nxt in enumerate(self.trees, 1):
                 total += self.phrases(nxt, s) << (self.FIELD * i)
         return total
@@ -112,9 +112,10 @@ def identify(docs: DataFrame, model: dict[str, list[str]], *, text: str = "text"
 
     A text is parsed whole, word by word: a phrase is the longest stretch from its start that occurs in the
     labelled words of a language, word ends included. `und` with score 0 if the text is null, has no letter, or
-    the model is empty. All other columns pass through; the two new names must not be among them. No shuffle.
+    the model is empty. All other columns pass through; columns of the two new names are replaced. No shuffle.
     The model is bounded by train() and goes to the workers as a broadcast value.
     """
+    docs = without(docs, lang_out, score_out)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,14 @@ def products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return total
 
 
+def distinct_rows(ids: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """ids and vectors without repeated rows. A block holds all rows of an id."""
+    if len(np.unique(ids)) == len(ids):
+        return ids, x
+    kept = list({(int(i), v.tobytes()): n for n, (i, v) in enumerate(zip(ids, x))}.values())
+    return ids[kept], x[kept]
+
+
 def tile_top(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each query of a tile, its k best candidates in it: ids and exact scores, best first, ties to smaller ids.
 
@@ -69,8 +78,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 20, id: str = "v
 
     Every query meets every row once, in tiles of at most about query_block queries and block rows; a tile's
     matrices bound a task's memory. Vectors that are not valid(), or whose id is null, take no part; vectors meet
-    only those of their own length; a row is never its own neighbour, nor is another row of the same id; repeated
-    (id, score) pairs of a query are given once; ties go to the smaller id. No valid vector or query: no rows.
+    only those of their own length; a row is never its own neighbour, nor is another row of the same id; rows equal
+    in id and vector count once; ties go to the smaller id. No valid vector or query: no rows.
     """
     spark = vectors.sparkSession
     vectors = vectors.filter(F.col(id).isNotNull() & valid(vector)).select(F.col(id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("x"))
@@ -93,8 +102,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 20, id: str = "v
                 mine = [np.flatnonzero((length == d) & (side == s)) for s in (1, 0)]
                 if not len(mine[0]) or not len(mine[1]):
                     continue
-                q, c = (flat[at[m][:, None] + np.arange(d)[None, :]] for m in mine)
-                got += tile_top(ids[mine[0]], q, ids[mine[1]], c, k)
+                (i, q), (j, c) = (distinct_rows(ids[m], flat[at[m][:, None] + np.arange(d)[None, :]]) for m in mine)
+                got += tile_top(i, q, j, c, k)
             yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.list_(pa.int64())), pa.array([g[2] for g in got], pa.list_(pa.float64()))], ["query_id", "ids", "scores"])
 
     best = grouped(left.unionByName(right), "tile", tiles, "query_id long, ids array<long>, scores array<double>")
@@ -113,14 +122,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 20, id: str = "v
                     if held:
                         yield out()
                     now, held = q, []
-                both = heapq.merge(held, zip((-s for s in scores), ids))
-                held, last = [], None
-                for x in both:
-                    if x != last:
-                        held.append(x)
-                        last = x
-                        if len(held) == k:
-                            break
+                held = list(islice(heapq.merge(held, zip((-s for s in scores), ids)), k))
         if held:
             yield out()
 

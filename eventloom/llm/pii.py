@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, let, table
+from .common import cut, let, table, without
 
 KINDS = ["email", "ip", "card", "phone"]
 # The base patterns. Possessive repeats and a look at the character before only spare backtracking: a
@@ -176,11 +176,12 @@ def find_pii(docs: DataFrame, *, text: str = "text", spans: str = "pii", thresho
 
     Votes and features are kept in a checkpoint without the texts. What reaches the driver are counts of vote
     patterns (3^6 at most) and of feature values (under 200); both are sums over all rows. Null or empty texts have
-    no spans; repeated rows give repeated rows; all other columns pass through. Nothing is shuffled but counts.
+    no spans; repeated rows give repeated rows; all other columns pass through, but one named `spans` is replaced. Nothing is shuffled but counts.
     """
+    docs = without(docs, spans)
     names = [c for c in docs.columns if c != text]
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    some = docs.select(*[F.col(f"`{c}`") for c in names], F.when(t.rlike("[0-9@]"), t).alias("t_"))
+    some = docs.select(*[F.col(f"`{c}`").alias(f"in_{k}") for k, c in enumerate(names)], F.when(t.rlike("[0-9@]"), t).alias("t_"))
     none = "array<struct<start:int,kind:int,end:int>>"
     some = some.withColumn("b_", F.when(F.col("t_").isNotNull(), base_spans(F.col("t_"))).otherwise(F.array().cast(none)))
     some = some.withColumn("c_", F.when(F.col("t_").isNotNull(), candidates(F.col("t_"), F.col("b_"))))
@@ -205,7 +206,7 @@ def find_pii(docs: DataFrame, *, text: str = "text", spans: str = "pii", thresho
     own = F.transform("b_", lambda b: F.struct(b["start"].alias("start"), b["kind"].alias("kind"), b["end"].alias("end"), F.lit(True).alias("base")))
     added = F.filter(F.coalesce(F.col("c_"), F.array()), lambda c: ~c["base"] & (weight(c) >= least))
     added = F.transform(added, lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"), F.lit(False).alias("base")))
-    return found.select(*names, F.array_sort(F.concat(own, added)).alias(spans))
+    return found.select(*[F.col(f"in_{k}").alias(c) for k, c in enumerate(names)], F.array_sort(F.concat(own, added)).alias(spans))
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,422 @@
+"""The operators against brute force, SQL, round trips and held-out rows; and their edge cases."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import sys
+from collections import Counter, defaultdict
+from pathlib import Path
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, str(Path(__file__).parent))
+import brute  # noqa: E402
+
+from eventloom.llm import bpe, decontaminate, html_text, langid, line_dedup, near_dup, neighbours, pii, sharding, warc  # noqa: E402
+from eventloom.llm.common import components  # noqa: E402
+
+DATA = "/root/testdata/sf0.001"
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return spark.read.parquet(f"{DATA}/documents.parquet").cache()
+
+
+@pytest.fixture
+def odd(spark):
+    """Documents with nulls, empty and long texts, ties, repeated rows, and columns with names that operators use."""
+    long = "lang wort " * 30_000 + "x" * 200_000 + " a@b.co " + "7" * 20_000
+    rows = [(1, None, None, None), (None, "a b c d e f", "en", "s"), (None, None, None, None), (2, "", "de", "s"), (2, "", "de", "s"), (3, "   \n\t ", "de", "t"), (4, long, "en", "s"), (5, long, None, "s"), (6, "One Two Three Four Five Six", "en", None), (7, "one two three four five six", "en", None), (-3, "word", "en", "s"), (8, "word", "en", "s"), (9, "\x00 \x1c  é ́ 😀", "fr", "s")]
+    extra = ["id", "shard", "slot", "score", "lang_pred", "item_ids", "n_lines", "n_removed", "pii", "k1", "component_id", "rid", "th", "cuts", "t_", "b_", "h1"]
+    df = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], COLUMNS)
+    return df.withColumns({c: F.lit("?") for c in extra})
+
+
+@pytest.mark.parametrize("name", ["op1_neighbours", "op10_warc"])
+def test_sql(name, same_rows):
+    from eventloom.llm.registry import ORACLE_SQL, QUERIES
+
+    same_rows(QUERIES[name], ORACLE_SQL[name])
+
+
+def test_components(spark):
+    rng = random.Random(4)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(n, n + 1) for n in range(1000, 1040)] + [(2000, n) for n in range(2001, 2100)] + [(5, 5)]
+    groups = brute.Groups()
+    for a, b in edges:
+        groups.join(a, b)
+    got = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
+    assert got == {x: groups.find(x) for e in edges for x in e}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# Neighbours
+
+
+def test_neighbours_edges(spark):
+    same = [1.0, 2.0]
+    rows = [(0, same), (20, same), (1, same), (2, [2.0, 4.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [float("nan"), 1.0]), (7, [None, 1.0]), (8, [1.0, 2.0, 3.0]), (None, same), (9, [-1.0, -2.0]), (1, same)]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumns({"id": F.lit(1), "x": F.lit(1), "tile": F.lit(1)})
+    got = neighbours.nearest(v, v.filter("vec_id % 20 = 0"), k=3).orderBy("query_id", "rank").collect()
+    assert [tuple(r) for r in got] == [(0, 1, 2, 10.0), (0, 2, 1, 5.0), (0, 3, 20, 5.0), (20, 1, 2, 10.0), (20, 2, 0, 5.0), (20, 3, 1, 5.0)]
+    assert neighbours.nearest(v.limit(0), v.limit(0)).count() == 0
+
+
+def test_bounds_hold():
+    rng = np.random.default_rng(0)
+    q, c = rng.normal(size=(40, 24)) * rng.lognormal(0, 2, (40, 1)), rng.normal(size=(300, 24)) * rng.lognormal(0, 2, (300, 1))
+    c[100:160] = c[7]
+    for i, ids, scores in neighbours.tile_top(np.arange(40), q, np.arange(300), c, 20):
+        exact = neighbours.products(np.broadcast_to(q[i], c.shape), c)
+        exact[i] = -np.inf
+        want = np.lexsort((np.arange(300), -exact))[:20]
+        assert ids.tolist() == want.tolist() and scores.tolist() == exact[want].tolist()
+
+
+def test_neighbours_in_many_blocks(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(300, 8)).astype(np.float32)
+    v = spark.createDataFrame([(n, r.tolist()) for n, r in enumerate(x)], "vec_id long, embedding array<float>")
+    a = neighbours.nearest(v, v.filter("vec_id % 20 = 0"), query_block=4, block=32).orderBy("query_id", "rank").collect()
+    b = neighbours.nearest(v, v.filter("vec_id % 20 = 0")).orderBy("query_id", "rank").collect()
+    assert a == b and len(a) == 300
+
+
+# BPE
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    t.no_truncation()
+    t.no_padding()
+    return t
+
+
+def test_bpe_is_the_library(spark, documents, odd, tokenizer):
+    spec = bpe.vocabulary()
+    got = bpe.bpe(documents.unionByName(odd.select(documents.columns)), spec, keep=("doc_id", "text"), ids=True, decoded=True).collect()
+    assert len(got) == documents.count() + odd.count()
+    for r in got:
+        ids = tokenizer.encode(r["text"] or "", add_special_tokens=False).ids
+        raw, text = np.array(ids, "<u4").tobytes(), tokenizer.decode(ids, skip_special_tokens=False)
+        assert (r["n_tokens"], bytes(r["ids"]), r["decoded"]) == (len(ids), raw, text)
+        assert (r["ids_sha256"], r["decoded_sha256"]) == (hashlib.sha256(raw).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
+
+
+def test_bpe_words(tokenizer):
+    coder = bpe.coder(bpe.vocabulary())
+    rng = random.Random(2)
+    words = ["".join(rng.choices(a, k=rng.randint(1, 40))) for a in ("ab", "aeinorst", "ABC'sdt", "é ñßÀΣ", "<|endoftx>", "0129 ,.!") for _ in range(300)]
+    for w in [*words, "a<|endoftext|>b<|startoftext|>", "it's we'll I'd", "aaaa" * 3000, "ab" * 3000]:
+        assert np.frombuffer(coder.encode(w)[0], "<u4").tolist() == tokenizer.encode(w, add_special_tokens=False).ids
+
+
+# Near duplicates
+
+
+def near_rows(df, **more):
+    return {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dup.near_duplicates(df, **more).collect()}
+
+
+@pytest.mark.parametrize("words", [4, 5])
+def test_near_dup_is_brute_force(documents, words):
+    assert near_rows(documents, words=words) == brute.near_duplicates([(r["doc_id"], r["text"]) for r in documents.collect()], words)
+
+
+def test_near_dup_groups_of_variants(spark, monkeypatch):
+    """Chains of edits of one text: a large group, of which pairs lie on both sides of the threshold; many small tiles."""
+    rng = random.Random(3)
+    base = [f"w{n}" for n in range(90)]
+    docs = []
+    for n in range(160):
+        w = list(base)
+        for _ in range(rng.randrange(7)):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(9)}"
+        docs.append((n * 3 + 1, " ".join(w)))
+    docs += [(900 + n, docs[n][1].upper()) for n in range(20)]
+    monkeypatch.setattr(near_dup, "CHUNK", 16)
+    monkeypatch.setattr(near_dup, "BROADCAST_IDS", 0)
+    assert near_rows(spark.createDataFrame(docs, "doc_id long, text string"), words=4) == brute.near_duplicates(docs, 4)
+
+
+def test_near_dup_edges(spark, odd):
+    rows = near_dup.near_duplicates(odd, words=4).collect()
+    assert len(rows) == odd.count()
+    assert sorted((r["n_shingles"], r["kept"]) for r in rows if r["doc_id"] is None) == [(0, True), (3, True)]
+    by = {r["doc_id"]: r for r in rows if r["doc_id"] is not None}
+    assert by[5]["component_id"] == 4 and by[7]["component_id"] == 6 and by[8]["component_id"] == -3 and not by[8]["kept"]
+    assert (by[2]["n_shingles"], by[2]["component_id"], by[3]["component_id"], by[8]["n_shingles"]) == (0, 2, 3, 1)
+    assert near_dup.near_duplicates(odd.limit(0)).count() == 0
+
+
+def test_cutoffs():
+    least = near_dup.cutoffs(0.8, 1e-6)
+    assert least == sorted(least) and 70 < least[-1] < 103
+
+
+# Personal data
+
+
+def test_base_spans(spark, documents, odd):
+    rng = random.Random(5)
+    pieces = ["a.b@c-d.org", "@", "1.2.3.4", "1.2.3.4.5", "256.1.1.1", "0001.2.3.255", "4539 1488 0343 6467", "4539148803436467", "4111-1111-1111-1111", "+1 (499) 555-6503", "+49", "+1 2", "é", " ", "x@y", "x@y.z@w.v", "x.y", "_", "%", "9", "99 99", "\n", "😀", "-", "+", "00"]
+    texts = ["".join(rng.choices(pieces, k=rng.randint(1, 14))) for _ in range(400)]
+    df = documents.select("doc_id", "text").union(odd.select("doc_id", "text")).union(spark.createDataFrame([(1000 + n, t) for n, t in enumerate(texts)], "doc_id long, text string"))
+    rows = df.withColumn("copy", F.col("text")).transform(lambda d: pii.find_pii(d)).collect()
+    assert len(rows) == df.count()
+    for r in rows:
+        assert [(s["start"], s["kind"], s["end"]) for s in r["pii"] if s["base"]] == brute.base_spans(r["copy"])
+        own = [s for s in r["pii"] if s["base"]]
+        assert not any(s["start"] < b["end"] and b["start"] < s["end"] for s in r["pii"] if not s["base"] for b in own)
+    assert pii.find_pii(df.limit(0)).count() == 0
+
+
+def test_secrets_are_found(spark):
+    words = ["onder", "thes", "ingre", "eaat"]
+    rng = random.Random(6)
+    docs = []
+    for n in range(300):
+        t = " ".join(rng.choices(words, k=30))
+        docs.append((n, t + (f' token = "{rng.getrandbits(160):040x}" then' if n % 3 == 0 else " Licensed under the License, Version 2.0." if n % 3 == 1 else f" ab{n}@mail.example.com and 10.1.2.{n % 250}")))
+    rows = {r["doc_id"]: r["pii"] for r in pii.find_pii(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for n, t in docs:
+        got = [t[s["start"] : s["end"]] for s in rows[n]]
+        assert len(got) == (1, 0, 2)[n % 3] and (n % 3 or len(got[0]) == 40)
+
+
+def test_majority_becomes_reliability():
+    p = pii.reliabilities({"++++++": 50, "+0+0+0": 20, "------": 60, "0-0-0-": 20, "+-----": 3})
+    assert p["++++++"] > 0.99 and p["+0+0+0"] > 0.9 and p["------"] < 0.01 and p["0-0-0-"] < 0.1
+
+
+# Decontamination
+
+
+def test_decontamination_is_brute_force():
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices(["th", "er", "on", "an", "re", "ing"], k=rng.randint(1, 3)))
+    items = [(n, " ".join(word() for _ in range(rng.randint(2, 24)))) for n in range(12)]
+    index = decontaminate.Index(items, 8, 80, 40, 0.075)
+    for _ in range(120):
+        item, pattern, budget = rng.choice(index.windows)
+        s = list(pattern)
+        for _ in range(rng.randrange(2 * budget + 2)):
+            k = rng.randrange(len(s))
+            s[k : k + 1] = rng.choice([["z"], [], [s[k], "q"]])
+        text = decontaminate.normalise(" ".join(word() for _ in range(30)) + " " + "".join(s) + " " + " ".join(word() for _ in range(30)))
+        want = sorted({i for i, w, e in index.windows if brute.best_stretch(w, text) <= e})
+        assert decontaminate.search(index, [text])[0] == want
+        assert decontaminate.search(index, ["", text, text], stretch=64)[1:] == [want, want]
+
+
+def test_decontamination_edges(spark, odd):
+    bench = spark.createDataFrame([(1, "One two three four FIVE six"), (2, None), (3, " "), (None, "word"), (4, "wort")], "item_id long, text string")
+    one = {(r["doc_id"], tuple(r["item_ids"])) for r in decontaminate.contaminated(odd, bench).collect()}
+    assert {(6, (1,)), (7, (1,)), (4, (4,)), (5, (4,)), (2, ()), (1, ())} <= one
+    many = decontaminate.contaminated(odd, bench, part_chars=5)
+    assert {(r["doc_id"], tuple(r["item_ids"])) for r in many.collect()} == one and many.count() == odd.count()
+    assert decontaminate.contaminated(odd, bench.limit(0)).filter("size(item_ids) > 0").count() == 0
+    assert decontaminate.contaminated(odd.limit(0), bench).count() == 0
+
+
+# Sharding
+
+
+def test_shards_match_the_mixture(documents):
+    rows = sharding.interleave(documents.select("doc_id", "source", "text"), shards=7, bucket_rows=16).collect()
+    n = len(rows)
+    sizes = Counter(r["shard"] for r in rows)
+    assert n == documents.count() and set(sizes) == set(range(7)) and max(sizes.values()) - min(sizes.values()) <= 1
+    for s in sizes:
+        assert sorted(r["slot"] for r in rows if r["shard"] == s) == list(range(sizes[s]))
+    total = Counter(r["source"] for r in rows)
+    for (source, _), c in Counter((r["source"], r["shard"]) for r in rows).items():
+        assert abs(c - total[source] / 7) <= 1.5
+
+
+def test_shards_do_not_depend_on_buckets(documents):
+    df = documents.select("doc_id", "source")
+    a, b = ({r["doc_id"]: (r["shard"], r["slot"]) for r in sharding.interleave(df, bucket_rows=k).collect()} for k in (8, 100_000))
+    assert a == b
+
+
+def test_sharding_edges(odd):
+    rows = sharding.interleave(odd, shards=4, tie=("doc_id", "text")).collect()
+    sizes = Counter(r["shard"] for r in rows)
+    assert len(rows) == odd.count() and max(sizes.values()) - min(sizes.values()) <= 1
+    assert sharding.interleave(odd.limit(0)).count() == 0
+
+
+# Language
+
+
+def test_languages_of_held_out_rows(spark):
+    rows = langid.op7_langid(spark, DATA).join(spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "lang"), "doc_id").filter("held_out").collect()
+    assert len(rows) > 40 and sum(r["lang"] == r["lang_pred"] for r in rows) >= 0.98 * len(rows)
+    assert all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_phrases_are_longest_matches():
+    parser = langid.Parser({"x": ["banana", "bad"]})
+    known = [" banana ", " bad "]
+
+    def plain(s):
+        n = 0
+        while s:
+            k = max((k for k in range(1, len(s) + 1) if any(s[:k] in w for w in known)), default=1)
+            s, n = s[k:], n + 1
+        return n
+
+    rng = random.Random(9)
+    for _ in range(300):
+        s = " " + "".join(rng.choices("band z", k=rng.randint(1, 12))) + " "
+        assert parser.phrases(parser.trees[0], s) == plain(s)
+
+
+def test_langid_edges(odd):
+    model = langid.train(odd)
+    assert set(model) == {"de", "en", "fr"} - ({"de"} if "de" not in model else set())
+    rows = langid.identify(odd, model).collect()
+    assert len(rows) == odd.count()
+    assert {(r["lang_pred"], r["score"]) for r in rows if not any(c.isalpha() for c in r["text"] or "")} == {("und", 0.0)}
+    assert {r["lang_pred"] for r in langid.identify(odd, langid.train(odd.limit(0))).collect()} == {"und"}
+    assert langid.identify(odd.limit(0), model).count() == 0
+
+
+# Lines
+
+
+def lines_of(spark, df):
+    rows = line_dedup._lines(df.select(F.col("doc_id").alias("rid"), F.lit(0).alias("th"), "text")).filter(F.length("norm") >= 20)
+    return {(r["rid"], r["pos"]): (r["norm"], r["s"]) for r in rows.withColumn("s", line_dedup.simhash(F.col("norm"))).collect()}
+
+
+def check_lines(spark, df):
+    texts = {r["doc_id"]: r["text"] for r in df.collect()}
+    cuts = brute.dedup_lines(list(texts.items()), lines_of(spark, df))
+    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in line_dedup.dedup_lines(df).collect()}
+    assert got == {i: (t if not cuts[i] else "\n".join(x for p, x in enumerate(t.split("\n")) if p not in cuts[i]), len(cuts[i])) for i, t in texts.items()}
+    return cuts
+
+
+def test_lines_are_brute_force(spark, monkeypatch):
+    rng = random.Random(10)
+    base = [" ".join("".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 9))) for _ in range(rng.randint(5, 60))) for _ in range(6)]
+    docs = []
+    for n in range(60):
+        out = []
+        for _ in range(3):
+            w = rng.choice(base).split(" ")
+            for _ in range(rng.randrange(3)):
+                w[rng.randrange(len(w))] = rng.choice(["and", "changed", "words", "x"])
+            out.append(" ".join(w).capitalize() + rng.choice(["", "!", "  ."]))
+        docs.append((n, "\n".join([*out, "short", "short"])))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    cuts = check_lines(spark, df)
+    assert sum(map(len, cuts.values())) > 60
+    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(line_dedup, "HOT", 2)
+    check_lines(spark, df)
+
+
+def test_simhash(spark):
+    rng = random.Random(11)
+    lines = [" ".join("".join(rng.choices("abcdef", k=rng.randint(1, 8))) for _ in range(n)) for n in (1, 2, 5, 63, 64, 65, 300, 20_000)]
+    df = spark.createDataFrame([(x,) for x in lines], "line string").withColumn("w", F.split("line", " "))
+    for r in df.select(F.transform("w", lambda w: F.struct(F.length(w).alias("n"), F.xxhash64(w).alias("h"))).alias("q"), line_dedup.simhash(F.col("line")).alias("s")).collect():
+        hashes = [x["h"] for x in r["q"] if x["n"] >= 5] or [x["h"] for x in r["q"]]
+        want = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+        assert r["s"] & ((1 << 64) - 1) == want
+
+
+def test_line_edges(spark, odd):
+    rows = line_dedup.dedup_lines(odd, min_chars=3).collect()
+    assert len(rows) == odd.count() and set(rows[0].asDict()) == set(odd.columns)
+    got = defaultdict(list)
+    for r in rows:
+        got[r["doc_id"]].append((r["text"], r["n_lines"], r["n_removed"]))
+    assert got[1] == [(None, 0, 0)] and got[2] == [("", 1, 0)] * 2 and got[5] == [("", 1, 1)] and got[7] == [("", 1, 1)] and got[8] == [("", 1, 1)] and got[3] == [("   \n\t ", 2, 0)]
+    assert line_dedup.dedup_lines(odd.limit(0)).count() == 0
+
+
+# Pages
+
+
+PAGE = "<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>var a='<p>no</p>';</script></head><body><header>Site</header><nav><ul><li><a href='/'>Home</a></ul></nav><div class='ad banner'>Buy</div><div class=\"cookie-notice\">Ok?</div>%s<aside>Side</aside><form><input><label>Mail</label></form><section id='comments'><p>Nice!</p></section><footer>&copy;</footer></body></html>"
+
+
+@pytest.mark.parametrize(
+    "body, text",
+    [("<article><h1>A &amp; B</h1><p>one <b>tw</b>o<br>three<p>four&nbsp;\n five</article>", "A & B one two three four five"), ("<main><div class='comments'>no</div><header>H</header><p>x</main>", "H x"), ("<div><p>plain</p>text</div>", "plain text"),
+     ("<article><p>cut of", "cut of"), ("<article></article>", ""), ("<article><p>a<!-- b --> c < d</p></article>", "a c < d"), ("<article><table><tr><td>1<td>2<tr><td>3</table></article>", "1 2 3")],
+)
+def test_main_text(body, text):
+    page = PAGE.split("%s")[0] + body if "cut of" in body else PAGE % body
+    assert html_text.extract(page) == text
+
+
+def test_templates(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    rows, want = [], {}
+    for n in range(24):
+        body = f"{word()} {word()} {n}"
+        page = f"<html><body><div class=x><p>All rights of this site</p><div><h1>Story</h1><p>{body}</p></div><p>Follow us every day</p></div></body></html>"
+        rows.append((n, f"https://{'a' if n < 16 else f'h{n}'}.org/{n}", page))
+        want[n] = body if n < 16 else f"All rights of this site Story {body} Follow us every day"
+    rows += [(100 + n, "https://a.org/copy", rows[0][2]) for n in range(30)] + [(200, None, None), (201, "no url", ""), (201, "no url", "")]
+    want |= {100 + n: want[0] for n in range(30)} | {200: "", 201: ""}
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"host": F.lit(1), "template": F.lit(2), "host_": F.lit(3), "main_text": F.lit(4)})
+    for hosts in (20_000, 0):
+        got = html_text.main_text(df, broadcast_hosts=hosts).collect()
+        assert len(got) == len(rows) and {r["page_id"]: r["main_text"] for r in got} == want
+    assert html_text.main_text(df.limit(0)).count() == 0
+
+
+def test_pages_of_the_table(spark):
+    import html
+    import re
+
+    rows = html_text.op9_html_text(spark, DATA).join(spark.read.parquet(f"{DATA}/pages.parquet").select("page_id", "html"), "page_id").collect()
+    for r in rows:
+        inner = re.search("<article>(.*?)(</article>|$)", r["html"], re.S)[1]
+        assert r["text"] == " ".join(html.unescape(re.sub("</?(p|h1|br)>", " ", re.sub("</?b>", "", inner))).split())
+
+
+# Archives
+
+
+def test_archive_round_trip(spark, tmp_path):
+    long = "é\r\n\r\nWARC/1.1\r\nx" * 200
+    rows = [(1, "https://a/\r\nb c", long), (2, None, long), (5, "https://c/", long), (3, "u", None), (4, "u", "short"), (6, "u", "short"), (None, "n", long), (5, "https://c/", long), (7, "v", "y" * 2_000_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({c: F.lit("?") for c in ("id", "digest", "rid", "of", "salt", "bytes")})
+    warc.write_archive(pages, str(tmp_path / "w"))
+    got = warc.assemble(warc.read_archive(spark, str(tmp_path / "w"), "*.gz")).collect()
+    assert len(got) == len(rows)
+    kept = Counter((r["metadata"]["fields"].get("id"), r["type"], r["original"]) for r in got)
+    assert kept == Counter({("1", "revisit", "5"): 1, ("2", "revisit", "5"): 1, (None, "revisit", "5"): 1, ("5", "revisit", "5"): 1, ("5", "response", None): 1, ("3", "response", None): 1, ("4", "response", None): 1, ("6", "response", None): 1, ("7", "response", None): 1})
+    for r in got:
+        assert r["request"]["http"].startswith("GET ") and r["response"]["payload_bytes"] is not None
+        if r["type"] == "response":
+            payload = bytes(r["response"]["payload"])
+            assert hashlib.sha1(payload).hexdigest() == r["response"]["payload_digest"] and payload in {(x[2] or "").encode() for x in rows}
+    warc.write_archive(pages.limit(0), str(tmp_path / "none"))
+    assert warc.assemble(warc.read_archive(spark, str(tmp_path / "none"), "*.gz")).count() == 0
+
+
+def test_archive_forms():
+    import gzip
+
+    record = lambda kind, block, *more: "\r\n".join(["WARC/1.1", f"WARC-Type: {kind}", "WARC-Record-ID: <x>", *more, f"Content-Length: {len(block)}", "", block, "", ""]).encode()
+    plain = record("warcinfo", "software: x") + record("response", "HTTP/1.1 200 OK\r\nA: b\r\n\r\nhi", "Content-Type: application/http")
+    for content in (plain, gzip.compress(plain), gzip.compress(plain[:20]) + gzip.compress(plain[20:])):
+        assert [(r["type"], r["payload"]) for r in warc.records(content)] == [("warcinfo", b"software: x"), ("response", b"hi")]
