@@ -16,10 +16,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import table
+from .common import held, table
 
 END = "</w>"
-_BUILT: dict[str, BpeCoder] = {}
 
 
 def byte_letters() -> dict[int, str]:
@@ -129,7 +128,7 @@ class BpeCoder:
     def fits(self, a: int, b: int) -> bool:
         """Whether token b can stand after token a: no merge crosses their border at any time."""
         if (known := self.fits_memo.get((a, b))) is None:
-            if len(self.fits_memo) > 1_000_000:
+            if len(self.fits_memo) > 200_000:
                 self.fits_memo.clear()
             known = self.fits_memo[a, b] = self._holds(a, b, None)
         return known
@@ -209,7 +208,7 @@ class BpeCoder:
                     if (known := self.words.get(w)) is None:
                         known = self._coded(self.word(w))
                         if len(w) <= 64:
-                            if len(self.words) > 300_000:
+                            if len(self.words) > 150_000:
                                 self.words.clear()
                             self.words[w] = known
                     got.append(known)
@@ -224,7 +223,7 @@ class BpeCoder:
             if (known := chunks.get(c)) is None:
                 known = self._chunk(c)
                 if len(c) <= 64:
-                    if len(chunks) > 300_000:
+                    if len(chunks) > 150_000:
                         chunks.clear()
                     chunks[c] = known
             if known[0]:
@@ -234,11 +233,8 @@ class BpeCoder:
 
 
 def coder(spec: str) -> BpeCoder:
-    """The coder of a tokenizer file's text, built once in a process."""
-    key = hashlib.sha256(spec.encode()).hexdigest()
-    if key not in _BUILT:
-        _BUILT[key] = BpeCoder(spec)
-    return _BUILT[key]
+    """The coder of a tokenizer file's text, built once in a worker process."""
+    return held(("bpe", hashlib.sha256(spec.encode()).hexdigest()), lambda: BpeCoder(spec))
 
 
 def bpe(df: DataFrame, spec: str, *, text: str = "text", keep: tuple[str, ...] = ("doc_id",), ids: bool = False, decoded: bool = False, digests: bool = True) -> DataFrame:

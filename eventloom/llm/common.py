@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -52,6 +53,18 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.lower() in low])
 
 
+_HELD: dict[object, object] = {}
+
+
+def held(key: object, build: Callable[[], object]) -> object:
+    """What build() makes, kept in this worker process until something else is held: one operator's tables at a time."""
+    if key not in _HELD:
+        _HELD.clear()
+        gc.collect()
+        _HELD[key] = build()
+    return _HELD[key]
+
+
 def let(x: Column, use: Callable[[Column], Column]) -> Column:
     """use(x), with x computed once."""
     return F.transform(F.array(x), use)[0]

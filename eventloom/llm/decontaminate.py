@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,11 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, without
+from .common import held, table, without
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BITS = 20
-_INDEXES: dict[int, Index] = {}
 
 
 def normalise(text: str | None) -> str:
@@ -210,13 +210,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", i
 
 
 def _pass(spark: SparkSession, docs: DataFrame, items: list[tuple[int, str]], names: list[str], text: str, out: str, first: bool, q: int, window: int, step: int, rate: float) -> DataFrame:
-    shared = spark.sparkContext.broadcast(items)
+    shared, token = spark.sparkContext.broadcast(items), uuid.uuid4().hex
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if (index := _INDEXES.get(id(shared.value))) is None:
-            _INDEXES.clear()
-            index = _INDEXES[id(shared.value)] = Index(shared.value, q, window, step, rate)
+        index = held(("decontaminate", token), lambda: Index(shared.value, q, window, step, rate))
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)

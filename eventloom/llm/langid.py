@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -11,11 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import SuffixAutomaton
-from .common import table, without
+from .common import held, table, without
 
 UNKNOWN = "und"
 RUN = re.compile(r"[^\W\d_]+")
-_PARSERS: dict[int, Parser] = {}
 
 
 def train(labelled: DataFrame, *, text: str = "text", lang: str = "lang", docs_per_language: int = 200, doc_chars: int = 20_000, chars_per_language: int = 60_000) -> dict[str, list[str]]:
@@ -94,7 +94,7 @@ class Parser:
             if (x := known.get(c)) is None:
                 x = self.chunk(c)
                 if len(c) <= 64:
-                    if len(known) > 300_000:
+                    if len(known) > 150_000:
                         known.clear()
                     known[c] = x
             total += x
@@ -117,13 +117,12 @@ def identify(docs: DataFrame, model: dict[str, list[str]], *, text: str = "text"
     """
     docs = without(docs, lang_out, score_out)
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    token = uuid.uuid4().hex
     names = docs.columns
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if (parser := _PARSERS.get(id(shared.value))) is None:
-            _PARSERS.clear()
-            parser = _PARSERS[id(shared.value)] = Parser(shared.value)
+        parser = held(("langid", token), lambda: Parser(shared.value))
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
