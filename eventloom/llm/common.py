@@ -105,26 +105,24 @@ def grouped(df: DataFrame, key: str, fn: Callable[[pa.Table, np.ndarray], Iterat
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(id, component) of every id in edges, component the smallest id reachable.
 
-    Alternates large-star and small-star steps (Kiveris et al. 2014): each step is a grouped minimum with
-    map-side combining, so a hub's neighbours are never gathered in one task; it ends when a step changes
-    nothing. edges: two long columns; self-links are allowed.
+    Each round sends every id's label to its neighbours; the messages to an id are a minimum that is combined before
+    the one shuffle of a round, so a hub's neighbours are never gathered. After four rounds, labels also jump to the
+    label of their label (a hub's label is looked up once, in parts), so that long chains end soon. edges: two
+    long columns; self-links are allowed.
     """
-    e = cut(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
-    before = None
+    both = edges.select(F.col(a).alias("id"), F.col(b).alias("to")).union(edges.select(F.col(b).alias("id"), F.col(a).alias("to"))).distinct()
+    both = cut(both.repartition("id"))
+    labels = cut(both.groupBy("id").agg(F.least("id", F.min("to")).alias("component")))
+    turn = 0
     while True:
-        both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(e.filter("u = v"))
-        large = large.distinct()
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(down.select("u", F.col("m").alias("v")))
-        small = small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-        e = cut(small)
-        # A star forest in which each id above its component's least points at it has as many rows as ids.
-        now = e.agg(F.count("*"), F.coalesce(F.sum(F.hash("u", "v").cast("long")), F.lit(0))).first()
-        if before is not None and tuple(now) == before:
-            break
-        before = tuple(now)
-    least = e.filter("u <> v").select(F.col("u").alias("id"), F.col("v").alias("component"))
-    roots = e.select(F.col("v").alias("id")).distinct().join(least.select("id"), "id", "left_anti")
-    return least.union(roots.select("id", F.col("id").alias("component")))
+        turn += 1
+        sent = both.join(labels, "id").groupBy(F.col("to").alias("id")).agg(F.min("component").alias("m_"))
+        new = labels.join(sent, "id").select("id", F.least("component", "m_").alias("m_"), "component")
+        if turn % 4 == 0:
+            parts = F.explode(F.sequence(F.lit(0), F.lit(15))).alias("part_")
+            roots = new.select(F.col("id").alias("m_"), F.col("m_").alias("mm_")).join(new.select("m_").distinct(), "m_").select("m_", "mm_", parts)
+            new = new.withColumn("part_", F.pmod(F.xxhash64("id"), F.lit(16)).cast("int")).join(roots, ["m_", "part_"]).select("id", F.least("m_", "mm_").alias("m_"), "component")
+        new = cut(new.select("id", F.col("m_").alias("component"), (F.col("m_") != F.col("component")).alias("moved_")))
+        labels = new.select("id", "component")
+        if not new.filter("moved_").limit(1).count():
+            return labels

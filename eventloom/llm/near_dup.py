@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, cut, grouped, table
+from .common import components, cut, grouped, held, table
 
 HASHES, ROWS, BATCH = 128, 4, 32
 BANDS = HASHES // ROWS
@@ -39,15 +39,12 @@ class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh64_intdigest(word)
         if len(word) <= 64:
-            if len(self) > 500_000:
+            if len(self) > 150_000:
                 self.clear()
             self[word] = h
         return h
 
 
-_WORDS = WordHashes()
-
-
 def words_of(text: str | None) -> list[bytes]:
     """Words of a text: A-Z in lower case, split at space and \\x09 to \\x0D."""
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
@@ -57,7 +54,7 @@ def shingle_set(words: list[bytes], k: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles of k words; of fewer words, one for the whole sequence."""
     if not words:
         return np.empty(0, np.uint64)
-    w = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    w = np.fromiter(map(held("words", WordHashes).__getitem__, words), np.uint64, len(words))
     n = max(1, len(w) - k + 1)
     h = np.full(n, min(len(w), k), np.uint64)
     for i in range(min(k, len(w))):
@@ -137,14 +134,14 @@ def _pairs_batch(a: list, b: list) -> pa.RecordBatch:
 
 
 def _sketch(docs: DataFrame, k: int) -> DataFrame:
-    """id, k1, k2 (digest of the word sequence), n_shingles, sig (a byte a hash) and keys (64 bits a band); the last two null for empty sets."""
+    """id, k1, k2 (digest of the word sequence), n_shingles, sig (a byte a hash), keys (64 bits a band) and marks (the lower 32 of each); the last three null for empty sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = np.arange(BANDS, dtype=np.uint64) * MIX
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                digests, counts, sigs, keys = [], [], [], []
+                digests, counts, sigs, keys, marks = [], [], [], [], []
                 for t in part["text"].to_pylist():
                     words = words_of(t)
                     s = shingle_set(words, k)
@@ -153,6 +150,7 @@ def _sketch(docs: DataFrame, k: int) -> DataFrame:
                     if not len(s):
                         sigs.append(None)
                         keys.append(None)
+                        marks.append(None)
                         continue
                     m = signature(s)
                     sigs.append(((m * MIX) >> np.uint64(56)).astype(np.uint8).tobytes())
@@ -160,10 +158,11 @@ def _sketch(docs: DataFrame, k: int) -> DataFrame:
                     for r in range(ROWS):
                         key = mix(key + m[r::ROWS])
                     keys.append(key.tobytes())
+                    marks.append(key.astype(np.uint32).tobytes())
                 d = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([part["id"], pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(counts, pa.int64()), pa.array(sigs, pa.binary()), pa.array(keys, pa.binary())], ["id", "k1", "k2", "n_shingles", "sig", "keys"])
+                yield pa.RecordBatch.from_arrays([part["id"], pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(counts, pa.int64()), pa.array(sigs, pa.binary()), pa.array(keys, pa.binary()), pa.array(marks, pa.binary())], ["id", "k1", "k2", "n_shingles", "sig", "keys", "marks"])
 
-    return docs.mapInArrow(run, "id long, k1 long, k2 long, n_shingles long, sig binary, keys binary")
+    return docs.mapInArrow(run, "id long, k1 long, k2 long, n_shingles long, sig binary, keys binary, marks binary")
 
 
 def _band_rows(reps: DataFrame) -> DataFrame:
@@ -238,31 +237,52 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _open_pairs(t: pa.Table, s: int, e: int, sig: np.ndarray, marks: np.ndarray, label: np.ndarray, cut_at: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (i, j) of the tile [s, e) of pairs between components that verification keeps, most similar first.
+
+    A pair that shares several buckets is given in that of its first common band only.
+    """
+    i, j = np.triu_indices(e - s, 1)
+    i, j = i + s, j + s
+    cross = label[i] != label[j]
+    i, j = i[cross], j[cross]
+    alive, m = surviving(sig, i, j, cut_at)
+    alive = alive[np.argsort(-m, kind="stable")]
+    i, j = i[alive], j[alive]
+    if len(i):
+        first = (marks[i] == marks[j]).argmax(axis=1)
+        own = marks[i, first] == np.uint32(int(t["bucket"][s].as_py()) & 0xFFFFFFFF)
+        i, j = i[own], j[own]
+    return i, j
+
+
+def _open(members: DataFrame, cut_at: list[int]) -> DataFrame:
+    """tile, id of the members with an open pair in their tile: those whose sets are worth reading."""
+
+    def run(t: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        ids, tile, label = t["id"].to_numpy(), t["tile"].to_numpy(), t["component"].to_numpy()
+        sig, marks = _bytes(t["sig"], HASHES), _bytes(t["marks"], 4 * BANDS, np.uint32)
+        rows = [np.unique(np.concatenate(_open_pairs(t, s, e, sig, marks, label, cut_at))) for s, e in zip(starts[:-1].tolist(), starts[1:].tolist())]
+        rows = np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(tile[rows]), pa.array(t["bucket"].to_numpy()[rows]), pa.array(ids[rows]), pa.array(label[rows])], ["tile", "bucket", "id", "component"])
+
+    return grouped(members, "tile", run, "tile long, bucket long, id long, component long")
+
+
 def _links(members: DataFrame, cut_at: list[int], percent: int) -> DataFrame:
     """Confirmed links (a, b) that span each tile, between members of different components only."""
 
     def run(t: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        ids, label, bucket = t["id"].to_numpy(), t["component"].to_numpy(), t["bucket"].to_numpy()
-        sig, keys = _bytes(t["sig"], HASHES), _bytes(t["keys"], 8 * BANDS, np.int64)
+        ids, label = t["id"].to_numpy(), t["component"].to_numpy()
+        sig, marks = _bytes(t["sig"], HASHES), _bytes(t["marks"], 4 * BANDS, np.uint32)
         sets = t["set"].combine_chunks()
         a, b = [], []
-        for s, e in zip(starts[:-1], starts[1:]):
-            n = e - s
-            i, j = np.triu_indices(n, 1)
-            i, j = i + s, j + s
-            cross = label[i] != label[j]
-            i, j = i[cross], j[cross]
-            alive, m = surviving(sig, i, j, cut_at)
-            alive = alive[np.argsort(-m, kind="stable")]
-            i, j = i[alive], j[alive]
+        for s, e in zip(starts[:-1].tolist(), starts[1:].tolist()):
+            i, j = _open_pairs(t, s, e, sig, marks, label, cut_at)
             if not len(i):
                 continue
-            # A pair that shares several buckets is compared in that of its first common band only.
-            first = (keys[i] == keys[j]).argmax(axis=1)
-            own = keys[i, first] == bucket[s]
-            i, j = i[own], j[own]
             mine = {x: np.frombuffer(sets[int(x)].as_py(), np.uint64) for x in np.unique(np.r_[i, j])}
-            if len(i) > 4 * n:
+            if len(i) > 4 * (e - s):
                 at = {x: p for p, x in enumerate(mine)}
                 length = np.array([len(x) for x in mine.values()])
                 overlap = _overlaps(list(mine.values()))
@@ -272,7 +292,7 @@ def _links(members: DataFrame, cut_at: list[int], percent: int) -> DataFrame:
             else:
                 ok = np.array([similar(mine[x], mine[y], percent) for x, y in zip(i, j)], bool)
             i, j = i[ok], j[ok]
-            keep = _forest(n, i - s, j - s, label[s:e])
+            keep = _forest(e - s, i - s, j - s, label[s:e])
             a.append(ids[i[keep]])
             b.append(ids[j[keep]])
         yield _pairs_batch(a, b)
@@ -304,8 +324,10 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     base = cut(_sketch(docs, words))
     classes = base.filter("id is not null and n_shingles > 0").groupBy("k1", "k2").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
     classes = cut(classes)
-    reps = base.select("id", "k1", "k2", "sig", "keys").join(classes.select("id", "k1", "k2"), ["id", "k1", "k2"]).dropDuplicates(["id"])
-    reps = cut(reps.select("id", "sig", "keys"))
+    # Dealt by id alone, for the next step: hence no equality of the digests.
+    own = classes.select(F.col("id").alias("of"), F.col("k1").alias("c1"), F.col("k2").alias("c2"))
+    reps = base.join(own, (F.col("id") == F.col("of")) & (F.col("k1").bitwiseXOR(F.col("c1")).bitwiseOR(F.col("k2").bitwiseXOR(F.col("c2"))) == 0))
+    reps = cut(reps.select("id", "sig", "keys", "marks").dropDuplicates(["id"]))
 
     bands = _band_rows(reps)
     shared = bands.groupBy("bucket").agg(F.count("*").alias("m")).filter("m > 1")
@@ -342,8 +364,9 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
         "if(component = main, transform(sequence(0, minor - 1), p -> xxhash64(bucket, 1, p, own)),"
         " concat(transform(sequence(0, minor - 1), q -> xxhash64(bucket, 0, least(own, q), greatest(own, q))), transform(sequence(0, major - 1), q -> xxhash64(bucket, 1, own, q))))"
     )
-    rest = left.select("bucket", "id", "component", F.explode(tile).alias("tile")).join(reps, "id").join(sets, "id")
-    links = cut(_links(rest, cut_at, percent))
+    marked = reps.select("id", "sig", "marks")
+    rest = cut(_open(left.select("bucket", "id", "component", F.explode(tile).alias("tile")).join(marked, "id"), cut_at))
+    links = cut(_links(rest.join(marked, "id").join(sets, "id"), cut_at, percent))
     final = cut(components(first.union(links))) if links.count() else labels
 
     # Classes whose component is not simply the row's own id; few rows a class, but hot classes are matched in parts.
