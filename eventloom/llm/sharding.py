@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, table, without
 
 
 def interleave(df: DataFrame, *, shards: int = 24, seed: int = 7, source: str = "source", tie: tuple[str, ...] = ("doc_id",), bucket_rows: int = 8192) -> DataFrame:
@@ -18,9 +18,10 @@ def interleave(df: DataFrame, *, shards: int = 24, seed: int = 7, source: str =
     No window holds a whole source or the whole table: ranks are local ranks in buckets of about bucket_rows rows
     (of the shuffle hash, then of the fraction) plus offsets from bucket counts, so a source with a third of all
     rows is dealt like any other. A null source is a source of its own; null tie columns sort first; rows equal in
-    all tie columns keep an arbitrary order among themselves; an empty table gives no rows. `shard` and `slot`
-    must not be columns of df.
+    all tie columns keep an arbitrary order among themselves; an empty table gives no rows. Columns named `shard`
+    and `slot` are replaced.
     """
+    df = without(df, "shard", "slot")
     plain, n = df.columns, df.count()
     buckets = min(65536, max(1, -(-n // bucket_rows)))
     at = {c: F.col(f"in_{i}") for i, c in enumerate(plain)}
