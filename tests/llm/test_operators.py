@@ -324,6 +324,7 @@ def test_lines_are_brute_force(spark, monkeypatch):
     cuts = check_lines(spark, df)
     assert sum(map(len, cuts.values())) > 60
     monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(line_dedup, "BROADCAST_KEYS", 0)
     monkeypatch.setattr(line_dedup, "HOT", 2)
     check_lines(spark, df)
 
