@@ -421,3 +421,32 @@ def test_archive_forms():
     plain = record("warcinfo", "software: x") + record("response", "HTTP/1.1 200 OK\r\nA: b\r\n\r\nhi", "Content-Type: application/http")
     for content in (plain, gzip.compress(plain), gzip.compress(plain[:20]) + gzip.compress(plain[20:])):
         assert [(r["type"], r["payload"]) for r in warc.records(content)] == [("warcinfo", b"software: x"), ("response", b"hi")]
+
+
+# Lines that SimHash keeps apart
+
+
+def planted_lines(spark, share, each):
+    """Of real lines, (line, copy with letters changed) by the length of the line; every copy within the edit distance."""
+    rng = random.Random(12)
+    rows = spark.read.parquet(f"{DATA}/documents.parquet").select(F.explode(F.transform(F.split("text", "\n"), line_dedup.normal_line)).alias("n")).distinct().orderBy("n").collect()
+    out = defaultdict(list)
+    for least, end in ((10, 20), (20, 40), (40, 80), (80, 200), (200, 800)):
+        lines = [r["n"] for r in rows if least <= len(r["n"]) < end]
+        for x in rng.sample(lines, min(each, len(lines))):
+            c = list(x)
+            for i in rng.sample(range(len(c)), max(1, int(share * len(c)))):
+                c[i] = rng.choice("abcdefghijklmnopqrstuvwxyz")
+            out[least].append((x, "".join(c)))
+    return out
+
+
+@pytest.mark.parametrize("share,recall", [(0, 0.98), (0.03, 0.97), (0.06, 0.9)])
+def test_lines_near_by_edits_alone(spark, share, recall):
+    """Copies with changed letters are cut, whatever their SimHash; no SimHash takes part here."""
+    planted = [p for least, pairs in planted_lines(spark, share, 40).items() if least >= 20 for p in pairs]
+    df = spark.createDataFrame([(2 * n + s, t) for n, p in enumerate(planted) for s, t in enumerate(p)], "doc_id long, text string")
+    cut = {r["doc_id"] for r in line_dedup.dedup_lines(df, near=True).filter("n_removed > 0").collect()}
+    assert sum(2 * n + 1 in cut for n in range(len(planted))) >= recall * len(planted)
+    few = {r["doc_id"] for r in line_dedup.dedup_lines(df).filter("n_removed > 0").collect()}
+    assert len(few) < 0.75 * len(planted)
