@@ -450,3 +450,12 @@ def test_lines_near_by_edits_alone(spark, share, recall):
     assert sum(2 * n + 1 in cut for n in range(len(planted))) >= recall * len(planted)
     few = {r["doc_id"] for r in line_dedup.dedup_lines(df).filter("n_removed > 0").collect()}
     assert len(few) < 0.75 * len(planted)
+
+
+def test_short_lines_of_the_query(spark, tmp_path):
+    """Equal lines of any length go, and lines of 10 to 19 characters with one edit; lines without letters or digits stay."""
+    texts = ["Privacy policy\nok\n--\nfirst", "privacy  policy!\nOK\n--\nsecond", "Privacy polici\n了解\nok?\n", "a\n了解。\nprivacy police\nab"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = ["Privacy policy\nok\n--\nfirst", "--\nsecond", "了解\n", "a\nab"]
+    got = {r["doc_id"]: (r["n_removed"], r["text_sha256"]) for r in line_dedup.op8_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {i: (t.count("\n") - w.count("\n"), hashlib.sha256(w.encode()).hexdigest()) for i, (t, w) in enumerate(zip(texts, want))}
