@@ -22,9 +22,9 @@ from .common import cut, fresh, table, without
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 NAMED = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 # Element names by what they mean in HTML.
-RAW = frozenset("script style noscript template textarea title iframe svg math xmp".split())
+RAW = frozenset("script style noscript template textarea title iframe svg annotation annotation-xml xmp".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rp rt s samp small span strike strong sub sup time tt u var wbr img".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rp rt s samp small span strike strong sub sup time tt u var wbr img math semantics mi mn mo ms mtext mrow mstyle mfrac msqrt mroot msub msup msubsup munder mover munderover".split())
 ASIDE = frozenset("nav footer aside form button select menu dialog head object audio video canvas".split())
 CONTENT = frozenset(["article", "main"])
 # An end tag may be left out: a start tag of the left closes an open element of the right.
@@ -32,13 +32,18 @@ CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "
 BLOCKS_CLOSE_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol pre section table ul".split())
 # Words of a class, id or role that name something beside the article.
 NOISE = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead topbar notice notices cookie cookies consent popup modal overlay newsletter subscribe signup comment comments respond replies disqus share sharing social related recommended widget toolbar pagination pager login search complementary contentinfo alert".split())
+#: Those that an article itself doesn't use for its parts; inside it only these count, as a whole name.
+NEVER_TEXT = NOISE - frozenset("alert notice notices related recommended share social search comment promotion login banner menu overlay toolbar signup subscribe respond complementary contentinfo masthead footer navigation".split())
 _WORDS = re.compile(r"[A-Za-z]+")
 
 
-def noisy(attributes: str) -> bool:
-    """Whether a class, id or role names a part beside the article."""
+def noisy(attributes: str, whole: frozenset[str] | None = None) -> bool:
+    """Whether a class, id or role names a part beside the article; with `whole`, only if it is one of these names."""
     for m in NAMED.finditer(attributes):
-        if any(w.lower() in NOISE for w in _WORDS.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", m[1] or m[2] or m[3] or ""))):
+        if whole is not None:
+            if any(w in whole for w in (m[1] or m[2] or m[3] or "").lower().split()):
+                return True
+        elif any(w.lower() in NOISE for w in _WORDS.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", m[1] or m[2] or m[3] or ""))):
             return True
     return False
 
@@ -84,9 +89,12 @@ def runs(page: str) -> Iterator[tuple[str, str, bool, bool, bool]]:
             kind = NAMED.search(attributes) if attributes else None
             path = f"{path}/{name}" + (f".{kind[0].strip()}" if kind else "")
             aside, inside = (stack[-1][2], stack[-1][3]) if stack else (False, False)
-            inside |= name in CONTENT
+            # A content element goes by its whole names, what is inside one by fewer of them.
+            names = NEVER_TEXT if inside else NOISE if name in CONTENT else None
+            aside |= name in ASIDE or bool(kind) and name not in ("html", "body") and noisy(attributes, names)
+            inside |= name in CONTENT and not aside
             # A header inside an article holds its title; one outside, the site's.
-            aside |= name in ASIDE or name == "header" and not inside or bool(kind) and name not in ("html", "body") and noisy(attributes)
+            aside |= name == "header" and not inside
             yield path, "", True, aside, inside
             if name not in VOID and not attributes.endswith("/") and (block or kind):
                 stack.append((name, path, aside, inside))
@@ -101,14 +109,12 @@ def token(path: str, text: str) -> int:
 def extract(page: str, template: frozenset[int] = frozenset()) -> str:
     """Main text of a page: what fills the slots of its host's template.
 
-    Runs of text that are template tokens go. Of the others, those inside article or main count if the page has
-    any, else those of the whole page; what is aside (menus, headers, footers, adverts, forms, comments) never.
+    Runs of text that are template tokens go. Of the others, those inside an article or main that is not aside count if
+    there are any, else those of the whole page; what is aside (menus, headers, footers, adverts, forms, comments) never.
     """
     inner: list[str] = []
     outer: list[str] = []
-    any_inside = False
     for path, text, fresh, aside, inside in runs(page):
-        any_inside |= inside
         if not text:
             continue
         for out, own in ((inner, inside), (outer, True)):
@@ -116,8 +122,8 @@ def extract(page: str, template: frozenset[int] = frozenset()) -> str:
                 out.append(" ")
             if own and not aside and not (template and token(path, text) in template):
                 out.append(text)
-    got = "".join(inner if any_inside else outer)
-    return " ".join(entities.unescape(got).split())
+    clean = lambda x: " ".join(entities.unescape("".join(x)).split())
+    return clean(inner) or clean(outer)
 
 
 def host_of(url: str) -> Column:

@@ -459,3 +459,13 @@ def test_short_lines_of_the_query(spark, tmp_path):
     want = ["Privacy policy\nok\n--\nfirst", "--\nsecond", "了解\n", "a\nab"]
     got = {r["doc_id"]: (r["n_removed"], r["text_sha256"]) for r in line_dedup.op8_line_dedup(spark, str(tmp_path)).collect()}
     assert got == {i: (t.count("\n") - w.count("\n"), hashlib.sha256(w.encode()).hexdigest()) for i, (t, w) in enumerate(zip(texts, want))}
+
+
+@pytest.mark.parametrize(
+    "body, text",
+    [("<div class=entry><p>Body</p></div><section id=comments><article class=comment>Nice</article></section>", "Body"), ("<div><p>Body</p></div><aside><article>Other</article></aside>", "Body"),
+     ("<p>Body</p><main> <p></p></main>", "Body"), ("<article><section id=related-work>Others</section><p class=alert>Mind</p><div class='search notice'>x</div></article>", "Others Mind x"),
+     ("<article>so <math><semantics><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></semantics></math> holds</article>", "so x=1 holds"), ("<article class='post comment-open'>Body<ul class=comments><li>Nice</ul></article>", "Body")],
+)
+def test_main_text_is_not_dropped(body, text):
+    assert html_text.extract(PAGE % body) == text
