@@ -137,7 +137,8 @@ class Index:
 
     def _bands(self, text: str, g: np.ndarray, pos: np.ndarray, left: np.ndarray) -> Iterator[tuple[int, int]]:
         count = np.searchsorted(self.hash, g[pos], side="right") - left
-        for a in _pieces(count, 2_000_000):
+        seen: dict[tuple[int, int], int] = {}  # item and 4096 characters of text: where it was found
+        for a in _pieces(count, 2_000_000, self.reach + 1):
             n = count[a]
             at = np.repeat(left[a], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             of, diagonal = self.of[at], np.repeat(pos[a], n) - self.off[at]
@@ -156,25 +157,31 @@ class Index:
                 start = (int(k) - (n << 40) - (1 << 30)) * half
                 if last[0] == n and start - last[1] <= 2 * half:
                     continue  # the same region, in the next band
+                here = max(0, start + half)
+                near = (seen.get((item, (here >> 12) + d)) for d in (0, -1, 1))
+                if any(s is not None and "\x00" not in text[min(s, start if start > 0 else 0) : max(s, here) + 2 * len(pattern)] for s in near):
+                    continue  # the item, found in the same text already
                 if (exact := text.find(pattern, max(0, start), max(0, start) + 2 * half + len(pattern))) >= 0:
                     last = (n, start)
+                    seen[item, exact >> 12] = exact
                     yield n, exact
                 elif edits(pattern, text, start + half, budget) <= budget:
                     last = (n, start)
-                    yield n, max(0, start + half)
+                    seen[item, here >> 12] = here
+                    yield n, here
 
 
-def _pieces(count: np.ndarray, most: int) -> Iterator[slice]:
-    """Slices of about `most` postings; a slice overlaps the next so that no region is cut."""
+def _pieces(count: np.ndarray, most: int, overlap: int) -> Iterator[slice]:
+    """Slices of about `most` postings; a slice overlaps the next by the positions of a region, so that none is cut."""
     total = np.cumsum(count)
     a = 0
     while a < len(count):
         b = int(np.searchsorted(total, (total[a - 1] if a else 0) + most, side="right"))
-        b = max(b, a + 1)
+        b = max(b, a + 2 * overlap)
         yield slice(a, b)
         if b >= len(count):
             return
-        a = max(a + 1, b - 4096)
+        a = b - overlap
 
 
 def _parts(benchmark: DataFrame, id: str, text: str, part_chars: int) -> list[list[tuple[int, str]]]:
@@ -186,11 +193,11 @@ def _parts(benchmark: DataFrame, id: str, text: str, part_chars: int) -> list[li
         yield [(r["i"], r["t"]) for r in items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k).collect()]
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_id: str = "item_id", item_text: str = "text", out: str = "item_ids", q: int = 8, window: int = 80, step: int = 40, rate: float = 0.075, part_chars: int = 4_000_000) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_id: str = "item_id", item_text: str = "text", out: str = "item_ids", q: int = 8, window: int = 80, step: int = 1, rate: float = 0.075, part_chars: int = 100_000) -> DataFrame:
     """docs with `out`, the sorted ids of the benchmark items of which a window stands in the text (none: empty).
 
     Texts are compared in lower case with single spaces. An item is cut into windows of `window` characters every
-    `step` (a shorter item is one window). A window stands in a text if a stretch of it is within rate * length
+    `step` (a shorter item is one window); with a step of 1 no passage of `window` characters is missed. A window stands in a text if a stretch of it is within rate * length
     edits. q-grams of the text that the benchmark has are joined with their postings; hits are counted in bands of
     diagonals, each overlapping the next by half; a band with fewer than length - q + 1 - q * edits hits is left
     out, and what remains is verified by banded alignment.

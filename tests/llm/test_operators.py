@@ -469,3 +469,28 @@ def test_short_lines_of_the_query(spark, tmp_path):
 )
 def test_main_text_is_not_dropped(body, text):
     assert html_text.extract(PAGE % body) == text
+
+
+def test_any_passage_of_a_window_is_found(spark):
+    """Passages of 80 characters, wherever they begin in an item, with as many edits as a window may have."""
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrst", k=rng.randint(2, 8)))
+    items = [(n, decontaminate.normalise(" ".join(word() for _ in range(60)))) for n in range(5)]
+    rows, want = [], {}
+    for n in range(60):
+        item, t = items[n % 5]
+        a = rng.randrange(len(t) - 79)
+        c = list(t[a : a + 80])
+        for k in rng.sample(range(80), (0, 3, 6)[n % 3]):
+            c[k] = "#"
+        rows.append((n, " ".join(word() for _ in range(20)) + " x" + "".join(c) + "x " + " ".join(word() for _ in range(20))))
+        want[n] = [item]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert {r["doc_id"]: r["item_ids"] for r in decontaminate.contaminated(docs, bench).collect()} == want
+
+
+def test_pieces_of_postings_move_on():
+    count = np.full(20_000, 5_000)
+    parts = list(decontaminate._pieces(count, 2_000_000, 93))
+    assert len(parts) < 200 and parts[0].start == 0 and parts[-1].stop >= len(count)
+    assert all(b.start == a.stop - 93 for a, b in zip(parts, parts[1:]))
