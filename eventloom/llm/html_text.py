@@ -1,8 +1,8 @@
 """Main text of web pages by equivalence classes of tokens over the pages of a host.
 
 Tokens of a host's pages that occur equally often in each page form an equivalence class. Classes that hold in
-nearly all pages are the host's template; nested by their places in the page, they leave slots, and the text of a
-page is what fills the slots inside the content element.
+nearly all pages are the host's template. Classes are neither ordered nor nested, and no slots are derived: runs of text
+that are tokens of the template go, and the content is chosen by fixed lists of element names and class words.
 """
 
 from __future__ import annotations
@@ -107,7 +107,7 @@ def token(path: str, text: str) -> int:
 
 
 def extract(page: str, template: frozenset[int] = frozenset()) -> str:
-    """Main text of a page: what fills the slots of its host's template.
+    """Main text of a page, without its host's template.
 
     Runs of text that are template tokens go. Of the others, those inside an article or main that is not aside count if
     there are any, else those of the whole page; what is aside (menus, headers, footers, adverts, forms, comments) never.
