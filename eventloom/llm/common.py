@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -36,6 +37,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def saved(df: DataFrame) -> DataFrame:
+    """df written as Parquet in the shared folder and read again: cut() for tables of which later steps read some columns."""
+    path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names that start like the given ones and are not in df."""
     taken, out = {c.lower() for c in df.columns}, []
