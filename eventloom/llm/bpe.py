@@ -10,8 +10,10 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import held, table
 
 END = "</w>"
+#: Stretches and words that a worker remembers: some 100 MB each.
+CHUNKS, WORDS = 500_000, 200_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -107,7 +111,8 @@ class BpeCoder:
             self.born[t] = n
             self.parts[t] = (vocab[a], vocab[b])
             self.made[vocab[a], vocab[b]] = n
-        self.fits_memo: dict[tuple[int, int], bool] = {}
+        self.fits_memo: dict[int, bool] = {}
+        self.ends: dict[int, tuple[tuple[int, int], ...]] = {}
         self.size: dict[int, int] = {}
         self.tree = SuffixAutomaton()
         # Shortest first, and only tokens that are the encoding of their own text.
@@ -118,8 +123,11 @@ class BpeCoder:
             self.size[t] = len(s)
             self.tree.add(s, t)
         self.tree.finish()
-        self.words: dict[str, tuple[bytes, str]] = {}
-        self.chunks: dict[str, tuple[bytes, str]] = {}
+        self.spelling = np.array([self.names.get(i, "") for i in range(max(self.names) + 1)], object)
+        self.words: dict[str, tuple[int, ...]] = {}
+        self.older_words: dict[str, tuple[int, ...]] = {}
+        self.numbers: dict[str, int] = {}
+        self.ids, self.starts = array("I"), array("q", [0])
 
     def _own(self, a: int, b: int) -> bool:
         """Whether merging makes the token of parts a and b from its own symbols: up to its merge the border holds."""
@@ -127,12 +135,22 @@ class BpeCoder:
 
     def fits(self, a: int, b: int) -> bool:
         """Whether token b can stand after token a: no merge crosses their border at any time."""
-        if (known := self.fits_memo.get((a, b))) is None:
+        if (known := self.fits_memo.get(a << 32 | b)) is None:
             if len(self.fits_memo) > 200_000:
                 self.fits_memo.clear()
-            known = self.fits_memo[a, b] = self._holds(a, b, None)
+            known = self.fits_memo[a << 32 | b] = self._holds(a, b, None)
         return known
 
+    def _ends(self, v: int) -> tuple[tuple[int, int], ...]:
+        """(token, symbols) of each token that ends the longest string of state v, longest first."""
+        tree, out = self.tree, []
+        u = v if tree.mark[v] >= 0 else tree.up[v]
+        while u > 0:
+            out.append((tree.mark[u], self.size[tree.mark[u]]))
+            u = tree.up[u]
+        self.ends[v] = tuple(out)
+        return self.ends[v]
+
     def _holds(self, a: int, b: int, until: int | None) -> bool:
         """Go back in time from the finished tokens at a border and look for a merge across it.
 
@@ -160,76 +178,106 @@ class BpeCoder:
         """Ids of one pre-token."""
         raw = text.encode("utf-8").decode("latin-1")
         s = raw[:-1] + chr(ord(raw[-1]) + 256)
-        tree, size, fits = self.tree, self.size, self.fits
-        nxt, link, length, mark, up = tree.next, tree.link, tree.len, tree.mark, tree.up
-        last = [-1] * (len(s) + 1)
+        nxt, link, length, ends = self.tree.next, self.tree.link, self.tree.len, self.ends
+        known, fits = self.fits_memo.get, self.fits
+        last = [0] * (len(s) + 1)
         v = m = 0
         for i, c in enumerate(s, 1):
-            while v and c not in nxt[v]:
+            while (to := nxt[v].get(c)) is None and v:
                 v = link[v]
                 m = length[v]
-            v = nxt[v].get(c, 0)
-            m = m + 1 if v else 0
-            u = v if mark[v] >= 0 and length[v] <= m else up[v]
-            while u > 0:
-                t = mark[u]
-                j = i - size[t]
-                if not j or fits(last[j], t):
-                    last[i] = t
-                    break
-                u = up[u]
+            if to is None:
+                v = m = 0
+                continue
+            v = to
+            m += 1
+            for t, n in ends.get(v) or self._ends(v):
+                if n > m:
+                    continue
+                if n != i:
+                    before = last[i - n]
+                    ok = known(before << 32 | t)
+                    if not (fits(before, t) if ok is None else ok):
+                        continue
+                last[i] = t
+                break
         out, i = [], len(s)
         while i:
             out.append(last[i])
-            i -= size[last[i]]
+            i -= self.size[last[i]]
         return out[::-1]
 
+    # Letters and digits that the regex module knows and the library's Unicode tables (of version 16) don't.
+    NEWER = (
+        "\U00000558\U0000058b-\U0000058c\U0000088f\U00000c5c\U00000cdc\U0000208f\U0000209d-\U0000209f\U0000a7ce-\U0000a7cf"
+        "\U0000a7d2\U0000a7d4\U0000a7dd\U0000a7e2\U0000a7f1\U0000ab6c-\U0000ab6d\U000107bb-\U000107bf\U00010940-\U00010959"
+        "\U00010ec5-\U00010ec7\U00010ed9-\U00010eee\U00011b0a\U00011db0-\U00011ddb\U00011df1\U00016ea0-\U00016eb8\U00016ebb-\U00016ed3\U00016ff2-\U00016ff3"
+        "\U000187f8-\U000187ff\U00018cd6-\U00018cda\U00018d09-\U00018d20\U00018d80-\U00018df2\U00018e00-\U00019191\U000191a0-\U000191d2\U0001b123-\U0001b128\U0001b168"
+        "\U0001d6a6\U0001df1f-\U0001df24\U0001df2b-\U0001df81\U0001df90-\U0001df96\U0001dfcd-\U0001dfff\U0001e6c0-\U0001e6de\U0001e6e0-\U0001e6e2\U0001e6e4-\U0001e6e5"
+        "\U0001e6e7-\U0001e6ed\U0001e6f0-\U0001e6f4\U0001e6fe-\U0001e6ff\U0002b73a-\U0002b73f\U0002b81e\U0002cea2-\U0002cead\U000323b0-\U00033479\U0003d000-\U0003fc3f"
+    )
+    # Capitals of Unicode 16, which Python may not lower yet, and a sigma that the library never takes for the end of a word.
+    LOWER = {0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B, 0x1C89: 0x1C8A, ord("Σ"): ord("σ")} | {c: c + 32 for c in range(0x10D50, 0x10D66)}
     # The pre-token pattern of the vocabulary file.
-    PRE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|(?:[^\s\p{L}\p{N}]|[\x1c-\x1f])+")
+    PRE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}--[%s]]+|[\p{N}--[%s]]|(?:[^\s\p{L}\p{N}]|[%s]|[\x1c-\x1f])+" % (NEWER, NEWER, NEWER), regex.V1)
     # Four control characters that Python takes for white space and the pattern does not.
     ODD = regex.compile("[\x1c-\x1f]")
     SPACE = regex.compile(r"(?:(?![\x1c-\x1f])\s)+")
 
-    def _coded(self, ids: list[int]) -> tuple[bytes, str]:
-        return b"".join(i.to_bytes(4, "little") for i in ids), " ".join(self.names[i] for i in ids)
-
-    def _chunk(self, chunk: str) -> tuple[bytes, str]:
-        """Ids and decoded text of a stretch without white space."""
-        ids: list[bytes] = []
-        names: list[str] = []
+    def _chunk(self, chunk: str) -> list[int]:
+        """Ids of a stretch without white space."""
+        out: list[int] = []
         for part in self.at_special.split(chunk) if self.at_special and "<" in chunk else [chunk]:
             if part in self.special:
-                got = [self._coded([self.special[part]])]
-            else:
-                if not part.isascii():
-                    part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
-                got = []
-                for w in self.PRE.findall(part.lower()):
-                    if (known := self.words.get(w)) is None:
-                        known = self._coded(self.word(w))
-                        if len(w) <= 64:
-                            if len(self.words) > 150_000:
-                                self.words.clear()
-                            self.words[w] = known
-                    got.append(known)
-            ids += [g[0] for g in got]
-            names += [g[1] for g in got]
-        return b"".join(ids), " ".join(names)
-
-    def encode(self, text: str) -> tuple[bytes, str]:
-        """Ids of a text as little-endian 32-bit integers, and the decoded text."""
-        chunks, ids, names = self.chunks, [], []
-        for c in self.SPACE.split(text) if self.ODD.search(text) else text.split():
-            if (known := chunks.get(c)) is None:
-                known = self._chunk(c)
-                if len(c) <= 64:
-                    if len(chunks) > 150_000:
-                        chunks.clear()
-                    chunks[c] = known
-            if known[0]:
-                ids.append(known[0])
-                names.append(known[1])
-        return b"".join(ids), " ".join(names)
+                out.append(self.special[part])
+                continue
+            if not part.isascii():
+                part = unicodedata.normalize("NFC", part).translate(self.LOWER)
+            part = part.lower()
+            for w in [part] if part.isalpha() else self.PRE.findall(part):
+                if (known := self.words.get(w) or self.older_words.get(w)) is None:
+                    known = tuple(self.word(w))
+                if len(w) <= 64:
+                    if len(self.words) > WORDS:
+                        self.older_words, self.words = self.words, {}
+                    self.words[w] = known
+                out += known
+        return out
+
+    def _split(self, text: str) -> list[str]:
+        return [c for c in self.SPACE.split(text) if c] if self.ODD.search(text) else text.split()
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and where each text's begin (with the end).
+
+        Each different stretch is encoded once and numbered; what is repeated is looked up, and ids are put in place
+        for all stretches of the texts at once.
+        """
+        if len(self.numbers) > CHUNKS:
+            self.numbers, self.ids, self.starts = {}, array("I"), array("q", [0])
+        numbers, ids, starts = self.numbers, self.ids, self.starts
+        at, counts, passing = array("q"), [], {}
+        for text in texts:
+            got = self._split(text)
+            counts.append(len(got))
+            for c in got:
+                if (n := numbers.get(c)) is None:
+                    if len(c) > 64 and (n := passing.get(c)) is None or len(c) <= 64:
+                        ids.extend(self._chunk(c))
+                        n = len(starts) - 1
+                        starts.append(len(ids))
+                        (numbers if len(c) <= 64 else passing)[c] = n
+                at.append(n)
+        which, first = np.frombuffer(at, np.int64), np.frombuffer(starts, np.int64).copy()
+        size = (first[1:] - first[:-1])[which] if len(which) else np.empty(0, np.int64)
+        ends = np.cumsum(size)
+        take = np.repeat(first[:-1][which] - (ends - size), size) + np.arange(size.sum()) if len(which) else np.empty(0, np.int64)
+        edge = np.r_[0, ends][np.r_[0, np.cumsum(counts)].astype(np.int64)]
+        return np.frombuffer(ids, np.uint32)[take] if len(take) else np.empty(0, np.uint32), edge
+
+    def decode(self, ids: np.ndarray) -> str:
+        """Text of ids, as the library's decode(ids, skip_special_tokens=False): tokens with a space between."""
+        return " ".join(self.spelling[ids])
 
 
 def coder(spec: str) -> BpeCoder:
@@ -255,15 +303,18 @@ def bpe(df: DataFrame, spec: str, *, text: str = "text", keep: tuple[str, ...] =
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                got = [c.encode(t or "") for t in part[text].to_pylist()]
-                out = [part[k] for k in keep] + [pa.array([len(x[0]) // 4 for x in got], pa.int64())]
+                all_ids, edge = c.encode([t or "" for t in part[text].to_pylist()])
+                raw = all_ids.astype("<u4", copy=False)
+                got = [raw[x:y] for x, y in zip(edge[:-1].tolist(), edge[1:].tolist())]
+                out = [part[k] for k in keep] + [pa.array(np.diff(edge), pa.int64())]
+                texts = [c.decode(x) for x in got] if decoded or digests else []
                 if ids:
-                    out.append(pa.array([x[0] for x in got], pa.binary()))
+                    out.append(pa.array([x.tobytes() for x in got], pa.binary()))
                 if decoded:
-                    out.append(pa.array([x[1] for x in got], pa.string()))
+                    out.append(pa.array(texts, pa.string()))
                 if digests:
-                    out.append(pa.array([hashlib.sha256(x[0]).hexdigest() for x in got], pa.string()))
-                    out.append(pa.array([hashlib.sha256(x[1].encode("utf-8")).hexdigest() for x in got], pa.string()))
+                    out.append(pa.array([hashlib.sha256(x).hexdigest() for x in got], pa.string()))
+                    out.append(pa.array([hashlib.sha256(x.encode("utf-8")).hexdigest() for x in texts], pa.string()))
                 yield pa.RecordBatch.from_arrays(out, [*keep, "n_tokens", *[n for n, _, on in more if on]])
 
     return df.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
