@@ -71,21 +71,45 @@ def best_stretch(pattern: str, text: str) -> int:
     return min(row)
 
 
-def dedup_lines(docs: list[tuple[int, str | None]], lines: dict[tuple[int, int], tuple[str, int]]) -> dict[int, set[int]]:
-    """doc_id -> positions to cut; lines: (doc_id, position) -> (normalised line, SimHash) of lines long enough."""
+def within(a: str, b: str, most: int) -> bool:
+    """Whether the edit distance is at most `most`: a banded alignment."""
+    if abs(len(a) - len(b)) > most:
+        return False
+    row = {j: j for j in range(min(most, len(b)) + 1)}
+    for i, x in enumerate(a, 1):
+        new = {}
+        for j in range(max(0, i - most), min(len(b), i + most) + 1):
+            new[j] = i if j == 0 else min(row.get(j - 1, most + 1) + (x != b[j - 1]), row.get(j, most + 1) + 1, new.get(j - 1, most + 1) + 1)
+        row = new
+    return row.get(len(b), most + 1) <= most
+
+
+def near_lines(names: list[str], similarity: float = 0.9, least: int = 9) -> list[tuple[str, str]]:
+    """All pairs of different lines within the edit similarity. An edit spoils one of a line's 6-grams without overlap at most."""
+    names = sorted((n for n in names if len(n) >= least), key=len)
+    grams = [{n[k : k + 6] for k in range(len(n) - 5)} for n in names]
+    out = []
+    for j, y in enumerate(names):
+        most = int(len(y) * (1 - similarity) + 1e-9)
+        pieces = {y[k : k + 6] for k in range(0, len(y) - 5, 6)}
+        i = j - 1
+        while i >= 0 and len(names[i]) >= len(y) - most:
+            if most and len(pieces - grams[i]) <= most and within(names[i], y, most):
+                out.append((names[i], y))
+            i -= 1
+    return out
+
+
+def dedup_lines(docs: list[tuple[int, str | None]], lines: dict[tuple[int, int], str]) -> dict[int, set[int]]:
+    """doc_id -> positions to cut; lines: (doc_id, position) -> normalised line. All pairs, by edit similarity alone."""
     groups = Groups()
-    sims = {n: s for n, s in lines.values()}
-    names = sorted(sims)
-    for i, a in enumerate(names):
-        groups.find(a)
-        for b in names[i + 1 :]:
-            if ((sims[a] ^ sims[b]) & ((1 << 64) - 1)).bit_count() <= 3 and edit_distance(a, b) <= int(max(len(a), len(b)) * 0.1 + 1e-9):
-                groups.join(a, b)
+    for a, b in near_lines(list(set(lines.values()))):
+        groups.join(a, b)
     first: dict[str, tuple[int, int]] = {}
-    for at, (n, _) in sorted(lines.items()):
+    for at, n in sorted(lines.items()):
         first.setdefault(groups.find(n), at)
     out = defaultdict(set)
-    for at, (n, _) in lines.items():
+    for at, n in lines.items():
         if first[groups.find(n)] != at:
             out[at[0]].add(at[1])
     return out
