@@ -47,57 +47,43 @@ def grams(c: np.ndarray, q: int) -> np.ndarray:
     return out * np.uint64(0xD6E8FEB86659FD93)
 
 
-def edits(pattern: str, text: str, at: int, budget: int) -> int:
-    """Least edits that turn pattern into a stretch of text that starts near `at`, or budget + 1 if more.
+def edits(patterns: np.ndarray, text: np.ndarray, at: np.ndarray, budget: int) -> np.ndarray:
+    """For each row of patterns, the least edits that turn it into a stretch of text that starts near `at`, or budget + 1 if more.
 
-    A banded alignment: cells more than 2 * budget away from the diagonal of `at` are left out; the stretch may
-    start and end anywhere in the band.
+    Banded alignments of all rows at once, as codes: cells more than 2 * budget away from the diagonal of `at` are left
+    out; the stretch may start and end anywhere in the band.
     """
     width, over = 2 * budget, budget + 1
-    lo = at - width
-    span = 2 * width + 1
-    row = [0 if 0 <= lo + k <= len(text) else over for k in range(span)]  # row[k]: text position lo + i + k
-    for i, c in enumerate(pattern, 1):
-        new, best = [over] * span, over
-        for k in range(span):
-            j = lo + i + k
-            if not 0 <= j <= len(text):
-                continue
-            x = over
-            if j > 0:
-                x = row[k] + (text[j - 1] != c)
-                if k and new[k - 1] + 1 < x:
-                    x = new[k - 1] + 1
-            if k + 1 < span and row[k + 1] + 1 < x:
-                x = row[k + 1] + 1
-            new[k] = x
-            if x < best:
-                best = x
-        if best > budget:
-            return over
-        row = new
-    return min(row)
+    step = np.arange(2 * width + 1)
+    place = at[:, None] - width + step  # text position of each cell, less the pattern's
+    row = np.where((place >= 0) & (place <= len(text)), 0, over)
+    for i in range(1, patterns.shape[1] + 1):
+        j = place + i
+        c = text[np.clip(j - 1, 0, len(text) - 1)]
+        new = np.where(j > 0, row + (c != patterns[:, i - 1 : i]), over)
+        new[:, :-1] = np.minimum(new[:, :-1], row[:, 1:] + 1)
+        new = np.where((j >= 0) & (j <= len(text)), new, over)
+        row = np.minimum(np.minimum.accumulate(new - step, axis=1) + step, over)  # and from the left
+        row = np.where((j >= 0) & (j <= len(text)), row, over)
+    return row.min(axis=1)
 
 
 class Index:
-    """Windows of benchmark items and the postings of their q-grams."""
+    """Benchmark items and the postings of their q-grams. Every stretch of `window` characters of an item is a window."""
 
-    def __init__(self, items: list[tuple[int, str]], q: int, window: int, step: int, rate: float) -> None:
+    def __init__(self, items: list[tuple[int, str]], q: int, window: int, rate: float) -> None:
         self.q = q
-        self.windows: list[tuple[int, str, int]] = []  # item, text, edit budget
-        for item, text in items:
-            t = normalise(text)
-            starts = [0] if len(t) <= window else [*range(0, len(t) - window, step), len(t) - window]
-            for s in starts:
-                w = t[s : s + window]
-                budget = min(int(rate * len(w)), (len(w) - q) // q) if len(w) >= q else 0
-                if w:
-                    self.windows.append((item, w, budget))
-        # The lemma: windows within e edits share at least length - q + 1 - q * e of their q-grams with the text.
-        self.need = np.array([max(1, len(w) - q + 1 - q * e) for _, w, e in self.windows], np.int64)
-        self.span = np.array([2 * max(e, 4) for _, _, e in self.windows], np.int64)  # width of a band
-        self.short = [n for n, (_, w, _) in enumerate(self.windows) if len(w) < q]
-        hashes = [grams(codes(w), q) for _, w, _ in self.windows]
+        self.items = [(i, t) for i, t in ((i, normalise(t)) for i, t in items) if t]
+        self.codes = [codes(t) for _, t in self.items]
+        size = np.array([len(t) for _, t in self.items], np.int64)
+        self.size = np.minimum(size, window)  # of the windows
+        self.last = size - self.size  # start of the last window
+        self.budget = np.where(self.size >= q, np.minimum((rate * self.size).astype(np.int64), (self.size - q) // q), 0)
+        # The lemma: windows within e edits share at least size - q + 1 - q * e of their q-grams with the text.
+        self.need = np.maximum(1, self.size - q + 1 - q * self.budget)
+        self.half = np.maximum(self.budget, 4)  # of the width of a band
+        self.short = np.flatnonzero(self.size < q).tolist()
+        hashes = [grams(c, q) for c in self.codes]
         h = np.concatenate([*hashes, np.empty(0, np.uint64)])
         of = np.repeat(np.arange(len(hashes)), [len(x) for x in hashes]).astype(np.int64)
         off = np.concatenate([*[np.arange(len(x)) for x in hashes], np.empty(0, np.int64)]).astype(np.int64)
@@ -105,83 +91,93 @@ class Index:
         self.hash, self.of, self.off = h[order], of[order], off[order]
         self.bits = np.zeros(1 << BITS, bool)
         self.bits[self.hash >> np.uint64(64 - BITS)] = True
-        whole = [n for n in range(len(self.windows)) if n not in set(self.short)]
-        self.least = int(self.need[whole].min()) if whole else 0
-        self.reach = max([len(w) + 2 * e for _, w, e in self.windows], default=0)
+        self.least = int(self.need[self.size >= q].min()) if (self.size >= q).any() else 0
+        self.reach = int((self.size + 2 * self.budget).max()) if len(size) else 0
 
-    def hits(self, text: str, c: np.ndarray) -> Iterator[tuple[int, int]]:
-        """(window, position in text) of each verified region of a concatenation of normalised texts."""
+    def find(self, text: str, c: np.ndarray, starts: list[int]) -> set[tuple[int, int]]:
+        """(part, item) of the items of which a window stands in a part of text, whose parts begin at starts."""
+        found: set[tuple[int, int]] = set()
         g = grams(c, self.q)
         if len(g) and len(self.hash):
             pos = np.flatnonzero(self.bits[g >> np.uint64(64 - BITS)])
-            if len(pos):
-                left = np.searchsorted(self.hash, g[pos])
-                found = self.hash[np.minimum(left, len(self.hash) - 1)] == g[pos]
-                pos, left = pos[found], left[found]
+            left = np.searchsorted(self.hash, g[pos])
+            ok = self.hash[np.minimum(left, len(self.hash) - 1)] == g[pos]
+            pos, left = pos[ok], left[ok]
             # Only where a stretch as long as the longest region holds as many hits as the least need.
             if len(pos) >= self.least:
                 n = self.least - 1
-                ok = np.zeros(len(pos), bool)
-                close = np.flatnonzero(pos[n:] - pos[: len(pos) - n] <= self.reach) if n else np.arange(len(pos))
+                close = np.flatnonzero(pos[n:] - pos[: len(pos) - n] <= self.reach)
                 edge = np.zeros(len(pos) + 1, np.int64)
                 np.add.at(edge, close, 1)
                 np.add.at(edge, close + n + 1, -1)
                 ok = np.cumsum(edge[:-1]) > 0
                 pos, left = pos[ok], left[ok]
-                if len(pos):
-                    yield from self._bands(text, g, pos, left)
+                count = np.searchsorted(self.hash, g[pos], side="right") - left
+                for a, b in pieces(pos, count, 2_000_000, 2 * self.reach):
+                    self._regions(text, c, np.array(starts), pos[a:b], left[a:b], count[a:b], found)
         for n in self.short:
-            w, at = self.windows[n][1], -1
+            item, w = self.items[n]
+            at = -1
             while (at := text.find(w, at + 1)) >= 0:
-                yield n, at
-
-    def _bands(self, text: str, g: np.ndarray, pos: np.ndarray, left: np.ndarray) -> Iterator[tuple[int, int]]:
-        count = np.searchsorted(self.hash, g[pos], side="right") - left
-        seen: dict[tuple[int, int], int] = {}  # item and 4096 characters of text: where it was found
-        for a in _pieces(count, 2_000_000, self.reach + 1):
-            n = count[a]
-            at = np.repeat(left[a], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            of, diagonal = self.of[at], np.repeat(pos[a], n) - self.off[at]
-            span = self.span[of]
-            band = np.floor_divide(diagonal, span // 2)
-            # Each diagonal lies in two bands that overlap by half.
-            key = np.concatenate([of * (1 << 40) + band + (1 << 30), of * (1 << 40) + band - 1 + (1 << 30)])
-            keys, hits = np.unique(key, return_counts=True)
-            w = keys >> 40
-            keep = hits >= self.need[w]
-            last = (-1, -1)
-            for k, n in zip(keys[keep], w[keep]):
-                n = int(n)
-                item, pattern, budget = self.windows[n]
-                half = int(self.span[n]) // 2
-                start = (int(k) - (n << 40) - (1 << 30)) * half
-                if last[0] == n and start - last[1] <= 2 * half:
-                    continue  # the same region, in the next band
-                here = max(0, start + half)
-                near = (seen.get((item, (here >> 12) + d)) for d in (0, -1, 1))
-                if any(s is not None and "\x00" not in text[min(s, start if start > 0 else 0) : max(s, here) + 2 * len(pattern)] for s in near):
-                    continue  # the item, found in the same text already
-                if (exact := text.find(pattern, max(0, start), max(0, start) + 2 * half + len(pattern))) >= 0:
-                    last = (n, start)
-                    seen[item, exact >> 12] = exact
-                    yield n, exact
-                elif edits(pattern, text, start + half, budget) <= budget:
-                    last = (n, start)
-                    seen[item, here >> 12] = here
-                    yield n, here
-
-
-def _pieces(count: np.ndarray, most: int, overlap: int) -> Iterator[slice]:
-    """Slices of about `most` postings; a slice overlaps the next by the positions of a region, so that none is cut."""
+                found.add((int(np.searchsorted(starts, at, side="right")) - 1, item))
+        return found
+
+    def _regions(self, text: str, c: np.ndarray, starts: np.ndarray, pos: np.ndarray, left: np.ndarray, count: np.ndarray, found: set[tuple[int, int]]) -> None:
+        """Count hits in bands of diagonals, and verify the windows of an item that have as many as they need."""
+        at = np.repeat(left - np.cumsum(count) + count, count) + np.arange(count.sum())
+        of, off = self.of[at], self.off[at]
+        diagonal = np.repeat(pos, count) - off
+        band = np.floor_divide(diagonal, self.half[of])
+        # Each diagonal lies in two bands that overlap by half.
+        of, off, band = np.r_[of, of], np.r_[off, off], np.r_[band, band - 1]
+        order = np.lexsort((off, band, of))
+        of, off, band = of[order], off[order], band[order]
+        here = np.arange(len(of))
+        to = here + self.need[of] - 1
+        ok = to < len(of)
+        here, to = here[ok], to[ok]
+        ok = (of[to] == of[here]) & (band[to] == band[here]) & (off[to] - off[here] <= self.size[of[here]] - self.q)
+        here, to = here[ok], to[ok]
+        if not len(here):
+            return
+        # Windows that hold the hits from `here` to `to`, by item and band, each once.
+        n = of[here]
+        first = np.maximum(0, off[to] - (self.size[n] - self.q))
+        windows = np.maximum(np.minimum(off[here], self.last[n]) - first + 1, 0)
+        start = np.repeat(first - np.cumsum(windows) + windows, windows) + np.arange(windows.sum())
+        all_of = np.unique(np.stack([np.repeat(n, windows), np.repeat(band[here], windows), start]), axis=1)
+        n, low, start = all_of[0], all_of[1] * self.half[all_of[0]], all_of[2]
+        middle = low + self.half[n] + start
+        part = np.searchsorted(starts, np.clip(middle + self.size[n] // 2, 0, len(c) - 1), side="right") - 1
+        # The first window of each band as it is; then what is left of the items not yet found, by alignment.
+        for k in np.flatnonzero(np.r_[True, (n[1:] != n[:-1]) | (low[1:] != low[:-1])]).tolist():
+            item, t = self.items[n[k]]
+            if (int(part[k]), item) not in found:
+                s, size, half = int(start[k]), int(self.size[n[k]]), int(self.half[n[k]])
+                x = max(0, int(low[k]) + s)
+                if text.find(t[s : s + size], x, x + 2 * half + size) >= 0:
+                    found.add((int(part[k]), item))
+        for size, budget in {(int(self.size[x]), int(self.budget[x])) for x in np.unique(n)}:
+            mine = np.flatnonzero((self.size[n] == size) & (self.budget[n] == budget))
+            for a in range(0, len(mine), 1024):
+                k = np.array([x for x in mine[a : a + 1024].tolist() if (int(part[x]), self.items[n[x]][0]) not in found], np.int64)
+                if len(k):
+                    patterns = np.stack([self.codes[x][s : s + size] for x, s in zip(n[k].tolist(), start[k].tolist())])
+                    near = edits(patterns, c, middle[k], budget) <= budget
+                    found |= {(int(part[x]), self.items[n[x]][0]) for x in k[near].tolist()}
+
+
+def pieces(pos: np.ndarray, count: np.ndarray, most: int, reach: int) -> Iterator[tuple[int, int]]:
+    """Slices of hits with about `most` postings; a slice begins `reach` characters before the last one's end, so that no region is cut."""
     total = np.cumsum(count)
     a = 0
-    while a < len(count):
+    while a < len(pos):
         b = int(np.searchsorted(total, (total[a - 1] if a else 0) + most, side="right"))
-        b = max(b, a + 2 * overlap)
-        yield slice(a, b)
-        if b >= len(count):
+        b = max(b, int(np.searchsorted(pos, pos[a] + 2 * reach, side="right")))  # so that slices go on
+        yield a, b
+        if b >= len(pos):
             return
-        a = b - overlap
+        a = int(np.searchsorted(pos, pos[b] - reach))
 
 
 def _parts(benchmark: DataFrame, id: str, text: str, part_chars: int) -> list[list[tuple[int, str]]]:
@@ -193,14 +189,15 @@ def _parts(benchmark: DataFrame, id: str, text: str, part_chars: int) -> list[li
         yield [(r["i"], r["t"]) for r in items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k).collect()]
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_id: str = "item_id", item_text: str = "text", out: str = "item_ids", q: int = 8, window: int = 80, step: int = 1, rate: float = 0.075, part_chars: int = 100_000) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_id: str = "item_id", item_text: str = "text", out: str = "item_ids", q: int = 8, window: int = 80, rate: float = 0.075, part_chars: int = 2_000_000) -> DataFrame:
     """docs with `out`, the sorted ids of the benchmark items of which a window stands in the text (none: empty).
 
-    Texts are compared in lower case with single spaces. An item is cut into windows of `window` characters every
-    `step` (a shorter item is one window); with a step of 1 no passage of `window` characters is missed. A window stands in a text if a stretch of it is within rate * length
-    edits. q-grams of the text that the benchmark has are joined with their postings; hits are counted in bands of
-    diagonals, each overlapping the next by half; a band with fewer than length - q + 1 - q * edits hits is left
-    out, and what remains is verified by banded alignment.
+    Texts are compared in lower case with single spaces. Each stretch of `window` characters of an item is a window (a
+    shorter item is one). A window stands in a text if a stretch of it is within min(rate * length, (length - q) / q)
+    edits, which is rate * length from 20 characters on, and none for less. q-grams of the text that the benchmark has
+    are joined with their postings; hits are counted in bands of diagonals, each overlapping the next by half; windows
+    with fewer than length - q + 1 - q * edits hits in a band are left out, and what remains is verified by banded
+    alignment.
 
     Items go to the workers in parts of about part_chars characters, one pass over docs for each part, so what is
     broadcast stays bounded however large the benchmark is. Null or empty texts contain nothing; null or empty items
@@ -211,17 +208,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", i
     spark, names, result, first = docs.sparkSession, docs.columns, docs, True
     for items in _parts(benchmark, item_id, item_text, part_chars):
         if first or items:
-            result = _pass(spark, result, items, names, text, out, first, q, window, step, rate)
+            result = _pass(spark, result, items, names, text, out, first, q, window, rate)
             first = False
     return result
 
 
-def _pass(spark: SparkSession, docs: DataFrame, items: list[tuple[int, str]], names: list[str], text: str, out: str, first: bool, q: int, window: int, step: int, rate: float) -> DataFrame:
+def _pass(spark: SparkSession, docs: DataFrame, items: list[tuple[int, str]], names: list[str], text: str, out: str, first: bool, q: int, window: int, rate: float) -> DataFrame:
     shared, token = spark.sparkContext.broadcast(items), uuid.uuid4().hex
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = held(("decontaminate", token), lambda: Index(shared.value, q, window, step, rate))
+        index = held(("decontaminate", token), lambda: Index(shared.value, q, window, rate))
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
@@ -239,10 +236,9 @@ def search(index: Index, texts: list[str], stretch: int = 1_000_000) -> list[lis
     found: list[set[int]] = [set() for _ in texts]
 
     def look(joined: str, starts: list[int], of: list[int]) -> None:
-        for n, at in index.hits(joined, codes(joined)):
-            # A region that a separator splits is no region: alignment can't cross it within the budget.
-            length = len(index.windows[n][1])
-            found[of[int(np.searchsorted(starts, min(at + length // 2, len(joined) - 1), side="right")) - 1]].add(index.windows[n][0])
+        # A region that a separator splits is no region: alignment can't cross it within the budget.
+        for part, item in index.find(joined, codes(joined), starts):
+            found[of[part]].add(item)
 
     gap = "\x00" * (index.reach + 1)
     parts, starts, of, held = [], [], [], 0

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 import sys
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -205,15 +206,16 @@ def test_decontamination_is_brute_force():
     rng = random.Random(8)
     word = lambda: "".join(rng.choices(["th", "er", "on", "an", "re", "ing"], k=rng.randint(1, 3)))
     items = [(n, " ".join(word() for _ in range(rng.randint(2, 24)))) for n in range(12)]
-    index = decontaminate.Index(items, 8, 80, 40, 0.075)
+    index = decontaminate.Index(items, 8, 80, 0.075)
+    windows = [(i, t[k : k + 80], int(e)) for (i, t), e in zip(index.items, index.budget) for k in range(max(1, len(t) - 79))]
     for _ in range(120):
-        item, pattern, budget = rng.choice(index.windows)
+        item, pattern, budget = rng.choice(windows)
         s = list(pattern)
         for _ in range(rng.randrange(2 * budget + 2)):
             k = rng.randrange(len(s))
             s[k : k + 1] = rng.choice([["z"], [], [s[k], "q"]])
         text = decontaminate.normalise(" ".join(word() for _ in range(30)) + " " + "".join(s) + " " + " ".join(word() for _ in range(30)))
-        want = sorted({i for i, w, e in index.windows if brute.best_stretch(w, text) <= e})
+        want = sorted({i for i, w, e in windows if brute.best_stretch(w, text) <= e})
         assert decontaminate.search(index, [text])[0] == want
         assert decontaminate.search(index, ["", text, text], stretch=64)[1:] == [want, want]
 
@@ -510,7 +512,20 @@ def test_any_passage_of_a_window_is_found(spark):
 
 
 def test_pieces_of_postings_move_on():
-    count = np.full(20_000, 5_000)
-    parts = list(decontaminate._pieces(count, 2_000_000, 93))
-    assert len(parts) < 200 and parts[0].start == 0 and parts[-1].stop >= len(count)
-    assert all(b.start == a.stop - 93 for a, b in zip(parts, parts[1:]))
+    pos = np.arange(20_000) * 3
+    parts = list(decontaminate.pieces(pos, np.full(20_000, 5_000), 2_000_000, 93))
+    assert len(parts) < 200 and parts[0][0] == 0 and parts[-1][1] == len(pos)
+    assert all(pos[b[0]] <= pos[a[1] - 1] - 90 for a, b in zip(parts, parts[1:]))
+
+
+def test_phrases_that_many_items_share():
+    """A text of phrases that hundreds of items share is searched in seconds."""
+    rng = random.Random(14)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randint(3, 8)))
+    phrases = [" ".join(word() for _ in range(5)) for _ in range(6)]
+    items = [(n, " ".join(f"{rng.choice(phrases)} {word()}" for _ in range(6))) for n in range(200)]
+    index = decontaminate.Index(items, 8, 80, 0.075)
+    text = " ".join(f"{rng.choice(phrases)} {word()}" for _ in range(24))
+    start = time.perf_counter()
+    decontaminate.search(index, [text, items[7][1]])
+    assert 7 in decontaminate.search(index, [text, items[7][1]])[1] and time.perf_counter() - start < 30
