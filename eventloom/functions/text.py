@@ -11,6 +11,15 @@ from pyspark.sql import functions as F
 from . import fixed
 
 
+#: Characters that a name is stripped of: white space as Python knows it.
+SPACE = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
+
+def stripped(text: Column) -> Column:
+    """Text without white space of any kind at its ends."""
+    return F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+$", "")
+
+
 def words_but(words: Column, stopwords: list[str]) -> Column:
     """Non-empty words that are not stopwords, joined by spaces."""
     return F.array_join(F.filter(words, lambda w: (w != "") & ~w.isin(stopwords)), " ")
@@ -23,7 +32,7 @@ def normal_title(title: Column, stopwords: list[str] = fixed.TITLE_STOPWORDS) ->
 
 def normal_track(name: Column, stopwords: list[str] = fixed.TRACK_STOPWORDS) -> Column:
     """Lower-case words of a track name without its stopwords; punctuation stays on its word."""
-    return words_but(F.split(F.lower(name), r"(?U)\s+"), stopwords)
+    return words_but(F.split(F.lower(name), rf"{SPACE}+"), stopwords)
 
 
 def canonical_track(name: Column, aliases: list[tuple[str, list[str]]] = fixed.TRACK_ALIASES) -> Column:
@@ -35,7 +44,7 @@ def canonical_track(name: Column, aliases: list[tuple[str, list[str]]] = fixed.T
     for canonical, names in aliases:
         for alias in names:
             known[alias.lower()] = canonical
-    plain = F.lower(F.trim(name))
+    plain = F.lower(stripped(name))
     exact = F.create_map(*[x for a, c in known.items() for x in (F.lit(a), F.lit(c))])[plain] if known else F.lit(None)
     out = None
     for alias, canonical in known.items():

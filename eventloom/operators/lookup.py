@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.text import or_else
+from ..functions.text import or_else, stripped
 
 #: Rows up to which a dimension may be broadcast.
 BROADCAST_ROWS = 100_000
@@ -33,16 +33,16 @@ def resolve(df: DataFrame, name: str, aliases: DataFrame, out: str = "canonical"
     which is the same as standing between characters other than letters and digits; the first alias of four letters
     or more wins. Names are resolved once each, however often they come.
     """
-    plain = F.lower(F.trim(name))
+    plain = F.lower(stripped(F.col(name)))
     names = df.select(F.col(name).alias("n_")).filter("n_ is not null").distinct()
     edge = r"(?<=[a-z0-9])(?=[^a-z0-9])|(?<=[^a-z0-9])(?=[a-z0-9])"
-    words = F.filter(F.split(F.lower(F.trim("n_")), edge), lambda w: w != "")
+    words = F.filter(F.split(F.lower(stripped(F.col("n_"))), edge), lambda w: w != "")
     longest = aliases.agg(F.max(F.size(F.split("alias", edge)))).first()[0] or 0
     spans = F.flatten(F.transform(F.sequence(F.lit(0), F.size("w_") - 1), lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(max(longest, 1)), F.size("w_") - i)), lambda n: F.array_join(F.slice("w_", i + 1, n), ""))))
     parts = names.withColumn("w_", words).filter(F.size("w_") > 0).withColumn("s_", F.explode(F.array_distinct(spans)))
     inside = parts.join(sized(aliases.filter(F.length("alias") >= 4)), F.col("s_") == F.col("alias")).groupBy("n_").agg(F.min_by("canonical", "ord").alias("in_"))
     exact = aliases.select(F.col("alias").alias("a_"), F.col("canonical").alias("ex_"))
-    found = names.join(inside, "n_", "left").join(sized(exact), F.lower(F.trim("n_")) == F.col("a_"), "left").select("n_", F.coalesce("ex_", "in_").alias("c_")).filter("c_ is not null")
+    found = names.join(inside, "n_", "left").join(sized(exact), F.lower(stripped(F.col("n_"))) == F.col("a_"), "left").select("n_", F.coalesce("ex_", "in_").alias("c_")).filter("c_ is not null")
     return df.join(found, df[name] == found["n_"], "left").withColumn(out, F.coalesce("c_", F.col(name))).drop("n_", "c_")
 
 

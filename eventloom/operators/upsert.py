@@ -13,7 +13,7 @@ import re
 from collections.abc import Iterator
 from datetime import date
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +24,8 @@ from .joins import hash_join, same_event_pairs
 
 _ALIASES = {alias.lower(): canonical for canonical, names in fixed.TRACK_ALIASES for alias in names}
 _INSIDE = [(re.compile(rf"(^|[^a-z0-9]){re.escape(a)}([^a-z0-9]|$)"), c) for a, c in _ALIASES.items() if len(a) >= 4]
-ISO = re.compile(r"\d{4}-\d{2}-\d{2}")
+ISO = re.compile(r"[0-9]{4}-[0-9]{2}-[0-9]{2}")
+HASH = re.compile("[0-9a-fA-F]{16}")
 INPUT = "seq long, kind string, payload string, phash string, flyer string, status string, new_id string, at string"
 
 
@@ -101,52 +102,120 @@ def merged(old: dict, new: dict, flyer: dict, at: str) -> dict:
 
 
 def bits(a: str, b: str) -> int:
+    """Bits in which two hashes differ; more than any if one is no hash of 16 hexadecimal digits."""
+    if not HASH.fullmatch(a) or not HASH.fullmatch(b):
+        return 65
     return (int(a, 16) ^ int(b, 16)).bit_count()
 
 
-def fold(rows: list[dict], distance: int = fixed.HASH_DISTANCE) -> Iterator[dict]:
-    """Apply inputs in seq order to the records before them: rows of INPUT, existing ones with the kind `event`.
+_CATALOG = {i: {"id": i, "name": n, "city": c, "state": s, "contact": {"phone": p, "email": e, "website": w}} for i, n, c, s, p, e, w in fixed.TRACK_CATALOG}
+SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*:")
+
+
+def repaired(record: dict) -> dict:
+    """A record read from an image, its website stripped and with https:// before it if it has a dot and no scheme."""
+    contact = record.get("contact")
+    site = (contact.get("website") or "").strip() if isinstance(contact, dict) else ""
+    if not site:
+        return record
+    return record | {"contact": contact | {"website": f"https://{site}" if "." in site and not SCHEME.match(site) else site}}
+
 
-    Gives a row for every record (seq, payload) and every input (seq, outcome): duplicate, skipped, error, merged, new.
+def built(record: dict, kind: str) -> dict:
+    """What a new event takes from a record: its track with an id; for an image, what the catalog knows of track and contact too."""
+    track, contact = record.get("track") or {}, record.get("contact")
+    track = {"id": slug(track.get("name"), track.get("state")), "name": track.get("name"), "city": track.get("city"), "state": track.get("state")}
+    known = _CATALOG.get(fixed.SLUG_ALIASES.get(track["id"], track["id"])) if kind == "image" else None
+    out = {"track": track}
+    if known:
+        out["track"] = {"id": known["id"]} | {f: track[f] or known[f] for f in ("name", "city", "state")}
+        if contact is not None:
+            out["contact"] = contact | {f: contact.get(f) or known["contact"][f] for f in ("phone", "email", "website")}
+    return out
+
+
+class Fold:
+    """Applies inputs in seq order to the records before them: rows of INPUT, existing ones with the kind `event`.
+
+    apply() gives the outcome of an input (duplicate, skipped, error, merged, new; None for an existing record), and
+    finish() the records. Records are kept as text and as what matching looks at, and found by the weeks of their
+    dates (those of over a year are always looked at), so that an input meets few of a component's records.
     """
-    events: list[tuple[int, dict]] = []
-    marks: list[Features] = []
-    for r in sorted(rows, key=lambda r: r["seq"]):
+
+    def __init__(self, distance: int = fixed.HASH_DISTANCE) -> None:
+        self.distance = distance
+        self.seqs: list[int] = []
+        self.texts: list[str] = []
+        self.marks: list[Features] = []
+        self.hashes: list[str] = []
+        self.weeks: dict[int, list[int]] = {}
+        self.long: list[int] = []
+
+    @staticmethod
+    def _weeks(mark: Features) -> range:
+        return range(mark.start.toordinal() // 7, mark.end.toordinal() // 7 + 1) if mark.start else range(0)
+
+    def _put(self, at: int, record: dict) -> None:
+        self.texts[at] = json.dumps(record, ensure_ascii=False, sort_keys=True)
+        self.marks[at] = mark = Features(record)
+        weeks = self._weeks(mark)
+        for of in [self.long] if len(weeks) > 53 else [self.weeks.setdefault(w, []) for w in weeks]:
+            if not of or of[-1] != at:
+                of.append(at)
+
+    def _add(self, seq: int, record: dict) -> None:
+        self.seqs.append(seq)
+        self.texts.append("")
+        self.marks.append(None)
+        self._put(len(self.seqs) - 1, record)
+
+    def _first(self, mark: Features) -> int | None:
+        weeks = self._weeks(mark)
+        near = range(len(self.seqs)) if len(weeks) > 53 else sorted({n for w in weeks for n in self.weeks.get(w, ())} | set(self.long))
+        return next((n for n in near if mark.same(self.marks[n])), None)
+
+    def apply(self, r: dict) -> str | None:
         record = json.loads(r["payload"]) if r["payload"] else {}
         if r["kind"] == "event":
-            events.append((r["seq"], record))
-            marks.append(Features(record))
-            continue
-        hashes = (f.get("phash") for _, e in events for f in e.get("flyers") or [])
-        if r["kind"] == "image" and r["phash"] and any(h and bits(r["phash"], h) <= distance for h in hashes):
-            yield {"seq": r["seq"], "outcome": "duplicate"}
-            continue
+            self._add(r["seq"], record)
+            self.hashes += [f["phash"] for f in record.get("flyers") or [] if f.get("phash")]
+            return None
+        if r["kind"] == "image" and r["phash"] and any(bits(r["phash"], h) <= self.distance for h in self.hashes):
+            return "duplicate"
         if r["status"] != "ok":
-            yield {"seq": r["seq"], "outcome": r["status"]}
-            continue
-        own = Features(record)
+            return r["status"]
+        if r["kind"] == "image":
+            record = repaired(record)
         flyer = {"file": r["flyer"], "phash": r["phash"] or None, "processed_at": r["at"]}
-        at = next((n for n, m in enumerate(marks) if own.same(m)), None)
+        if flyer["phash"]:
+            self.hashes.append(flyer["phash"])
+        at = self._first(Features(record))
         if at is not None:
-            events[at] = (events[at][0], merged(events[at][1], record, flyer, r["at"]))
-            marks[at] = Features(events[at][1])
-            yield {"seq": r["seq"], "outcome": "merged"}
-        else:
-            track = record.get("track") or {}
-            built = {"id": slug(track.get("name"), track.get("state")), "name": track.get("name"), "city": track.get("city"), "state": track.get("state")}
-            event = {"id": r["new_id"]} | record | {"track": built, "flyers": [flyer], "created_at": r["at"], "updated_at": r["at"]}
-            events.append((r["seq"], event))
-            marks.append(Features(event))
-            yield {"seq": r["seq"], "outcome": "new"}
-    for seq, e in events:
-        yield {"seq": seq, "payload": json.dumps(e, ensure_ascii=False, sort_keys=True)}
-
-
-def upsert(rows: DataFrame, *, distance: int = fixed.HASH_DISTANCE, most: int = 100_000) -> DataFrame:
+            self._put(at, merged(json.loads(self.texts[at]), record, flyer, r["at"]))
+            return "merged"
+        self._add(r["seq"], {"id": r["new_id"]} | record | built(record, r["kind"]) | {"flyers": [flyer], "created_at": r["at"], "updated_at": r["at"]})
+        return "new"
+
+    def finish(self) -> Iterator[tuple[int, str]]:
+        yield from zip(self.seqs, self.texts)
+
+
+def fold(rows: list[dict], distance: int = fixed.HASH_DISTANCE) -> Iterator[dict]:
+    """Fold over rows in seq order: a row for every input (seq, outcome) and then for every record (seq, payload)."""
+    f = Fold(distance)
+    for r in sorted(rows, key=lambda r: r["seq"]):
+        if (outcome := f.apply(r)) is not None:
+            yield {"seq": r["seq"], "outcome": outcome}
+    for seq, text in f.finish():
+        yield {"seq": seq, "payload": text}
+
+
+def upsert(rows: DataFrame, *, distance: int = fixed.HASH_DISTANCE) -> DataFrame:
     """seq, outcome, payload: the outcome of each input and the record at each place in the list that has one.
 
-    rows are INPUT, existing records first in seq. A component of more than `most` rows is refused with an error that
-    names it, as one task would hold it. Null names, titles or dates match nothing.
+    rows are INPUT, existing records first in seq. Order counts within a component, so one task reads each component's
+    rows, as a sorted stream; of them it keeps the records, not the inputs. Null names, titles or dates match nothing, nor
+    does a hash that is not 16 hexadecimal digits.
     """
     rows = cut(rows)
     raw = rows.withColumn("v", F.from_json("payload", "title string, track struct<name:string,state:string>, dates struct<start:string,end:string>, flyers array<struct<phash:string>>"))
@@ -155,17 +224,28 @@ def upsert(rows: DataFrame, *, distance: int = fixed.HASH_DISTANCE, most: int =
     hashes = raw.select(F.col("seq").alias("id"), F.explode(F.concat(F.array("phash"), F.coalesce(F.transform("v.flyers", lambda f: f["phash"]), F.array().cast("array<string>")))).alias("phash")).filter("phash rlike '^[0-9a-fA-F]{16}$'").distinct()
     images = hash_join(hashes, hashes, distance=distance, condition=F.col("l_id") < F.col("r_id")).select(F.col("l_id").alias("a"), F.col("r_id").alias("b"))
     labels = cut(components(rows.select(F.col("seq").alias("id")), near.union(images)))
-    large = labels.groupBy("component").count().filter(F.col("count") > most).first()
-    if large:
-        raise ValueError(f"component {large['component']} has {large['count']} records; the limit is {most}")
-
-    def apply(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = pd.DataFrame(fold(pdf.astype(object).where(pdf.notna(), None).to_dict("records"), distance))
-        for c in ("outcome", "payload"):
-            if c not in out:
-                out[c] = None
-        both = out.groupby("seq", as_index=False).first()
-        return both[["seq", "outcome", "payload"]]
-
-    joined = rows.join(labels.withColumnRenamed("id", "seq"), "seq")
-    return joined.groupBy("component").applyInPandas(apply, "seq long, outcome string, payload string")
+    joined = rows.join(labels.withColumnRenamed("id", "seq"), "seq").select("component", *rows.columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, f = None, Fold(distance)
+        held: list[tuple[int, str | None, str | None]] = []
+
+        def out() -> pa.RecordBatch:
+            columns = list(zip(*held)) or [(), (), ()]
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.string())], ["seq", "outcome", "payload"])
+
+        for b in batches:
+            for r in b.to_pylist():
+                if r["component"] != now:
+                    held += [(seq, None, text) for seq, text in f.finish()]
+                    now, f = r["component"], Fold(distance)
+                if (outcome := f.apply(r)) is not None:
+                    held.append((r["seq"], outcome, None))
+                if len(held) >= 2000:
+                    yield out()
+        held += [(seq, None, text) for seq, text in f.finish()]
+        yield out()
+
+    each = joined.repartition("component").sortWithinPartitions("component", "seq").mapInArrow(run, "seq long, outcome string, payload string")
+    return each.groupBy("seq").agg(F.max("outcome").alias("outcome"), F.max("payload").alias("payload"))

@@ -46,8 +46,10 @@ def append_seen(keys: DataFrame, path: str, namespace: str) -> None:
 
 
 def record_run(spark: SparkSession, run: dict, path: str) -> None:
-    """Add a run's metrics to the log."""
-    spark.createDataFrame([{k: None if v is None else str(v) for k, v in run.items()}], ", ".join(f"{k} string" for k in run)).coalesce(1).write.mode("append").json(path)
+    """Add a run's metrics to the log, with the time at which they are recorded: what read_runs() orders by."""
+    row = {k: None if v is None else str(v) for k, v in run.items()}
+    kinds = ", ".join(f"{k} string" for k in run)
+    spark.createDataFrame([row | {"recorded": time.time_ns()}], f"{kinds}, recorded long").coalesce(1).write.mode("append").json(path)
 
 
 def log_errors(errors: DataFrame, path: str) -> None:

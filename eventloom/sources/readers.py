@@ -9,6 +9,7 @@ from pathlib import Path
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -30,10 +31,23 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
-    """Stored events: a JSON array or lines; none if the path does not exist."""
+    """Stored events; none if the path does not exist.
+
+    A file is a JSON array (or one object) if its first line that is not blank is `[`, or begins with `[` or is no
+    whole object; else it holds an event a line. Lines are split over tasks; an array is read by one task, as it is one value.
+    """
     if not exists(spark, path):
         return spark.createDataFrame([], EVENT)
-    return spark.read.schema(EVENT).option("multiLine", True).json(path)
+    first = spark.read.text(path).filter(F.trim("value") != "").limit(1).collect()
+    whole = bool(first) and not _is_object(first[0]["value"])
+    return spark.read.schema(EVENT).option("multiLine", whole).json(path)
+
+
+def _is_object(line: str) -> bool:
+    try:
+        return isinstance(json.loads(line), dict)
+    except json.JSONDecodeError:
+        return False
 
 
 def read_seen(spark: SparkSession, path: str) -> DataFrame:
@@ -42,11 +56,17 @@ def read_seen(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_runs(spark: SparkSession, path: str, schema: str = "run_id string, started_at string, finished_at string, status string, elapsed_seconds string") -> DataFrame:
-    """Run metrics of a JSON Lines log, in file order; blank lines are skipped, malformed ones fail."""
+    """Run metrics of a JSON Lines log, with `ord`, their order; blank lines are skipped, malformed ones fail.
+
+    Runs are ordered by the `recorded` nanoseconds that record_run() writes, those without it by started_at before
+    them; run_id breaks ties. The log has a line a run, so numbering it takes one task.
+    """
     if not exists(spark, path):
         return spark.createDataFrame([], f"ord long, {schema}")
-    lines = spark.read.text(path).filter(F.trim("value") != "").withColumn("ord", F.monotonically_increasing_id())
-    return lines.select("ord", F.from_json("value", schema, {"mode": "FAILFAST"}).alias("v")).select("ord", "v.*")
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    runs = lines.select(F.from_json("value", f"{schema}, recorded long", {"mode": "FAILFAST"}).alias("v")).select("v.*")
+    keys = [F.col(c).asc_nulls_first() for c in ("recorded", "started_at", "run_id") if c in runs.columns]
+    return runs.select((F.row_number().over(W.orderBy(*keys)) - 1).cast("long").alias("ord"), *[c for c in runs.columns if c != "recorded"])
 
 
 def read_images(spark: SparkSession, path: str) -> DataFrame:

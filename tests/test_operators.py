@@ -9,7 +9,8 @@ from eventloom.operators import aggregates as A
 from eventloom.operators.graph import components
 from eventloom.operators.joins import hash_join, overlap_join
 from eventloom.operators.lookup import alias_table, backfill, catalog_table, resolve
-from eventloom.operators.upsert import INPUT, bits, fold, merged, upsert
+from eventloom.functions import fixed
+from eventloom.operators.upsert import INPUT, Fold, bits, fold, merged, upsert
 from eventloom.operators.validate import EVENT_SCHEMA, ConfigError, check_sources, check_tracks, problems, validate
 
 
@@ -63,7 +64,7 @@ def test_outcomes(spark):
     assert got == {0: None, 1: "duplicate", 2: "merged", 3: "new", 4: "skipped", 5: "new"}
 
 
-def test_components_fold_like_the_whole_list(spark):
+def test_components_fold_like_the_whole_list(spark, monkeypatch):
     rng = random.Random(7)
     names, titles = ["Tulsa Raceway", "XRP", "Xtreme Raceway Park", "Bay North Strip", "North Bay", "", "Bay"], ["Spring Open Finals", "Open", "Finals Spring", "Winter", ""]
     rows = []
@@ -79,6 +80,32 @@ def test_components_fold_like_the_whole_list(spark):
     for x in fold([r.asDict() for r in df.collect()]):
         want.setdefault(x["seq"], {}).update(x)
     assert got == {(k, v.get("outcome"), v.get("payload")) for k, v in want.items()}
+    # The same, each input held against every record before it.
+    monkeypatch.setattr(Fold, "_first", lambda self, mark: next((n for n, m in enumerate(self.marks) if mark.same(m)), None))
+    plain: dict[int, dict] = {}
+    for x in fold([r.asDict() for r in df.collect()]):
+        plain.setdefault(x["seq"], {}).update(x)
+    assert plain == want
+
+
+def test_names_with_white_space_of_any_kind_meet(spark):
+    rows = [{"e": event(name="Xtreme Raceway Park")}, {"e": event(name="XRP\n")}, {"e": event(name="\u3000xrp\xa0")}]
+    assert [r["outcome"] for r in upsert(inputs(spark, rows)).orderBy("seq").collect()] == ["new", "merged", "merged"]
+
+
+def test_hashes_that_are_none_match_nothing(spark):
+    rows = [{"kind": "event", "e": event(id="x", flyers=[{"phash": "zz"}, {"phash": None}])}, {"kind": "image", "e": event(), "phash": "zz"}, {"kind": "image", "e": event(), "phash": "0" * 16}, {"kind": "image", "e": event(), "phash": "0" * 16}]
+    assert [r["outcome"] for r in upsert(inputs(spark, rows)).orderBy("seq").collect()] == [None, "merged", "merged", "duplicate"]
+
+
+def test_images_are_completed_from_the_catalog(spark):
+    e = event(name="XRP", contact={"phone": "", "email": None, "website": " own.example "}) | {"track": {"name": "XRP", "state": None}}
+    rows = [{"kind": "image", "e": e, "phash": "0" * 16}, {"kind": "text", "e": e | {"dates": {"start": "2026-09-01"}}}]
+    image, text = (json.loads(r["payload"]) for r in upsert(inputs(spark, rows)).orderBy("seq").collect())
+    known = next(t for t in fixed.TRACK_CATALOG if t[0] == "xtreme-tx")
+    assert image["track"] == {"id": "xtreme-tx", "name": "XRP", "city": known[2], "state": known[3]}
+    assert image["contact"] == {"phone": known[4], "email": known[5], "website": "https://own.example"}
+    assert text["track"] == {"id": "xtreme", "name": "XRP", "city": None, "state": None} and text["contact"] == e["contact"]
 
 
 def test_upsert_of_nothing(spark):

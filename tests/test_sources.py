@@ -98,6 +98,24 @@ def test_workflow(spark, tmp_path):
     assert archive(spark, path, str(tmp_path / "old")) and not archive(spark, path, str(tmp_path / "old"))
 
 
+def test_events_come_back_whole(spark, tmp_path):
+    """Many events over several files, and the same as one array, keep every row."""
+    path = str(tmp_path / "events")
+    many = spark.createDataFrame([(n, json.dumps(GOOD | {"title": f"Open {n}"})) for n in range(50)], "seq long, payload string").repartition(5)
+    save_events(many, path)
+    assert sorted(r["title"] for r in read_events(spark, path).collect()) == sorted(f"Open {n}" for n in range(50))
+    (tmp_path / "array.json").write_text(json.dumps([GOOD | {"title": f"Open {n}"} for n in range(50)], indent=2))
+    (tmp_path / "flat.json").write_text(json.dumps([GOOD] * 3))
+    (tmp_path / "one.json").write_text(json.dumps(GOOD, indent=2))
+    assert [read_events(spark, str(tmp_path / n)).count() for n in ("array.json", "flat.json", "one.json")] == [50, 3, 1]
+
+
+def test_runs_come_back_in_order(spark, tmp_path):
+    for n in range(8):
+        record_run(spark, {"run_id": f"r{n}", "status": "success", "elapsed_seconds": n, "started_at": "2026-01-01", "finished_at": None}, str(tmp_path / "runs"))
+    assert [r["run_id"] for r in read_runs(spark, str(tmp_path / "runs")).orderBy("ord").collect()] == [f"r{n}" for n in range(8)]
+
+
 def test_state_and_logs(spark, tmp_path):
     seen, runs, errors = (str(tmp_path / n) for n in ("seen", "runs", "errors"))
     append_seen(spark.createDataFrame([("a", 0)], "key string, ord long"), seen, "urls")
