@@ -24,7 +24,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         own = spark.conf.get("spark.checkpoint.dir", None)
         if own is None:
-            if not sc.master.startswith("local["):
+            if not sc.master.startswith("local"):
                 raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
             own = tempfile.mkdtemp(prefix="eventloom-")
         sc.setCheckpointDir(own)

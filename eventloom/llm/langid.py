@@ -22,17 +22,17 @@ def train(labelled: DataFrame, *, text: str = "text", lang: str = "lang", docs_p
     """Words of each language from a bounded sample of labelled rows: the model.
 
     Takes about docs_per_language rows of each language (those with the least hashes of their text), doc_chars
-    characters of each, and of their distinct words, most frequent first, chars_per_language characters. Rows with
+    characters of each, equal texts once, and of their distinct words, most frequent first, chars_per_language characters. Rows with
     a null text or label are left out.
     """
     rows = labelled.filter(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = {r["lang"]: max(1, r["n"]) for r in rows.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text")).alias("n")).collect()}
     if not counts:
         return {}
     # A row is taken if its hash falls in its language's share; twice the share, of which the least hashes stay.
     shares = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, 2.0 * docs_per_language / n)))])
     h = F.shiftrightunsigned(F.xxhash64("text"), 11) / float(1 << 53)
-    picked = rows.withColumn("h", h).filter(F.col("h") < shares[F.col("lang")]).select("lang", "h", F.substring("text", 1, doc_chars).alias("text")).collect()
+    picked = rows.withColumn("h", h).filter(F.col("h") < shares[F.col("lang")]).select("lang", "h", F.substring("text", 1, doc_chars).alias("text")).dropDuplicates(["lang", "h"]).collect()
     model: dict[str, list[str]] = {}
     for language in sorted(counts):
         words: Counter[str] = Counter()

@@ -29,6 +29,8 @@ CANDIDATE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
 PRIVATE_WORDS = ["password", "passwd", "pwd", "passcode", "pin", "secret", "token", "api_key", "apikey", "key", "bearer", "auth", "credential", "login", "ssn", "iban", "account", "phone", "tel", "mobile", "fax", "mail", "email", "e-mail", "ip", "card", "visa", "contact"]
 PLAIN_WORDS = ["version", "license", "licence", "page", "pages", "chapter", "section", "article", "volume", "vol", "no", "nr", "year", "cc", "by", "by-nc", "by-sa", "release", "figure", "table", "step"]
 LABELERS = 6
+#: Kind of a candidate that is never added: a number as long as a card's that fails the Luhn test.
+NOTHING = -1
 #: Matches are placed in blocks of so many, so that arrays are not copied once a match.
 BLOCK = 128
 
@@ -136,7 +138,7 @@ def candidates(text: Column, base: Column) -> Column:
         length = F.least(F.floor(F.log2(F.greatest(size, F.lit(1)).cast("double"))), F.lit(7)).cast("int")
         share = F.floor(4.0 * digits / F.greatest(size, F.lit(1))).cast("int")
         ahead = F.when(assigned, 2).when(s["word"] == "", 0).otherwise(1)
-        kind = F.when(F.contains(v, F.lit("@")), 0).when(v.rlike("^[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){3,7}$"), 1).when(v.rlike("^[0-9]{12,19}$"), 2).when(v.rlike(r"^[+(]?[0-9][0-9().-]{7,}$"), 3).otherwise(4)
+        kind = F.when(F.contains(v, F.lit("@")), 0).when(v.rlike("^[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){3,7}$"), 1).when(v.rlike("^[0-9]{12,19}$"), F.when(luhn(v), 2).otherwise(NOTHING)).when(v.rlike(r"^[+(]?[0-9][0-9().-]{7,}$"), 3).otherwise(4)
         return F.struct(start.alias("start"), end.alias("end"), kind.cast("int").alias("kind"), hit.alias("base"), votes.alias("votes"), F.array(mask, length, share, ahead).alias("f"))
 
     return F.filter(F.transform(placed(text, CANDIDATE), one), lambda c: c["end"] > c["start"])
@@ -204,7 +206,7 @@ def find_pii(docs: DataFrame, *, text: str = "text", spans: str = "pii", thresho
 
     least = math.log(threshold / (1 - threshold))
     own = F.transform("b_", lambda b: F.struct(b["start"].alias("start"), b["kind"].alias("kind"), b["end"].alias("end"), F.lit(True).alias("base")))
-    added = F.filter(F.coalesce(F.col("c_"), F.array()), lambda c: ~c["base"] & (weight(c) >= least))
+    added = F.filter(F.coalesce(F.col("c_"), F.array()), lambda c: ~c["base"] & (c["kind"] != NOTHING) & (weight(c) >= least))
     added = F.transform(added, lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"), F.lit(False).alias("base")))
     return found.select(*[F.col(f"in_{k}").alias(c) for k, c in enumerate(names)], F.array_sort(F.concat(own, added)).alias(spans))
 
@@ -216,4 +218,6 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", names[s["kind"]], s["start"].cast("string"), s["end"].cast("string"))), ",")
     base = F.filter("pii", lambda s: s["base"])
     count = lambda n: F.size(F.filter("pii", lambda s: s["base"] & (s["kind"] == n))).cast("long")
-    return out.select("doc_id", *[count(n).alias(f"n_{k}") for n, k in enumerate(KINDS)], F.sha2(said(base).cast("binary"), 256).alias("base_sha256"), said(F.col("pii")).alias("spans"))
+    added = lambda n: F.size(F.filter("pii", lambda s: ~s["base"] & (s["kind"] == n))).cast("long")
+    more = [added(n).alias(f"n_added_{k}") for n, k in enumerate([*KINDS, "secret"])]
+    return out.select("doc_id", *[count(n).alias(f"n_{k}") for n, k in enumerate(KINDS)], *more, F.size("pii").cast("long").alias("n_spans"), F.sha2(said(base).cast("binary"), 256).alias("base_sha256"), said(F.col("pii")).alias("spans"))

@@ -12,11 +12,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpoint_dir, table
+from .common import checkpoint_dir, cut, saved, table
 
 RECORD = "record_id string, type string, concurrent_to string, refers_to string, target_uri string, date string, http string, payload binary, payload_bytes long, payload_digest string, fields map<string,string>"
 #: Copies of a row of a hot digest are matched in so many parts.
 SALT = 32
+#: Revisits, of two names of 32 characters each, that a broadcast may hold; more are joined by a shuffle of the rows.
+BROADCAST_ROWS = 100_000
 
 
 def write_archive(pages: DataFrame, folder: str, *, id: str = "page_id", url: str = "url", html: str = "html", revisit_bytes: int = 1000, file_mb: int = 16, date: str = "2024-01-01T00:00:00Z") -> None:
@@ -25,14 +27,14 @@ def write_archive(pages: DataFrame, folder: str, *, id: str = "page_id", url: st
     The payload is the html in UTF-8 (null: empty). Of rows with equal payloads of at least revisit_bytes, the one
     with the largest id (nulls last; of repeated ids any one) is a response, the others are revisits that refer to
     it; shorter payloads are all responses. Files hold about file_mb of records, so that a reader's task is small.
-    The folder may be in any store that Spark writes to. No text is shuffled: the digests are.
+    The folder may be in any store that Spark writes to.
     """
     spark = pages.sparkSession
     rows = pages.select(F.col(id).cast("long").alias("id"), F.coalesce(F.col(url).cast("string"), F.lit("")).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"))
     rows = rows.withColumns({"bytes": F.octet_length("html").cast("long"), "digest": F.sha1(F.col("html").cast("binary")), "at": F.monotonically_increasing_id()})
-    # The record id follows from the row alone; `at` tells repeated rows apart.
+    # A lost executor must not give a row another record id: what it follows from, with `at` to tell repeated rows apart, is written first.
     rid = F.md5(F.concat_ws(" ", F.coalesce(F.col("id").cast("string"), F.lit("-")), "url", "digest", F.col("at").cast("string")))
-    rows = rows.withColumn("rid", rid)
+    rows = saved(rows.withColumn("rid", rid))
     size = rows.agg(F.avg("bytes").alias("b")).first()["b"] or 0
     per_file = max(1, int(file_mb * 1e6 / (size + 1500)))  # captures
     long = rows.filter(F.col("bytes") >= revisit_bytes).select("id", "digest", "rid")
@@ -40,7 +42,8 @@ def write_archive(pages: DataFrame, folder: str, *, id: str = "page_id", url: st
     first = first.filter("n > 1").select("digest", F.col("m.rid").alias("of"), F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
     salted = long.withColumn("salt", F.pmod(F.xxhash64("rid"), F.lit(SALT)).cast("int"))
     revisits = salted.join(first, ["digest", "salt"]).filter("rid <> of").select("rid", "of")
-    rows = rows.join(revisits, "rid", "left")
+    revisits = cut(revisits)
+    rows = rows.join(F.broadcast(revisits) if revisits.count() <= BROADCAST_ROWS else revisits, "rid", "left")
     urn = lambda c: F.concat(F.lit("<urn:uuid:"), F.regexp_replace(c, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"), F.lit(">"))
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     text = lambda s: F.lit(s)
