@@ -15,6 +15,7 @@ EVENT_PAGE_WORDS = ["event", "schedule", "race", "calendar", "upcoming", "news",
 # Image suffixes of crawled links, and of staged files (with gif).
 CRAWL_IMAGES = [".jpg", ".jpeg", ".png", ".webp"]
 STAGED_IMAGES = [".jpg", ".jpeg", ".png", ".webp", ".gif"]
+FOLDER_HOSTS = ("drive.google.com", "www.drive.google.com")
 
 # Media types by suffix; anything else is jpeg.
 MEDIA_TYPES = {".jpg": "image/jpeg", ".jpeg": "image/jpeg", ".png": "image/png", ".gif": "image/gif", ".webp": "image/webp"}

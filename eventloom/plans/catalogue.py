@@ -19,6 +19,7 @@ from ..operators.lookup import alias_table, backfill, catalog_table, enrich_cale
 from ..operators.upsert import upsert
 from ..operators.validate import validate
 from ..sources import html as H
+from . import runs as R
 from ..streaming.seen import collect_unseen
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -376,3 +377,21 @@ def q31(spark: SparkSession, sf: str) -> DataFrame:
     keyed = stream.select(F.concat("user_id", F.lit(":"), "event_type").alias("key"), "event_id")
     collect_unseen(keyed, "key", "event_id", f"{folder}/table", f"{folder}/log")
     return spark.read.parquet(f"{folder}/table").select("key", "event_id")
+
+
+@query("q32_first_pages", "WITH p AS (SELECT l_orderkey AS page, list(l_returnflag || l_linestatus ORDER BY l_linenumber, l_returnflag || l_linestatus) AS s FROM lineitem GROUP BY l_orderkey) SELECT min(page) AS page FROM p GROUP BY s")
+def q32(spark: SparkSession, sf: str) -> DataFrame:
+    cards = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("page"), F.col("l_linenumber").alias("ord"), F.concat("l_returnflag", "l_linestatus").alias("key"))
+    return R.first_pages(cards).select("page").distinct()
+
+
+_FILE = f"""substr(regexp_replace(regexp_replace({_LAST}, '^(.+)\\.[^.]+$', '\\1'), '[^\\p{{L}}\\p{{N}}_]', '-', 'g'), 1, 40) || '-' || substr(md5(url), 1, 8)
+|| CASE WHEN regexp_extract({_LAST}, '^.+(\\.[^.]+)$', 1) <> '' THEN lower(regexp_extract({_LAST}, '^.+(\\.[^.]+)$', 1)) ELSE '.jpg' END"""
+
+
+@query("q33_new_images", f"""WITH f AS (SELECT {_FILE} AS path FROM pages WHERE page_id % 3 = 0) SELECT DISTINCT path FROM f WHERE path NOT IN (SELECT {_FILE} FROM pages WHERE page_id % 4 = 0)""")
+def q33(spark: SparkSession, sf: str) -> DataFrame:
+    pages = table(spark, sf, "pages")
+    fetched = pages.select("url", F.col("html").alias("body"), F.when(F.col("page_id") % 3 == 0, "image/png").otherwise("text/html").alias("content_type"))
+    staged = pages.filter("page_id % 4 = 0").select(T.file_name_of(F.col("url")).alias("path")).distinct()
+    return R.new_images(fetched, staged).select("path")
