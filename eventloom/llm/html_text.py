@@ -7,13 +7,13 @@ that are tokens of the template go, and the content is chosen by fixed lists of
 
 from __future__ import annotations
 
-import hashlib
 import html as entities
 import re
 from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,29 +34,44 @@ BLOCKS_CLOSE_P = frozenset("address article aside blockquote details div dl fiel
 NOISE = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead topbar notice notices cookie cookies consent popup modal overlay newsletter subscribe signup comment comments respond replies disqus share sharing social related recommended widget toolbar pagination pager login search complementary contentinfo alert".split())
 #: Those that an article itself doesn't use for its parts; inside it only these count, as a whole name.
 NEVER_TEXT = NOISE - frozenset("alert notice notices related recommended share social search comment promotion login banner menu overlay toolbar signup subscribe respond complementary contentinfo masthead footer navigation".split())
+#: Those that make a whole article or main something else, as one of its names.
+CONTENT_NOISE = frozenset("ad ads advert advertisement sponsored promo comment comments cookie cookies consent popup modal sidebar nav navigation menu".split())
 _WORDS = re.compile(r"[A-Za-z]+")
 
 
 def noisy(attributes: str, whole: frozenset[str] | None = None) -> bool:
-    """Whether a class, id or role names a part beside the article; with `whole`, only if it is one of these names."""
+    """Whether a class, id or role names a part beside the article; with `whole`, only if it is one of these names.
+
+    A name that begins with has, with, no or without says what else a layout holds, not what it is.
+    """
     for m in NAMED.finditer(attributes):
-        if whole is not None:
-            if any(w in whole for w in (m[1] or m[2] or m[3] or "").lower().split()):
+        for name in re.sub(r"(?<=[a-z])(?=[A-Z])", " ", m[1] or m[2] or m[3] or "").split() if whole is None else (m[1] or m[2] or m[3] or "").lower().split():
+            if whole is not None:
+                if name in whole:
+                    return True
+                continue
+            words = [w.lower() for w in _WORDS.findall(name)]
+            if words and words[0] not in ("has", "with", "no", "without") and any(w in NOISE for w in words):
                 return True
-        elif any(w.lower() in NOISE for w in _WORDS.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", m[1] or m[2] or m[3] or ""))):
-            return True
     return False
 
 
-def runs(page: str) -> Iterator[tuple[str, str, bool, bool, bool]]:
+def runs(page: str) -> Iterator[tuple[int, str, bool, bool, bool]]:
     """What a page is made of, in order: (path, text, starts a block, aside, in content).
 
-    The text of a start tag is ''. The path is that of open elements, with their class; markup that closes nothing is
-    left out, elements left open end with their parent.
+    The text of a start tag is ''. The path is a 64-bit name of the open elements with their classes, so that deep pages
+    cost no more than flat ones; markup that closes nothing is left out, elements left open end with their parent.
     """
-    stack: list[tuple[str, str, bool, bool]] = []  # name, path, aside, in content
+    stack: list[tuple[str, int, bool, bool]] = []  # name, path, aside, in content
+    open_now: Counter[str] = Counter()
+
+    def pop() -> str:
+        name = stack.pop()[0]
+        open_now[name] -= 1
+        return name
+
     at, size, fresh = 0, len(page), True
-    path, aside, inside = "", False, False
+    path, aside, inside = 0, False, False
     while at < size:
         m = TAG.search(page, at)
         end = m.start() if m else size
@@ -78,19 +93,19 @@ def runs(page: str) -> Iterator[tuple[str, str, bool, bool, bool]]:
         block = name not in INLINE
         fresh |= block
         if closing:
-            if any(s[0] == name for s in stack):
-                while stack.pop()[0] != name:
+            if open_now[name] > 0:
+                while pop() != name:
                     pass
         else:
-            shut = CLOSES.get(name, set()) | ({"p"} if name in BLOCKS_CLOSE_P else set())
-            while stack and (stack[-1][0] in shut or stack[-1][0] in INLINE and block and any(s[0] in shut for s in stack)):
-                stack.pop()
-            path = stack[-1][1] if stack else ""
+            shut = CLOSES.get(name, frozenset()) | ({"p"} if name in BLOCKS_CLOSE_P else frozenset())
+            while stack and (stack[-1][0] in shut or stack[-1][0] in INLINE and block and any(open_now[x] > 0 for x in shut)):
+                pop()
+            path = stack[-1][1] if stack else 0
             kind = NAMED.search(attributes) if attributes else None
-            path = f"{path}/{name}" + (f".{kind[0].strip()}" if kind else "")
+            path = xxhash.xxh64_intdigest(f"{path}/{name}" + (f".{kind[0].strip()}" if kind else ""))
             aside, inside = (stack[-1][2], stack[-1][3]) if stack else (False, False)
             # A content element goes by its whole names, what is inside one by fewer of them.
-            names = NEVER_TEXT if inside else NOISE if name in CONTENT else None
+            names = NEVER_TEXT if inside else CONTENT_NOISE if name in CONTENT else None
             aside |= name in ASIDE or bool(kind) and name not in ("html", "body") and noisy(attributes, names)
             inside |= name in CONTENT and not aside
             # A header inside an article holds its title; one outside, the site's.
@@ -98,12 +113,13 @@ def runs(page: str) -> Iterator[tuple[str, str, bool, bool, bool]]:
             yield path, "", True, aside, inside
             if name not in VOID and not attributes.endswith("/") and (block or kind):
                 stack.append((name, path, aside, inside))
-        path, aside, inside = stack[-1][1:] if stack else ("", False, False)
+                open_now[name] += 1
+        path, aside, inside = stack[-1][1:] if stack else (0, False, False)
 
 
-def token(path: str, text: str) -> int:
+def token(path: int, text: str) -> int:
     """64-bit name of a token: a start tag, or a run of text, in its path."""
-    return int.from_bytes(hashlib.blake2b(f"{path}\0{' '.join(text.split())}".encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+    return xxhash.xxh64_intdigest(f"{path}\0{' '.join(text.split())}".encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
 def extract(page: str, template: frozenset[int] = frozenset()) -> str:
@@ -121,8 +137,8 @@ def extract(page: str, template: frozenset[int] = frozenset()) -> str:
             if fresh:
                 out.append(" ")
             if own and not aside and not (template and token(path, text) in template):
-                out.append(text)
-    clean = lambda x: " ".join(entities.unescape("".join(x)).split())
+                out.append(entities.unescape(text))
+    clean = lambda x: " ".join("".join(x).split())
     return clean(inner) or clean(outer)
 
 
@@ -146,7 +162,7 @@ def templates(pages: DataFrame, *, url: str = "url", html: str = "html", least_p
                 hosts, names, pagehashes, counts = [], [], [], []
                 for host, page in zip(part["host"].to_pylist(), part["html"].to_pylist()):
                     here = Counter(token(p, t) for p, t, _, _, _ in runs(page or "") if not t or not t.isspace())
-                    h = token("", page or "")
+                    h = token(0, page or "")
                     hosts += [host] * len(here)
                     names += here.keys()
                     pagehashes += [h] * len(here)

@@ -493,6 +493,16 @@ def test_main_text_is_not_dropped(body, text):
     assert html_text.extract(PAGE % body) == text
 
 
+@pytest.mark.parametrize(
+    "body, text",
+    [('<article class="post related-news"><p>Body</p></article>', "Body"), ('<main class="content no-sidebar"><p>Body</p></main>', "Body"), ('<div class="layout has-sidebar"><article><p>Body</p></article></div>', "Body"),
+     ('<main id="search"><p>Body</p></main>', "Body"), ('<article><p>One</p><section class="alert-box"><p>Two</p></section></article>', "One Two"), ("<article>a &am<b>p; b</b> &lt;i&gt;</article>", "a &amp; b <i>"),
+     ("<article>" + "<div>" * 100_000 + "deep" + "</span>" * 1000 + "</div>" * 100_000 + "</article>", "deep")],
+)
+def test_layouts_and_depth(body, text):
+    assert html_text.extract(PAGE % body) == text
+
+
 def test_any_passage_of_a_window_is_found(spark):
     """Passages of 80 characters, wherever they begin in an item, with as many edits as a window may have."""
     rng = random.Random(13)
