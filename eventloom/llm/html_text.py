@@ -1,8 +1,10 @@
 """Main text of web pages by equivalence classes of tokens over the pages of a host.
 
-Tokens of a host's pages that occur equally often in each page form an equivalence class. Classes that hold in
-nearly all pages are the host's template. Classes are neither ordered nor nested, and no slots are derived: runs of text
-that are tokens of the template go, and the content is chosen by fixed lists of element names and class words.
+Tokens (start tags and runs of text, in their path) that occur equally often in each page of a host form an equivalence class.
+Classes that hold in nearly all pages, without tokens that change places, and that nest in one slot of the largest
+class, are the host's template. The stretches between the tokens of the largest class are its slots. Of a page, text that is a
+token of the template goes, and so do slots that are menus over the host's pages; elements and class words that stand
+for something beside the article choose among the rest.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ import html as entities
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 import xxhash
@@ -36,6 +39,7 @@ NOISE = frozenset("ad ads advert adverts advertisement advertising sponsor spons
 NEVER_TEXT = NOISE - frozenset("alert notice notices related recommended share social search comment promotion login banner menu overlay toolbar signup subscribe respond complementary contentinfo masthead footer navigation".split())
 #: Those that make a whole article or main something else, as one of its names.
 CONTENT_NOISE = frozenset("ad ads advert advertisement sponsored promo comment comments cookie cookies consent popup modal sidebar nav navigation menu".split())
+BROADCAST_TOKENS = 500_000
 _WORDS = re.compile(r"[A-Za-z]+")
 
 
@@ -56,8 +60,8 @@ def noisy(attributes: str, whole: frozenset[str] | None = None) -> bool:
     return False
 
 
-def runs(page: str) -> Iterator[tuple[int, str, bool, bool, bool]]:
-    """What a page is made of, in order: (path, text, starts a block, aside, in content).
+def runs(page: str) -> Iterator[tuple[int, str, bool, bool, bool, bool]]:
+    """What a page is made of, in order: (path, text, starts a block, aside, in content, in a link).
 
     The text of a start tag is ''. The path is a 64-bit name of the open elements with their classes, so that deep pages
     cost no more than flat ones; markup that closes nothing is left out, elements left open end with their parent.
@@ -71,12 +75,12 @@ def runs(page: str) -> Iterator[tuple[int, str, bool, bool, bool]]:
         return name
 
     at, size, fresh = 0, len(page), True
-    path, aside, inside = 0, False, False
+    path, aside, inside, link = 0, False, False, False
     while at < size:
         m = TAG.search(page, at)
         end = m.start() if m else size
         if end > at:
-            yield path, page[at:end], fresh, aside, inside
+            yield path, page[at:end], fresh, aside, inside, link
             fresh = False
         if not m:
             return
@@ -92,6 +96,7 @@ def runs(page: str) -> Iterator[tuple[int, str, bool, bool, bool]]:
             continue
         block = name not in INLINE
         fresh |= block
+        link = not closing if name == "a" else link
         if closing:
             if open_now[name] > 0:
                 while pop() != name:
@@ -110,7 +115,7 @@ def runs(page: str) -> Iterator[tuple[int, str, bool, bool, bool]]:
             inside |= name in CONTENT and not aside
             # A header inside an article holds its title; one outside, the site's.
             aside |= name == "header" and not inside
-            yield path, "", True, aside, inside
+            yield path, "", True, aside, inside, link
             if name not in VOID and not attributes.endswith("/") and (block or kind):
                 stack.append((name, path, aside, inside))
                 open_now[name] += 1
@@ -122,21 +127,36 @@ def token(path: int, text: str) -> int:
     return xxhash.xxh64_intdigest(f"{path}\0{' '.join(text.split())}".encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def extract(page: str, template: frozenset[int] = frozenset()) -> str:
+@dataclass(frozen=True)
+class Template:
+    """Tokens of a host's valid classes, those of its largest class, and those of them after which a menu stands."""
+
+    tokens: frozenset[int] = frozenset()
+    root: frozenset[int] = frozenset()
+    menus: frozenset[int] = frozenset()
+
+
+def extract(page: str, template: Template = Template()) -> str:
     """Main text of a page, without its host's template.
 
-    Runs of text that are template tokens go. Of the others, those inside an article or main that is not aside count if
-    there are any, else those of the whole page; what is aside (menus, headers, footers, adverts, forms, comments) never.
+    Runs of text that are template tokens go, and those in a menu slot that are not in an article or main. Of the others, those
+    inside an article or main that is not aside count if there are any, else those of the whole page; what is aside
+    (menus, headers, footers, adverts, forms, comments) never.
     """
     inner: list[str] = []
     outer: list[str] = []
-    for path, text, fresh, aside, inside in runs(page):
+    slot = 0
+    for path, text, fresh, aside, inside, _ in runs(page):
+        name = token(path, text) if template.tokens and (not text or not text.isspace()) else 0
+        if name in template.root:
+            slot = name
         if not text:
             continue
+        gone = aside or name in template.tokens or slot in template.menus and not inside
         for out, own in ((inner, inside), (outer, True)):
             if fresh:
                 out.append(" ")
-            if own and not aside and not (template and token(path, text) in template):
+            if own and not gone:
                 out.append(entities.unescape(text))
     clean = lambda x: " ".join("".join(x).split())
     return clean(inner) or clean(outer)
@@ -147,12 +167,41 @@ def host_of(url: str) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)", 1)), F.lit(""))
 
 
-def templates(pages: DataFrame, *, url: str = "url", html: str = "html", least_pages: int = 5, share: float = 0.9, class_size: int = 3) -> DataFrame:
-    """host, template (array of tokens), of each host with at least least_pages different pages.
+def places(page: str, root: dict[int, int], classes: dict[int, tuple[int, int]]) -> dict[int, list[int]]:
+    """For each token of the classes (token -> class and its size), where it stands in a page.
+
+    [least and greatest place among its class's tokens, least and greatest root token before it, letters of the slot after it (of
+    a root token), those of them in links]. Places count within a class, from 0 again after each whole class.
+    """
+    out: dict[int, list[int]] = {}
+    seen: Counter[int] = Counter()
+    slot = 0
+    for path, text, _, _, _, link in runs(page):
+        if text and text.isspace():
+            continue
+        name = token(path, text)
+        if (known := classes.get(name)) is not None:
+            kind, size = known
+            place = seen[kind] % size
+            seen[kind] += 1
+            at = out.setdefault(name, [place, place, slot, slot, 0, 0])
+            at[0], at[1], at[2], at[3] = min(at[0], place), max(at[1], place), min(at[2], slot), max(at[3], slot)
+        if name in root:
+            slot = name
+        elif text and slot in out:
+            out[slot][4] += len(text)
+            out[slot][5] += len(text) * link
+    return out
+
+
+def templates(pages: DataFrame, *, url: str = "url", html: str = "html", least_pages: int = 5, share: float = 0.9, class_size: int = 3, menu: float = 0.8) -> DataFrame:
+    """host, tokens, root and menus (see Template) of each host with at least least_pages different pages.
 
     Equal pages of a host count once. A class holds the tokens with one occurrence vector (told by a hash of page
-    and count over its pages); it is valid if it has class_size tokens and occurs in `share` of the pages. Counts
-    are summed before they are shuffled, so a host with any share of the pages is dealt like others.
+    and count over its pages) and must have class_size tokens and occur in `share` of the pages. Tokens that do not
+    always stand at the same place among the class's leave it. It is valid if class_size tokens stay, and if it is the
+    host's largest class or all of its tokens always stand in one and the same slot of that. A slot is a menu if over all pages `menu` of its letters, and more,
+    are in links. Counts are summed before they are shuffled, so a host with any share of the pages is dealt like others.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,7 +210,7 @@ def templates(pages: DataFrame, *, url: str = "url", html: str = "html", least_p
                 part = b.slice(at, 64)
                 hosts, names, pagehashes, counts = [], [], [], []
                 for host, page in zip(part["host"].to_pylist(), part["html"].to_pylist()):
-                    here = Counter(token(p, t) for p, t, _, _, _ in runs(page or "") if not t or not t.isspace())
+                    here = Counter(token(r[0], r[1]) for r in runs(page or "") if not r[1] or not r[1].isspace())
                     h = token(0, page or "")
                     hosts += [host] * len(here)
                     names += here.keys()
@@ -175,38 +224,69 @@ def templates(pages: DataFrame, *, url: str = "url", html: str = "html", least_p
     vectors = tokens.groupBy("host", "token").agg(F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.count("*").alias("pages"))
     hosts = some.select("host", F.xxhash64("html").alias("h")).distinct().groupBy("host").agg(F.count("*").alias("all")).filter(F.col("all") >= least_pages)
     vectors = vectors.filter(F.col("pages") >= least_pages * share).join(hosts, "host").filter(F.col("pages") >= share * F.col("all"))
-    classes = vectors.groupBy("host", "vector").agg(F.collect_set("token").alias("tokens"), F.count("*").alias("size")).filter(F.col("size") >= class_size)
-    return classes.groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("template"))
+    sizes = vectors.groupBy("host", "vector").agg(F.count("*").cast("int").alias("size")).filter(F.col("size") >= class_size)
+    largest = sizes.groupBy("host").agg(F.max(F.struct("size", "vector")).alias("top"))
+    classes = cut(vectors.select("host", "vector", "token").join(sizes, ["host", "vector"]).join(largest, "host").select("host", "token", "vector", "size", (F.col("top.vector") == F.col("vector")).alias("root")))
 
+    # Second pass: places of the classes' tokens, in the pages of hosts that have classes.
+    by_host = classes.groupBy("host").agg(F.collect_list(F.struct("token", "vector", "size", "root")).alias("classes"))
+    small = F.broadcast(by_host) if by_host.agg(F.coalesce(F.sum(F.size("classes")), F.lit(0))).first()[0] <= BROADCAST_TOKENS else by_host
 
-def main_text(pages: DataFrame, *, url: str = "url", html: str = "html", out: str = "main_text", broadcast_hosts: int = 20_000) -> DataFrame:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, tuple[dict, dict]] = {}
+        for b in batches:
+            for at in range(0, b.num_rows, 64):
+                part = b.slice(at, 64)
+                rows = []
+                for host, page, found in zip(part["host"].to_pylist(), part["html"].to_pylist(), part["classes"]):
+                    if host not in seen:
+                        if len(seen) > 200:
+                            seen.clear()
+                        known = found.as_py()
+                        seen[host] = ({c["token"]: 1 for c in known if c["root"]}, {c["token"]: (c["vector"], c["size"]) for c in known})
+                    rows += [(host, t, *v) for t, v in places(page or "", *seen[host]).items()]
+                columns = list(zip(*rows)) or [()] * 8
+                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), *[pa.array(c, pa.int64()) for c in columns[1:]]], ["host", "token", "lo", "hi", "slot_lo", "slot_hi", "letters", "linked"])
+
+    stood = some.join(small, "host").mapInArrow(place, "host string, token long, lo long, hi long, slot_lo long, slot_hi long, letters long, linked long")
+    stood = stood.groupBy("host", "token").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("slot_lo").alias("slot_lo"), F.max("slot_hi").alias("slot_hi"), F.sum("letters").alias("letters"), F.sum("linked").alias("linked"))
+    stood = cut(classes.join(stood, ["host", "token"]).filter("lo = hi"))
+    nested = F.max("root") | (F.min("slot_lo") == F.max("slot_hi"))
+    valid = stood.groupBy("host", "vector").agg((F.count("*") >= class_size).alias("whole"), nested.alias("nested")).filter("whole and nested").select("host", "vector")
+    stood = stood.join(valid, ["host", "vector"])
+    of = lambda condition: F.collect_list(F.when(condition, F.col("token")))
+    return stood.groupBy("host").agg(F.collect_list("token").alias("tokens"), of(F.col("root")).alias("root"), of(F.col("root") & (F.col("letters") > 0) & (F.col("linked") >= menu * F.col("letters"))).alias("menus"))
+
+
+def main_text(pages: DataFrame, *, url: str = "url", html: str = "html", out: str = "main_text") -> DataFrame:
     """pages with `out`, the main text of the html.
 
     Character references are decoded, white space inside a block is one space, blocks are joined in page order by
     one space. A null or empty html, or one without content, gives ''; truncated markup is read as far as it goes; a
     page of a host with few pages is read without a template; null urls are one host. Repeated rows give repeated
     rows; other columns pass through, but one named `out` is replaced. Templates go to the workers by broadcast if
-    there are at most broadcast_hosts of them, by a shuffled join if there are more.
+    they have BROADCAST_TOKENS tokens (of up to three longs) or less, by a shuffled join if more.
     """
     pages = without(pages, out)
     names = pages.columns
     host, template = fresh(pages, "host", "template")
-    known = cut(templates(pages, url=url, html=html)).toDF("of_host", template)
-    few = known.count() <= broadcast_hosts
+    known = templates(pages, url=url, html=html)
+    known = cut(known.select(F.col("host").alias("of_host"), F.struct("tokens", "root", "menus").alias(template)))
+    few = known.agg(F.coalesce(F.sum(F.size(F.col(template)["tokens"])), F.lit(0))).first()[0] <= BROADCAST_TOKENS
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema)
     all_of = pages.withColumn(host, host_of(url)).join(F.broadcast(known) if few else known, F.col(host) == known["of_host"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, frozenset[int]] = {}
+        seen: dict[str, Template] = {}
         for b in batches:
             for at in range(0, b.num_rows, 64):
                 part = b.slice(at, 64)
                 got = []
-                for name, tokens, page in zip(part[host].to_pylist(), part[template], part[html].to_pylist()):
+                for name, found, page in zip(part[host].to_pylist(), part[template], part[html].to_pylist()):
                     if name not in seen:
                         if len(seen) > 1000:
                             seen.clear()
-                        seen[name] = frozenset(tokens.as_py() or ())
+                        seen[name] = Template(**{k: frozenset(v) for k, v in found.as_py().items()}) if found.is_valid else Template()
                     got.append(extract(page or "", seen[name]))
                 yield pa.RecordBatch.from_arrays([*[part[n] for n in names], pa.array(got, pa.string())], [*names, out])
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import time
 import sys
 from collections import Counter, defaultdict
@@ -389,7 +390,7 @@ def test_main_text(body, text):
     assert html_text.extract(page) == text
 
 
-def test_templates(spark):
+def test_templates(spark, monkeypatch):
     rng = random.Random(12)
     word = lambda: "".join(rng.choices("abcdefgh", k=6))
     rows, want = [], {}
@@ -401,12 +402,33 @@ def test_templates(spark):
     rows += [(100 + n, "https://a.org/copy", rows[0][2]) for n in range(30)] + [(200, None, None), (201, "no url", ""), (201, "no url", "")]
     want |= {100 + n: want[0] for n in range(30)} | {200: "", 201: ""}
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"host": F.lit(1), "template": F.lit(2), "host_": F.lit(3), "main_text": F.lit(4)})
-    for hosts in (20_000, 0):
-        got = html_text.main_text(df, broadcast_hosts=hosts).collect()
+    for most in (500_000, 0):
+        monkeypatch.setattr(html_text, "BROADCAST_TOKENS", most)
+        got = html_text.main_text(df).collect()
         assert len(got) == len(rows) and {r["page_id"]: r["main_text"] for r in got} == want
     assert html_text.main_text(df.limit(0)).count() == 0
 
 
+def test_slots_order_and_nesting(spark):
+    """Menus without names are found by their slot; tokens that change places, or stand in several slots, are no template."""
+    rng = random.Random(15)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    rows, want, plain = [], {}, {}
+    for n in range(12):
+        links, body = [word() for _ in range(rng.randint(3, 6))], f"{word()} {word()}"
+        swap = ["<h3>Left</h3>", "<h4>Right</h4>"][:: 1 if n % 2 else -1]
+        moved = ["<h5>Rows</h5><h6>That</h6><i class=z>Move</i>" if k == n % 2 else "" for k in range(2)]
+        page = f"<html><body><div class=top>{''.join(f'<a href=/{x}>{x}</a> ' for x in links)}</div><div class=mid>{swap[0]}{swap[1]}{moved[0]}<p>{body}</p></div><div class=end>{moved[1]}<p>Bye all</p></div></body></html>"
+        text = " ".join(re.sub("<[^>]*>", " ", swap[0] + swap[1] + moved[0] + body + moved[1]).split())
+        rows.append((n, f"https://m.org/{n}", page))
+        want[n], plain[n] = text, f"{' '.join(links)} {text} Bye all"
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r["page_id"]: " ".join(r["main_text"].replace("ThatMove", "That Move").split()) for r in html_text.main_text(df).collect()} == want
+    assert all(" ".join(html_text.extract(p).replace("ThatMove", "That Move").split()) == plain[n] for n, _, p in rows)
+    (t,) = html_text.templates(df).collect()
+    assert len(t["menus"]) == 1 and set(t["menus"]) <= set(t["root"]) <= set(t["tokens"])
+
+
 def test_pages_of_the_table(spark):
     import html
     import re
