@@ -14,11 +14,11 @@ from collections.abc import Iterator
 from datetime import date
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.text import canonical_track, iso_date, normal_title, normal_track
+from ..functions.text import canonical_track, iso_date, normal_title, normal_track, or_else, track_slug
 from .graph import components, cut
 from .joins import hash_join, same_event_pairs
 
@@ -101,6 +101,24 @@ def merged(old: dict, new: dict, flyer: dict, at: str) -> dict:
     }
 
 
+def merge_columns(old: Column, new: Column, flyer: Column, at: Column) -> Column:
+    """merged() as an expression on two structs of EVENT, for tables of pairs that are known to match."""
+    part = lambda of, names: F.struct(*[or_else(new[of][n], old[of][n]).alias(n) for n in names]).alias(of)
+    track = {n: or_else(new["track"][n], old["track"][n]) for n in ("name", "city", "state")}
+    name = F.when(F.coalesce(track["name"], F.lit("")) != "", canonical_track(track["name"])).otherwise(track["name"])
+    none = F.array().cast("array<string>")
+    return F.struct(
+        old["id"].alias("id"), *[or_else(new[n], old[n]).alias(n) for n in ("title", "event_type", "series", "notes")],
+        F.struct(track_slug(name, track["state"]).alias("id"), name.alias("name"), track["city"].alias("city"), track["state"].alias("state")).alias("track"),
+        F.when(F.coalesce(new["dates"]["start"], F.lit("")) != "", new["dates"]).otherwise(old["dates"]).alias("dates"),
+        part("times", ["gates_open", "registration_opens", "race_start"]), part("fees", ["entry", "spectator"]), part("contact", ["phone", "email", "website"]),
+        F.array_sort(F.array_union(F.coalesce(old["classes"], none), F.coalesce(new["classes"], none))).alias("classes"),
+        F.greatest(F.coalesce(old["confidence"], F.lit(0.0)), F.coalesce(new["confidence"], F.lit(0.0))).alias("confidence"),
+        F.concat(F.coalesce(old["flyers"], F.array().cast("array<struct<file:string,phash:string,processed_at:string>>")), F.array(flyer)).alias("flyers"),
+        old["created_at"].alias("created_at"), at.alias("updated_at"),
+    )
+
+
 def bits(a: str, b: str) -> int:
     """Bits in which two hashes differ; more than any if one is no hash of 16 hexadecimal digits."""
     if not HASH.fullmatch(a) or not HASH.fullmatch(b):

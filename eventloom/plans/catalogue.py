@@ -16,7 +16,7 @@ from ..operators import aggregates as A
 from ..operators.graph import cut
 from ..operators.joins import first_match, hash_join, overlap_join
 from ..operators.lookup import alias_table, backfill, catalog_table, enrich_calendar, resolve
-from ..operators.upsert import upsert
+from ..operators.upsert import merge_columns, upsert
 from ..operators.validate import validate
 from ..sources import html as H
 from . import runs as R
@@ -156,15 +156,37 @@ def q09(spark: SparkSession, sf: str) -> DataFrame:
     return first_match(pairs, "vec_id", "duplicate_of")
 
 
-@query("q10_merge", """SELECT user_id, arg_max(event_type, struct_pack(a := ts, b := event_id)) AS event_type, max(coalesce(value, 0)) AS confidence, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS classes, count(*) AS flyers FROM events GROUP BY user_id""")
+@query("q10_merge", """WITH p AS (SELECT *, 'N' || s_nationkey || ' Alpha' AS own FROM supplier JOIN customer ON c_custkey = s_suppkey)
+SELECT s_suppkey, CASE WHEN c_custkey % 3 = 0 THEN s_name ELSE c_mktsegment END AS title, CASE WHEN s_suppkey % 2 = 0 THEN 'old' END AS series, CASE WHEN c_custkey % 4 = 0 THEN 'Xtreme Raceway Park' ELSE own END AS track,
+CASE WHEN c_custkey % 4 = 0 THEN 'xtreme-tx' ELSE 'n' || s_nationkey || '-alpha-tx' END AS track_id, CASE WHEN c_custkey % 5 = 0 THEN 'Own' ELSE 'Old' END AS city, CASE WHEN c_custkey % 7 = 0 THEN '1996-02-03' ELSE '1995-01-01' END AS day, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE '1995-01-02' END AS last,
+array_to_string(list_sort(list_distinct(['Pro', 'Super', c_mktsegment])), ',') AS classes, greatest(s_suppkey % 10 / 16, c_custkey % 7 / 8) AS confidence, 2 AS flyers FROM p""")
 def q10(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").groupBy("user_id").agg(
-        F.max_by("event_type", F.struct("ts", "event_id")).alias("event_type"), F.max(F.coalesce("value", F.lit(0.0))).alias("confidence"),
-        F.array_join(F.array_sort(F.collect_set("event_type")), ",").alias("classes"), F.count("*").alias("flyers"),
+    """Suppliers as stored events, customers of the same number as what is merged into them."""
+    no, when = F.lit(None).cast("string"), lambda n, x, y=None: F.when(F.col("c_custkey") % n == 0, x).otherwise(y)
+    both = lambda *names: F.struct(*[no.alias(n) for n in names])
+    rest = [both("gates_open", "registration_opens", "race_start").alias("times"), both("entry", "spectator").alias("fees"), both("phone", "email", "website").alias("contact")]
+    flyer = lambda name: F.struct(name.alias("file"), no.alias("phash"), no.alias("processed_at"))
+    old = F.struct(
+        F.col("s_suppkey").cast("string").alias("id"), F.col("s_name").alias("title"), no.alias("event_type"), F.when(F.col("s_suppkey") % 2 == 0, "old").alias("series"), no.alias("notes"),
+        F.struct(no.alias("id"), F.concat(F.lit("N"), "s_nationkey", F.lit(" Alpha")).alias("name"), F.lit("Old").alias("city"), F.lit("TX").alias("state")).alias("track"),
+        F.struct(F.lit("1995-01-01").alias("start"), F.lit("1995-01-02").alias("end")).alias("dates"), F.array(F.lit("Pro"), F.lit("Super")).alias("classes"), (F.col("s_suppkey") % 10 / 16).alias("confidence"), F.array(flyer(F.lit("a"))).alias("flyers"), no.alias("created_at"), *rest,
     )
-
-
-@query("q10b_upsert")
+    new = F.struct(
+        when(3, "", F.col("c_mktsegment")).alias("title"), no.alias("event_type"), no.alias("series"), no.alias("notes"), F.struct(when(4, "XRP", "").alias("name"), when(5, "Own").alias("city"), no.alias("state")).alias("track"),
+        F.struct(when(7, "1996-02-03", "").alias("start"), no.alias("end")).alias("dates"), F.array("c_mktsegment").alias("classes"), (F.col("c_custkey") % 7 / 8).alias("confidence"), *rest,
+    )
+    pairs = table(spark, sf, "supplier").join(table(spark, sf, "customer"), F.col("s_suppkey") == F.col("c_custkey")).select("s_suppkey", old.alias("old"), new.alias("new"))
+    m = pairs.select("s_suppkey", merge_columns(F.col("old"), F.col("new"), flyer(F.lit("b")), F.lit("now")).alias("m"))
+    return m.select("s_suppkey", "m.title", "m.series", F.col("m.track.name").alias("track"), F.col("m.track.id").alias("track_id"), "m.track.city", F.col("m.dates.start").alias("day"), F.col("m.dates.end").alias("last"), F.array_join("m.classes", ",").alias("classes"), "m.confidence", F.size("m.flyers").alias("flyers"))
+
+
+# In order, each input is merged into the first event whose track (one in the other) and days, those last merged, meet its own; else it is a new one.
+@query("q10b_upsert", """WITH RECURSIVE s AS (SELECT s_suppkey AS seq, 'n' || s_nationkey AS track, s_suppkey * 7 % 300 AS day, row_number() OVER (ORDER BY s_suppkey) AS k FROM supplier),
+f AS (SELECT CAST(0 AS BIGINT) AS k, CAST(NULL AS BIGINT) AS seq, CAST(NULL AS VARCHAR) AS outcome, list_filter([{'seq': CAST(0 AS BIGINT), 'track': '', 'day': CAST(0 AS BIGINT), 'flyers': CAST(0 AS BIGINT)}], lambda e: e.flyers > 0) AS events
+UNION ALL SELECT k, seq, CASE WHEN hit IS NULL THEN 'new' ELSE 'merged' END, CASE WHEN hit IS NULL THEN list_append(events, {'seq': seq, 'track': track, 'day': day, 'flyers': CAST(1 AS BIGINT)}) ELSE list_transform(events, lambda e: CASE WHEN e.seq = hit THEN {'seq': e.seq, 'track': track, 'day': day, 'flyers': e.flyers + 1} ELSE e END) END
+FROM (SELECT s.k, CAST(s.seq AS BIGINT) AS seq, s.track, CAST(s.day AS BIGINT) AS day, f.events, list_filter(f.events, lambda e: abs(e.day - s.day) <= 2 AND (contains(e.track, s.track) OR contains(s.track, e.track)))[1].seq AS hit FROM f JOIN s ON s.k = f.k + 1)),
+e AS (SELECT unnest(events) AS e FROM (SELECT arg_max(events, k) AS events FROM f))
+SELECT f.seq, f.outcome, e.e.flyers AS flyers FROM f LEFT JOIN e ON e.e.seq = f.seq WHERE f.k > 0""")
 def q10b(spark: SparkSession, sf: str) -> DataFrame:
     """Suppliers as inputs in order: short ranges of days at tracks named by nation; matches chain and are not transitive."""
     start = F.date_add(F.lit(date(2024, 1, 1)), (F.col("s_suppkey") * 7 % 300).cast("int"))
@@ -173,7 +195,8 @@ def q10b(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(start.cast("string").alias("start"), F.date_add(start, 2).cast("string").alias("end")).alias("dates"), F.array(F.col("s_name")).alias("classes"), F.lit(0.5).alias("confidence"),
     ))
     rows = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("seq"), F.lit("text").alias("kind"), payload.alias("payload"), F.lit(None).cast("string").alias("phash"), F.col("s_name").alias("flyer"), F.lit("ok").alias("status"), F.concat(F.lit("e"), F.col("s_suppkey")).alias("new_id"), F.lit("2024-01-01T00:00:00+00:00").alias("at"))
-    return upsert(rows)
+    flyers = F.from_json("payload", "flyers array<struct<file:string>>")["flyers"]
+    return upsert(rows).select("seq", "outcome", F.when(F.col("payload").isNotNull(), F.size(flyers).cast("long")).alias("flyers"))
 
 
 @query("q11_first", "SELECT min(doc_id) AS doc_id FROM documents GROUP BY text")
