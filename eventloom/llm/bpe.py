@@ -216,8 +216,8 @@ class BpeCoder:
         "\U0001d6a6\U0001df1f-\U0001df24\U0001df2b-\U0001df81\U0001df90-\U0001df96\U0001dfcd-\U0001dfff\U0001e6c0-\U0001e6de\U0001e6e0-\U0001e6e2\U0001e6e4-\U0001e6e5"
         "\U0001e6e7-\U0001e6ed\U0001e6f0-\U0001e6f4\U0001e6fe-\U0001e6ff\U0002b73a-\U0002b73f\U0002b81e\U0002cea2-\U0002cead\U000323b0-\U00033479\U0003d000-\U0003fc3f"
     )
-    # Capitals of Unicode 16, which Python may not lower yet, and a sigma that the library never takes for the end of a word.
-    LOWER = {0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B, 0x1C89: 0x1C8A, ord("Σ"): ord("σ")} | {c: c + 32 for c in range(0x10D50, 0x10D66)}
+    # Capitals of Unicode 16 and 17, which Python may not lower yet, and a sigma that the library never takes for the end of a word.
+    LOWER = {0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B, 0x1C89: 0x1C8A, ord("Σ"): ord("σ")} | {c: c + 32 for c in range(0x10D50, 0x10D66)} | {c: c + 27 for c in range(0x16EA0, 0x16EB9)}
     # The pre-token pattern of the vocabulary file.
     PRE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}--[%s]]+|[\p{N}--[%s]]|(?:[^\s\p{L}\p{N}]|[%s]|[\x1c-\x1f])+" % (NEWER, NEWER, NEWER), regex.V1)
     # Four control characters that Python takes for white space and the pattern does not.

@@ -119,7 +119,34 @@ def test_bpe_words(tokenizer):
     rng = random.Random(2)
     words = ["".join(rng.choices(a, k=rng.randint(1, 40))) for a in ("ab", "aeinorst", "ABC'sdt", "é ñßÀΣ", "<|endoftx>", "0129 ,.!") for _ in range(300)]
     for w in [*words, "a<|endoftext|>b<|startoftext|>", "it's we'll I'd", "aaaa" * 3000, "ab" * 3000]:
-        assert np.frombuffer(coder.encode(w)[0], "<u4").tolist() == tokenizer.encode(w, add_special_tokens=False).ids
+        assert coder.encode([w])[0].tolist() == tokenizer.encode(w, add_special_tokens=False).ids
+
+
+def test_bpe_of_every_code_point(tokenizer):
+    """Each code point of the planes in use, inside a word and alone, in texts of a thousand."""
+    coder = bpe.coder(bpe.vocabulary())
+    points = [c for c in (*range(0x34000), *range(0xE0000, 0xE0200), *range(0x10FF00, 0x110000)) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 1000):
+        text = " ".join(f"a{chr(c)}B {chr(c)}" for c in points[at : at + 1000])
+        assert coder.encode([text])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_bpe_edges(spark, odd):
+    """Columns of clashing names, an empty table, stretches beyond the caches."""
+    clash = odd.withColumns({c: F.lit("?") for c in ("n_tokens", "ids", "ids_sha256", "decoded")})
+    got = bpe.bpe(clash, bpe.vocabulary()).collect()
+    assert len(got) == odd.count() and {r["n_tokens"] for r in got if r["doc_id"] in (1, 2)} == {0}
+    assert bpe.bpe(odd.limit(0), bpe.vocabulary()).count() == 0
+
+
+def test_bpe_caches_turn_over(tokenizer, monkeypatch):
+    monkeypatch.setattr(bpe, "CHUNKS", 50)
+    monkeypatch.setattr(bpe, "WORDS", 20)
+    coder, rng = bpe.BpeCoder(bpe.vocabulary()), random.Random(17)
+    for _ in range(40):
+        texts = [" ".join("".join(rng.choices("abcé,", k=rng.randint(1, 90))) for _ in range(8)) for _ in range(3)]
+        ids, edge = coder.encode(texts)
+        assert [ids[a:b].tolist() for a, b in zip(edge, edge[1:])] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 # Near duplicates
@@ -561,3 +588,16 @@ def test_phrases_that_many_items_share():
     start = time.perf_counter()
     decontaminate.search(index, [text, items[7][1]])
     assert 7 in decontaminate.search(index, [text, items[7][1]])[1] and time.perf_counter() - start < 30
+
+
+@pytest.mark.parametrize("bucket_rows", [8192, 7])
+def test_shards_are_brute_force(spark, bucket_rows):
+    """Ranks in seeded order within each source, sorted by their fraction, cut into shards: held against one sorted list."""
+    rng = random.Random(16)
+    rows = [(n, rng.choice(["a", "a", "a", "b", "", None])) for n in range(300)]
+    got = {r["doc_id"]: (r["shard"], r["slot"]) for r in sharding.interleave(spark.createDataFrame(rows, "doc_id long, source string"), bucket_rows=bucket_rows).collect()}
+    by = defaultdict(list)
+    for n, source in rows:
+        by[source].append((hashlib.md5(f"7:{n}".encode()).hexdigest(), n))
+    order = sorted(((2 * r - 1) / (2.0 * len(of)), source or "", source is not None, mix, n) for source, of in by.items() for r, (mix, n) in enumerate(sorted(of), 1))
+    assert got == {n: (p * 24 // 300, p - -(-(p * 24 // 300) * 300 // 24)) for p, (*_, n) in enumerate(order)}
