@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, html_text, langid, line_dedup, near_dup, neighbours, pii, resample, sharding, topk, warc
+from . import bpe, decontaminate, html_text, langid, line_dedup, near_dup, neighbours, pii, resample, sharding, spelling, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": neighbours.op1_neighbours,
@@ -20,7 +20,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html_text": html_text.op9_html_text,
     "op10_warc": warc.op10_warc,
     "op11_resampling": resample.op11_resampling,
+    "op12_spelling": spelling.op12_spelling,
     "op13_topk": topk.op13_topk,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_neighbours": neighbours.SQL, "op10_warc": warc.SQL, "op11_resampling": resample.SQL, "op13_topk": topk.SQL}
+ORACLE_SQL: dict[str, str] = {"op1_neighbours": neighbours.SQL, "op10_warc": warc.SQL, "op11_resampling": resample.SQL, "op12_spelling": spelling.SQL, "op13_topk": topk.SQL}

@@ -158,9 +158,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, *, k: int = 10, id: str = "vec
     if shards > 1:
         floors = at_home.filter(F.size("scores") == k).groupBy(F.col("query_id").alias("id")).agg(F.max(F.element_at("scores", -1)).alias("least"))
         asked = asked.join(floors, "id", "left").withColumn("b", block)
-        away = asked.select("id", "x", F.lit(True).alias("query"), "least", "b", "home", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).cast("long").alias("s")).filter("s <> home")
+        away = asked.select("id", "x", F.lit(True).alias("query"), "least", "b", "home", F.explode(F.expr(f"sequence(0L, {shards - 1}L)")).alias("s")).filter("s <> home")
         away = away.select("id", "x", "query", "least", (F.col("b") * shards + F.col("s")).alias("tile"))
-        met = vectors.select("id", "x", F.lit(False).alias("query"), none.alias("least"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long").alias("b"))
+        met = vectors.select("id", "x", F.lit(False).alias("query"), none.alias("least"), F.explode(F.expr(f"sequence(0L, {blocks - 1}L)")).alias("b"))
         met = met.select("id", "x", "query", "least", (F.col("b") * shards + shard).alias("tile"))
         found = at_home.union(grouped(met.union(away), "tile", tiles, FOUND))
     pairs = found.select("query_id", F.explode(F.arrays_zip("ids", "scores")).alias("p")).select("query_id", F.col("p.ids").alias("vec_id"), F.col("p.scores").alias("score"))
