@@ -89,6 +89,8 @@ def search(tree: Tree, ids: np.ndarray, qid: np.ndarray, q: np.ndarray, least: l
                 continue
             a, b = tree.start[n], tree.stop[n]
             s = tree.x[a:b] @ q[i] if q.shape[1] else np.zeros(b - a)
+            if s.dtype == object:
+                s = np.array([min(max(v, LONG[0]), LONG[1]) for v in s], dtype=object)
             good = ids[a:b] != qid[i]
             if low is not None:
                 good &= s >= low
@@ -101,7 +103,7 @@ def search(tree: Tree, ids: np.ndarray, qid: np.ndarray, q: np.ndarray, least: l
             if len(top) == k and (low is None or best_s[-1] > low):
                 low = best_s[-1]
         if len(best_i):
-            yield int(qid[i]), best_i.tolist(), [min(max(int(v), LONG[0]), LONG[1]) for v in best_s]
+            yield int(qid[i]), best_i.tolist(), [int(v) for v in best_s]
 
 
 def _vectors(part: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -126,7 +128,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, *, k: int = 10, id: str = "vec
     Vectors meet only those of their own length. A row is never its own neighbour, nor is another row of its id;
     rows equal in id and vector count once; an id with several vectors is one query, whose best pairs are taken
     from all of them. Components too large for exact doubles are multiplied as integers of any size, and scores
-    beyond a long are given as its ends. No vector or no query: no rows.
+    beyond a long count as its ends. No vector or no query: no rows.
     """
     finite = F.coalesce(F.forall(vector, lambda v: F.coalesce(~F.isnan(v) & (F.abs(v) < float("inf")), F.lit(False))), F.lit(False))
     rows = lambda df: df.filter(F.col(id).isNotNull() & finite).select(F.col(id).cast("long").alias("id"), F.col(vector).alias("x")).distinct()
