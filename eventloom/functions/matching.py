@@ -13,10 +13,15 @@ def alike(a: Column, b: Column) -> Column:
     return F.coalesce(full & (F.contains(a, b) | F.contains(b, a) | shared), F.lit(False))
 
 
+def states_match(a: Column, b: Column) -> Column:
+    """Whether no two states differ; a missing or empty one fits any."""
+    up = lambda s: F.upper(F.coalesce(s, F.lit("")))
+    return ~((up(a) != "") & (up(b) != "") & (up(a) != up(b)))
+
+
 def tracks_match(name_a: Column, state_a: Column, name_b: Column, state_b: Column) -> Column:
     """Whether normalised track names are alike and no two states differ."""
-    up = lambda s: F.upper(F.coalesce(s, F.lit("")))
-    return ~((up(state_a) != "") & (up(state_b) != "") & (up(state_a) != up(state_b))) & alike(name_a, name_b)
+    return states_match(state_a, state_b) & alike(name_a, name_b)
 
 
 def ranges_overlap(start_a: Column, end_a: Column, start_b: Column, end_b: Column) -> Column:

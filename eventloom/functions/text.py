@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column
@@ -15,6 +16,11 @@ from . import fixed
 SPACE = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once and its expression written once in the plan."""
+    return F.transform(F.array(value), use)[0]
+
+
 def stripped(text: Column) -> Column:
     """Text without white space of any kind at its ends."""
     return F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+$", "")
@@ -44,21 +50,28 @@ def canonical_track(name: Column, aliases: list[tuple[str, list[str]]] = fixed.T
     for canonical, names in aliases:
         for alias in names:
             known[alias.lower()] = canonical
-    plain = F.lower(stripped(name))
-    exact = F.create_map(*[x for a, c in known.items() for x in (F.lit(a), F.lit(c))])[plain] if known else F.lit(None)
-    out = None
-    for alias, canonical in known.items():
-        if len(alias) >= 4:
-            hit = plain.rlike(rf"(^|[^a-z0-9]){re.escape(alias)}([^a-z0-9]|$)")
-            out = F.when(hit, canonical) if out is None else out.when(hit, canonical)
-    return F.coalesce(exact, out if out is not None else F.lit(None), name)
+    longer = [(a, c) for a, c in known.items() if len(a) >= 4]
+
+    def of(n: Column) -> Column:
+        hits = None
+        for alias, canonical in longer:
+            hit = n["plain"].rlike(rf"(^|[^a-z0-9]){re.escape(alias)}([^a-z0-9]|$)")
+            hits = F.when(hit, canonical) if hits is None else hits.when(hit, canonical)
+        exact = F.create_map(*[x for kv in known.items() for x in map(F.lit, kv)])[n["plain"]] if known else F.lit(None)
+        return F.coalesce(exact, hits if hits is not None else F.lit(None), n["name"])
+
+    return let(F.struct(F.lower(stripped(name)).alias("plain"), name.alias("name")), of)
 
 
 def track_slug(name: Column, state: Column) -> Column:
     """URL-safe id of a track; null without a name. The state follows after a hyphen if it is not empty."""
     stem = F.regexp_replace(F.regexp_replace(normal_track(canonical_track(name)), "[^a-z0-9]+", "-"), "^-+|-+$", "")
-    slug = F.when(F.coalesce(state, F.lit("")) != "", F.concat(stem, F.lit("-"), F.lower(state))).otherwise(stem)
-    return F.when(F.coalesce(name, F.lit("")) != "", F.nullif(slug, F.lit("")))
+
+    def of(n: Column) -> Column:
+        slug = F.when(F.coalesce(n["state"], F.lit("")) != "", F.concat(n["stem"], F.lit("-"), F.lower(n["state"]))).otherwise(n["stem"])
+        return F.when(F.coalesce(n["name"], F.lit("")) != "", F.nullif(slug, F.lit("")))
+
+    return let(F.struct(stem.alias("stem"), name.alias("name"), state.alias("state")), of)
 
 
 def track_with_id(name: Column, city: Column, state: Column) -> Column:

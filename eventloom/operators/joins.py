@@ -1,4 +1,4 @@
-"""Similarity and range joins as equi-joins on buckets with the exact rule as the rest."""
+"""Similarity and range joins as equi-joins on keys with the exact rule as the rest."""
 
 from __future__ import annotations
 
@@ -7,43 +7,171 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.matching import alike, ranges_overlap, tracks_match
+from ..functions.matching import alike, ranges_overlap, states_match
 from ..functions.text import hash_distance
+from .graph import cut
 
+#: Days are numbered from 0001-01-01 and kept within 2^22 of them; days beyond count as the first or last.
+LEVELS, DAY_ONE = 22, 719_162
+#: Nodes of this level and above are so few (2^15 at most) that the set of those in use is broadcast.
+WIDE = 8
+#: A word that stands in more distinct names than this is met in pairs of words only.
+COMMON = 64
+#: A track with more known classes than this in a year is met by title, too.
+CROWDED = 256
 
-def overlap_join(left: DataFrame, right: DataFrame, condition: Column | None = None, *, start: str = "start", end: str = "end", days: int = 7, on: list[str] | None = None) -> DataFrame:
+
+def _nodes(a: Column, b: Column) -> Column:
+    """Array of structs (k, level, whole): the dyadic nodes that make up the days a..b, and those that reach over an end.
+
+    Node x of a level holds the days x * 2^level and on; k numbers all nodes. A range is made up of two nodes a level
+    at most, and two a level reach over its ends, so a range has at most 4 * 23 rows whatever its length.
+    """
+    right = lambda x, l: F.call_function("shiftright", x, l)
+
+    def of(l: Column) -> Column:
+        size = F.call_function("shiftleft", F.lit(1), l)
+        first, last = right(a + size - 1, l), right(b + 1, l) - 1
+        inner = F.filter(F.array(F.struct(first.alias("x"), (first % 2 == 1).alias("in")), F.struct(last.alias("x"), (last % 2 == 0).alias("in"))), lambda n: n["in"] & (first <= last))
+        outer = F.array_distinct(F.filter(F.array(right(a, l), right(b, l)), lambda x: (x < first) | (x > last)))
+        return F.concat(F.transform(inner, lambda n: node(l, n["x"], F.lit(True))), F.transform(outer, lambda x: node(l, x, F.lit(False))))
+
+    def node(l: Column, x: Column, whole: Column) -> Column:
+        return F.struct((F.call_function("shiftleft", F.lit(1), F.lit(LEVELS) - l) + x).alias("k"), l.alias("level"), whole.alias("whole"))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), of))
+
+
+def _day(date: Column) -> Column:
+    return F.least(F.greatest(F.unix_date(date) + DAY_ONE, F.lit(0)), F.lit((1 << LEVELS) - 1))
+
+
+def overlap_join(left: DataFrame, right: DataFrame, condition: Column | None = None, *, start: str = "start", end: str = "end", on: list[str] | None = None) -> DataFrame:
     """Pairs (columns of left as l_*, of right as r_*) whose date ranges overlap.
 
-    Each range is copied to the spans of `days` days that it touches, and pairs meet in the first span that both
-    touch, so none comes twice and no cross product is made. A range that ends before it starts touches the spans
-    between its days; the rule of ranges_overlap() decides. `on` names further columns that must be equal.
+    Ranges are cut into dyadic nodes, and two that overlap meet at the node of one that is a node of the other or
+    holds one of its nodes: the one with the later of the two starts, so that no pair comes twice and no cross
+    product is made. Short ranges have a few rows below WIDE levels; wider nodes are copied only if the other side
+    is made up of them, which a broadcast set of at most 2^15 numbers tells. A range of thousands of years has 92 rows
+    at most. One that ends before it starts is taken as the days between; the rule of ranges_overlap() decides.
+    A missing end is the start; a missing start pairs with nothing. `on` names further columns that must be equal.
     """
 
-    def spread(df: DataFrame, side: str) -> DataFrame:
+    def ranges(df: DataFrame, side: str) -> DataFrame:
         out = df.select(*[F.col(c).alias(f"{side}_{c}") for c in df.columns]).filter(F.col(f"{side}_{start}").isNotNull())
-        a, b = F.col(f"{side}_{start}"), F.coalesce(f"{side}_{end}", f"{side}_{start}")
-        day = lambda c: F.floor(F.unix_date(c) / days).cast("int")
-        out = out.withColumn(f"{side}_first_", day(F.least(a, b)))
-        return out.withColumn("span_", F.explode(F.sequence(f"{side}_first_", day(F.greatest(a, b)))))
+        a, b = _day(F.col(f"{side}_{start}")), _day(F.coalesce(f"{side}_{end}", f"{side}_{start}"))
+        return out.withColumns({f"{side}_a_": F.least(a, b), f"{side}_b_": F.greatest(a, b)})
 
-    l, r = spread(left, "l"), spread(right, "r")
-    keys = F.col("l.span_") == F.col("r.span_")
+    def wide(df: DataFrame, side: str) -> DataFrame:
+        nodes = df.select(f"{side}_a_", f"{side}_b_").distinct().select(F.explode(_nodes(F.col(f"{side}_a_"), F.col(f"{side}_b_"))).alias("n_"))
+        return nodes.filter(F.col("n_.whole") & (F.col("n_.level") >= WIDE)).select(F.col("n_.k").alias("wide_")).distinct()
+
+    def spread(df: DataFrame, side: str, others: DataFrame) -> DataFrame:
+        out = df.withColumn("n_", F.explode(_nodes(F.col(f"{side}_a_"), F.col(f"{side}_b_")))).select(*df.columns, F.col("n_.k").alias("k_"), F.col("n_.level").alias("level_"), F.col("n_.whole").alias("whole_"))
+        out = out.join(F.broadcast(others), F.when(~F.col("whole_") & (F.col("level_") >= WIDE), F.col("k_")) == F.col("wide_"), "left")
+        return out.filter(F.col("whole_") | (F.col("level_") < WIDE) | F.col("wide_").isNotNull()).drop("wide_")
+
+    l, r = ranges(left, "l"), ranges(right, "r")
+    l, r = spread(l, "l", wide(r, "r")), spread(r, "r", wide(l, "l"))
+    keys = F.col("l.k_") == F.col("r.k_")
     for c in on or []:
         keys = keys & (F.col(f"l_{c}") == F.col(f"r_{c}"))
     rule = ranges_overlap(F.col(f"l_{start}"), F.col(f"l_{end}"), F.col(f"r_{start}"), F.col(f"r_{end}"))
-    once = F.col("l.span_") == F.greatest("l_first_", "r_first_")
+    meeting = F.call_function("shiftright", F.greatest("l_a_", "r_a_") + (1 << LEVELS), F.col("l.level_")) == F.col("l.k_")
+    once = (F.col("l.whole_") | F.col("r.whole_")) & meeting
     out = l.alias("l").join(r.alias("r"), keys & once & rule & (condition if condition is not None else F.lit(True)))
-    return out.drop("span_", "l_first_", "r_first_")
+    return out.drop("k_", "level_", "whole_", "l_a_", "l_b_", "r_a_", "r_b_")
 
 
-def same_event_pairs(new: DataFrame, known: DataFrame, condition: Column | None = None) -> DataFrame:
-    """Pairs of records of one event: matching tracks, overlapping dates, compatible titles.
+def alike_names(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(l, r) of all names of left(name) and right(name) that are alike(), each pair once. Names are distinct and not empty.
 
-    Both sides have track_key, state, title_key (normalised) and start, end as dates; the spans of the dates are the
-    join's key, the other rules its rest.
+    Two names that share two words share a word that stands in COMMON names at most, or two words that stand in
+    more: the index has the first words alone and pairs of the others, so no key is both common and idle. A name
+    inside another shares its rarest three letters with it (a shorter one, itself).
+    """
+    both = left.select("name").union(right.select("name"))
+    words = lambda df: df.select("name", F.explode(F.array_distinct(F.split("name", " "))).alias("w"))
+    often = words(both.distinct()).groupBy("w").agg((F.count("*") > COMMON).alias("often"))
+
+    def by_words(df: DataFrame) -> DataFrame:
+        each = words(df).join(often, "w").groupBy("name").agg(F.collect_list(F.when(~F.col("often"), F.col("w"))).alias("few"), F.array_sort(F.collect_list(F.when(F.col("often"), F.col("w")))).alias("many"))
+        two = F.flatten(F.transform("many", lambda x, i: F.transform(F.slice("many", i + 2, F.size("many")), lambda y: F.concat_ws(" ", x, y))))
+        return each.select("name", F.explode(F.concat("few", two)).alias("key"))
+
+    def gram(x: Column, size: int) -> Column:
+        return F.when(F.length(x) >= size, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(x) - size + 1), lambda i: F.substring(x, i, F.lit(size)))))
+
+    def inside(short: DataFrame, long: DataFrame) -> DataFrame:
+        """(short, long) with the first in the second."""
+        n = F.col("name")
+        held = long.select(n.alias("long"), F.explode(F.concat(*[F.coalesce(gram(n, k), F.array().cast("array<string>")) for k in (1, 2, 3)])).alias("g"))
+        held = cut(held)
+        rare = held.groupBy("g").agg(F.count("*").alias("n"))
+        asked = short.select(n.alias("short"), F.explode(F.when(F.length(n) >= 3, gram(n, 3)).otherwise(F.array(n))).alias("g"))
+        # A gram that no long name holds rules its name out.
+        best = asked.join(rare, "g", "left").groupBy("short").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "g")).alias("m")).filter("m.n > 0")
+        return best.select("short", F.col("m.g").alias("g")).join(held, "g").filter(F.contains("long", "short")).select("short", "long")
+
+    shared = by_words(left).withColumnRenamed("name", "l").join(by_words(right).withColumnRenamed("name", "r"), "key").select("l", "r")
+    pairs = shared.union(inside(left, right).toDF("l", "r")).union(inside(right, left).select(F.col("long").alias("l"), F.col("short").alias("r")))
+    return pairs.distinct().filter(alike(F.col("l"), F.col("r")))
+
+
+RECORD = ["track_key", "state", "title_key", "start", "end"]
+
+
+def classes(records: DataFrame, value: Column, name: str) -> DataFrame:
+    """Records that no rule can tell apart, once, with the least value; those that can match nothing are left out."""
+    end = F.coalesce("end", "start")
+    same = records.select("track_key", F.upper(F.coalesce("state", F.lit(""))).alias("state"), "title_key", "start", end.alias("end"), value.alias(name))
+    return same.filter("track_key <> '' AND title_key <> '' AND start IS NOT NULL").groupBy(*RECORD).agg(F.min(name).alias(name))
+
+
+def same_event_classes(new: DataFrame, known: DataFrame, condition: Column | None = None) -> DataFrame:
+    """Pairs of classes() (columns of new as l_*, of known as r_*) that are one event: tracks and titles alike, no two states, dates that overlap.
+
+    Names are matched once each, as distinct names: a class of new goes to the tracks that its own is like, and meets
+    the classes of such a track at the nodes of their dates. Where a track has more than CROWDED classes in a
+    year, the title is in the key, too, so that all known classes of a key match but for their dates' ends and states.
+    """
+    names = lambda df, c: df.select(F.col(c).alias("name")).distinct()
+    tracks = cut(alike_names(names(new, "track_key"), names(known, "track_key")))
+    titles = cut(alike_names(names(new, "title_key"), names(known, "title_key")))
+    crowded = known.groupBy("track_key", F.year("start").alias("y_")).agg(F.count("*").alias("n_")).filter(F.col("n_") > CROWDED).select("track_key").distinct()
+    new = new.join(tracks.toDF("track_key", "track_"), "track_key")
+    calm_new, calm_known = (df.join(crowded.withColumnRenamed("track_key", c), c, "left_anti") for df, c in ((new, "track_"), (known.withColumn("track_", F.col("track_key")), "track_")))
+    rest = states_match(F.col("l_state"), F.col("r_state"))
+    rest = rest if condition is None else rest & condition
+    calm = overlap_join(calm_new, calm_known, rest & alike(F.col("l_title_key"), F.col("r_title_key")), on=["track_"])
+    busy_new = new.join(crowded.withColumnRenamed("track_key", "track_"), "track_", "left_semi").join(titles.toDF("title_key", "title_"), "title_key")
+    busy_known = known.join(crowded, "track_key", "left_semi").withColumns({"track_": F.col("track_key"), "title_": F.col("title_key")})
+    busy = overlap_join(busy_new, busy_known, rest, on=["track_", "title_"])
+    return calm.drop("l_track_", "r_track_").unionByName(busy.drop("l_track_", "r_track_", "l_title_", "r_title_"))
+
+
+def find_same_event(new: DataFrame, known: DataFrame, *, id: str = "id", order: str = "ord") -> DataFrame:
+    """(id, match): for each record of new that has one, the least `order` of the records of known that are the same event.
+
+    Both have track_key, title_key (normalised), state, and start, end as dates. Records that no rule can tell apart
+    are matched once, so a thousand copies cost what one does. A null or empty name and a missing start match nothing;
+    a missing end is the start; a missing or empty state fits any. Repeated ids of new are one row each id and match.
     """
-    rest = tracks_match(F.col("l_track_key"), F.col("l_state"), F.col("r_track_key"), F.col("r_state")) & alike(F.col("l_title_key"), F.col("r_title_key"))
-    return overlap_join(new, known, rest if condition is None else rest & condition)
+    end = F.coalesce("end", "start")
+    of = new.select(F.col(id).alias("id_"), "track_key", F.upper(F.coalesce("state", F.lit(""))).alias("state"), "title_key", "start", end.alias("end"))
+    pairs = same_event_classes(classes(new, F.lit(0), "none_"), classes(known, F.col(order), "ord_"))
+    best = pairs.groupBy(*[f"l_{c}" for c in RECORD]).agg(F.min("r_ord_").alias("match")).toDF(*RECORD, "match")
+    return of.join(best, RECORD).select(F.col("id_").alias(id), "match").distinct()
+
+
+def event_classes(records: DataFrame, *, id: str = "id") -> tuple[DataFrame, DataFrame]:
+    """(id, cid) of the records that can match something, cid the least id of those that no rule can tell apart; and
+    (a, b), a < b, the cids of classes that are one event. Records match as their classes do, each class itself."""
+    end = F.coalesce("end", "start")
+    mine = records.select(F.col(id).alias("id"), "track_key", F.upper(F.coalesce("state", F.lit(""))).alias("state"), "title_key", "start", end.alias("end"))
+    each = cut(classes(records, F.col(id), "cid"))
+    pairs = same_event_classes(each, each, F.col("l_cid") < F.col("r_cid"))
+    return mine.join(each, RECORD).select("id", "cid"), pairs.select(F.col("l_cid").alias("a"), F.col("r_cid").alias("b"))
 
 
 def hash_join(left: DataFrame, right: DataFrame, *, distance: int = 10, column: str = "phash", condition: Column | None = None) -> DataFrame:

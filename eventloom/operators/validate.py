@@ -62,7 +62,10 @@ def _parses(read: Callable[[str], object]) -> Callable[[str], bool]:
 
 
 def _is_uri(text: str) -> bool:
-    parts = urlparse(text)
+    try:
+        parts = urlparse(text)
+    except ValueError:
+        return False
     return bool(parts.scheme and parts.netloc)
 
 

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed
@@ -14,7 +14,7 @@ from ..functions import text as T
 from ..functions.matching import alike, tracks_match
 from ..operators import aggregates as A
 from ..operators.graph import cut
-from ..operators.joins import first_match, hash_join, overlap_join
+from ..operators.joins import find_same_event, first_match, hash_join, overlap_join
 from ..operators.lookup import alias_table, backfill, catalog_table, enrich_calendar, resolve
 from ..operators.upsert import merge_columns, upsert
 from ..operators.validate import validate
@@ -120,6 +120,18 @@ def q06b(spark: SparkSession, sf: str) -> DataFrame:
     return overlap_join(o, o, F.col("l_k") < F.col("r_k"), on=["c"]).select(F.col("l_k").alias("left_key"), F.col("r_k").alias("right_key"))
 
 
+@query("q06c_wide_ranges", """WITH c AS (SELECT c_custkey, DATE '1995-01-01' + CAST(c_custkey % 2000 AS INTEGER) AS s, DATE '1995-01-01' + CAST(c_custkey % 2000 + floor(abs(c_acctbal) * 7.3) AS INTEGER) AS e FROM customer),
+o AS (SELECT CAST(o_orderdate AS DATE) AS s, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 9 AS INTEGER) AS e, count(*) AS n FROM orders GROUP BY ALL)
+SELECT c_custkey, CAST(sum(n) AS BIGINT) AS orders FROM c JOIN o ON c.s <= o.e AND o.s <= c.e GROUP BY c_custkey""")
+def q06c(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders open during each customer's time, which is up to 200 years long."""
+    since = F.date_add(F.lit(date(1995, 1, 1)), (F.col("c_custkey") % 2000).cast("int"))
+    c = table(spark, sf, "customer").select("c_custkey", since.alias("start"), F.date_add(since, F.floor(F.abs("c_acctbal") * 7.3).cast("int")).alias("end"))
+    day = F.col("o_orderdate").cast("date")
+    o = table(spark, sf, "orders").groupBy(day.alias("start"), F.date_add(day, (F.col("o_orderkey") % 9).cast("int")).alias("end")).agg(F.count("*").alias("n"))
+    return overlap_join(c, o).groupBy(F.col("l_c_custkey").alias("c_custkey")).agg(F.sum("r_n").alias("orders"))
+
+
 @query("q07_alike", """WITH p AS (SELECT p_brand, lower(p_name) || CASE WHEN p_size % 2 = 0 THEN ' large' ELSE '' END AS n, CASE p_size % 3 WHEN 0 THEN '' WHEN 1 THEN 'TX' ELSE 'ok' END AS s, count(*) AS c FROM part GROUP BY ALL)
 SELECT a.p_brand AS brand, a.n AS name_a, a.s AS state_a, b.n AS name_b, b.s AS state_b, a.c * b.c AS pairs FROM p a JOIN p b ON a.p_brand = b.p_brand AND (a.n, a.s) < (b.n, b.s)
 WHERE NOT (a.s <> '' AND b.s <> '' AND upper(a.s) <> upper(b.s)) AND (contains(a.n, b.n) OR contains(b.n, a.n) OR len(list_intersect(list_distinct(string_split(a.n, ' ')), list_distinct(string_split(b.n, ' ')))) >= 2)""")
@@ -156,6 +168,24 @@ def q09(spark: SparkSession, sf: str) -> DataFrame:
     return first_match(pairs, "vec_id", "duplicate_of")
 
 
+_STATES = "CASE c_nationkey % 3 WHEN 0 THEN '' WHEN 1 THEN 'TX' ELSE 'ok' END"
+
+
+@query("q09b_same_event", f"""WITH e AS (SELECT o_orderkey AS k, o_orderstatus AS kind, p_name AS track, {_STATES} AS state, trim(regexp_replace(lower(o_orderpriority), '[^a-z]+', ' ', 'g')) || ' ' || lower(p_brand) AS title,
+  CAST(o_orderdate AS DATE) AS s, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 6 AS INTEGER) AS e FROM orders JOIN customer ON o_custkey = c_custkey JOIN part ON p_partkey = o_custkey),
+like_(a, b) AS (SELECT a.n, b.n FROM (SELECT DISTINCT track AS n FROM e UNION SELECT DISTINCT title FROM e) a, (SELECT DISTINCT track AS n FROM e UNION SELECT DISTINCT title FROM e) b
+  WHERE contains(a.n, b.n) OR contains(b.n, a.n) OR len(list_intersect(string_split(a.n, ' '), string_split(b.n, ' '))) >= 2)
+SELECT n.k AS id, min(o.k) AS match FROM e n JOIN like_ t ON t.a = n.track JOIN e o ON o.track = t.b AND n.s <= o.e AND o.s <= n.e JOIN like_ l ON l.a = n.title AND l.b = o.title
+WHERE n.kind <> 'F' AND o.kind = 'F' AND NOT (n.state <> '' AND o.state <> '' AND upper(n.state) <> upper(o.state)) GROUP BY n.k""")
+def q09b(spark: SparkSession, sf: str) -> DataFrame:
+    """For each order that is not finished the first finished one that is the same event by parts' names, states, titles and days."""
+    day = F.col("o_orderdate").cast("date")
+    e = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(table(spark, sf, "part"), F.col("o_custkey") == F.col("p_partkey"))
+    title = F.concat(F.trim(F.regexp_replace(F.lower("o_orderpriority"), "[^a-z]+", " ")), F.lit(" "), F.lower("p_brand"))
+    e = e.select(F.col("o_orderkey").alias("id"), "o_orderstatus", F.col("p_name").alias("track_key"), F.expr(_STATES).alias("state"), title.alias("title_key"), day.alias("start"), F.date_add(day, (F.col("o_orderkey") % 6).cast("int")).alias("end"))
+    return find_same_event(e.filter("o_orderstatus <> 'F'"), e.filter("o_orderstatus = 'F'"), order="id")
+
+
 @query("q10_merge", """WITH p AS (SELECT *, 'N' || s_nationkey || ' Alpha' AS own FROM supplier JOIN customer ON c_custkey = s_suppkey)
 SELECT s_suppkey, CASE WHEN c_custkey % 3 = 0 THEN s_name ELSE c_mktsegment END AS title, CASE WHEN s_suppkey % 2 = 0 THEN 'old' END AS series, CASE WHEN c_custkey % 4 = 0 THEN 'Xtreme Raceway Park' ELSE own END AS track,
 CASE WHEN c_custkey % 4 = 0 THEN 'xtreme-tx' ELSE 'n' || s_nationkey || '-alpha-tx' END AS track_id, CASE WHEN c_custkey % 5 = 0 THEN 'Own' ELSE 'Old' END AS city, CASE WHEN c_custkey % 7 = 0 THEN '1996-02-03' ELSE '1995-01-01' END AS day, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE '1995-01-02' END AS last,
@@ -180,23 +210,37 @@ def q10(spark: SparkSession, sf: str) -> DataFrame:
     return m.select("s_suppkey", "m.title", "m.series", F.col("m.track.name").alias("track"), F.col("m.track.id").alias("track_id"), "m.track.city", F.col("m.dates.start").alias("day"), F.col("m.dates.end").alias("last"), F.array_join("m.classes", ",").alias("classes"), "m.confidence", F.size("m.flyers").alias("flyers"))
 
 
-# In order, each input is merged into the first event whose track (one in the other) and days, those last merged, meet its own; else it is a new one.
-@query("q10b_upsert", """WITH RECURSIVE s AS (SELECT s_suppkey AS seq, 'n' || s_nationkey AS track, s_suppkey * 7 % 300 AS day, row_number() OVER (ORDER BY s_suppkey) AS k FROM supplier),
-f AS (SELECT CAST(0 AS BIGINT) AS k, CAST(NULL AS BIGINT) AS seq, CAST(NULL AS VARCHAR) AS outcome, list_filter([{'seq': CAST(0 AS BIGINT), 'track': '', 'day': CAST(0 AS BIGINT), 'flyers': CAST(0 AS BIGINT)}], lambda e: e.flyers > 0) AS events
-UNION ALL SELECT k, seq, CASE WHEN hit IS NULL THEN 'new' ELSE 'merged' END, CASE WHEN hit IS NULL THEN list_append(events, {'seq': seq, 'track': track, 'day': day, 'flyers': CAST(1 AS BIGINT)}) ELSE list_transform(events, lambda e: CASE WHEN e.seq = hit THEN {'seq': e.seq, 'track': track, 'day': day, 'flyers': e.flyers + 1} ELSE e END) END
+def _fold_sql(inputs: str) -> str:
+    """In order, each of inputs(seq, track, day, k) is merged into the first event whose track (one in the other) and days, those last merged, meet its own; else it is a new one."""
+    return f"""WITH RECURSIVE s AS ({inputs}),
+f AS (SELECT CAST(0 AS BIGINT) AS k, CAST(NULL AS BIGINT) AS seq, CAST(NULL AS VARCHAR) AS outcome, list_filter([{{'seq': CAST(0 AS BIGINT), 'track': '', 'day': CAST(0 AS BIGINT), 'flyers': CAST(0 AS BIGINT)}}], lambda e: e.flyers > 0) AS events
+UNION ALL SELECT k, seq, CASE WHEN hit IS NULL THEN 'new' ELSE 'merged' END, CASE WHEN hit IS NULL THEN list_append(events, {{'seq': seq, 'track': track, 'day': day, 'flyers': CAST(1 AS BIGINT)}}) ELSE list_transform(events, lambda e: CASE WHEN e.seq = hit THEN {{'seq': e.seq, 'track': track, 'day': day, 'flyers': e.flyers + 1}} ELSE e END) END
 FROM (SELECT s.k, CAST(s.seq AS BIGINT) AS seq, s.track, CAST(s.day AS BIGINT) AS day, f.events, list_filter(f.events, lambda e: abs(e.day - s.day) <= 2 AND (contains(e.track, s.track) OR contains(s.track, e.track)))[1].seq AS hit FROM f JOIN s ON s.k = f.k + 1)),
 e AS (SELECT unnest(events) AS e FROM (SELECT arg_max(events, k) AS events FROM f))
-SELECT f.seq, f.outcome, e.e.flyers AS flyers FROM f LEFT JOIN e ON e.e.seq = f.seq WHERE f.k > 0""")
-def q10b(spark: SparkSession, sf: str) -> DataFrame:
-    """Suppliers as inputs in order: short ranges of days at tracks named by nation; matches chain and are not transitive."""
-    start = F.date_add(F.lit(date(2024, 1, 1)), (F.col("s_suppkey") * 7 % 300).cast("int"))
+SELECT f.seq, f.outcome, e.e.flyers AS flyers FROM f LEFT JOIN e ON e.e.seq = f.seq WHERE f.k > 0"""
+
+
+def _folded(df: DataFrame, seq: str, track: Column, day: Column, name: str, **how: int) -> DataFrame:
+    start = F.date_add(F.lit(date(2024, 1, 1)), day.cast("int"))
     payload = F.to_json(F.struct(
-        F.lit("Open Finals").alias("title"), F.lit("bracket").alias("event_type"), F.struct(F.concat(F.lit("N"), F.col("s_nationkey")).alias("name"), F.lit("TX").alias("state")).alias("track"),
-        F.struct(start.cast("string").alias("start"), F.date_add(start, 2).cast("string").alias("end")).alias("dates"), F.array(F.col("s_name")).alias("classes"), F.lit(0.5).alias("confidence"),
+        F.lit("Open Finals").alias("title"), F.lit("bracket").alias("event_type"), F.struct(track.alias("name"), F.lit("TX").alias("state")).alias("track"),
+        F.struct(start.cast("string").alias("start"), F.date_add(start, 2).cast("string").alias("end")).alias("dates"), F.array(F.col(name)).alias("classes"), F.lit(0.5).alias("confidence"),
     ))
-    rows = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("seq"), F.lit("text").alias("kind"), payload.alias("payload"), F.lit(None).cast("string").alias("phash"), F.col("s_name").alias("flyer"), F.lit("ok").alias("status"), F.concat(F.lit("e"), F.col("s_suppkey")).alias("new_id"), F.lit("2024-01-01T00:00:00+00:00").alias("at"))
+    rows = df.select(F.col(seq).alias("seq"), F.lit("text").alias("kind"), payload.alias("payload"), F.lit(None).cast("string").alias("phash"), F.col(name).alias("flyer"), F.lit("ok").alias("status"), F.concat(F.lit("e"), F.col(seq)).alias("new_id"), F.lit("2024-01-01T00:00:00+00:00").alias("at"))
     flyers = F.from_json("payload", "flyers array<struct<file:string>>")["flyers"]
-    return upsert(rows).select("seq", "outcome", F.when(F.col("payload").isNotNull(), F.size(flyers).cast("long")).alias("flyers"))
+    return upsert(rows, **how).select("seq", "outcome", F.when(F.col("payload").isNotNull(), F.size(flyers).cast("long")).alias("flyers"))
+
+
+@query("q10b_upsert", _fold_sql("SELECT s_suppkey AS seq, 'n' || s_nationkey AS track, s_suppkey * 7 % 300 AS day, row_number() OVER (ORDER BY s_suppkey) AS k FROM supplier"))
+def q10b(spark: SparkSession, sf: str) -> DataFrame:
+    """Suppliers as inputs in order: short ranges of days at tracks named by nation; matches chain and are not transitive."""
+    return _folded(table(spark, sf, "supplier"), "s_suppkey", F.concat(F.lit("N"), F.col("s_nationkey")), F.col("s_suppkey") * 7 % 300, "s_name")
+
+
+@query("q10c_chain", _fold_sql("SELECT c_custkey AS seq, 'n' || c_nationkey % 2 AS track, c_custkey // 2 * 5 // 4 AS day, row_number() OVER (ORDER BY c_custkey) AS k FROM customer"))
+def q10c(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as inputs in order: two chains of days that hold them all, folded in waves of 400."""
+    return _folded(table(spark, sf, "customer"), "c_custkey", F.concat(F.lit("N"), F.col("c_nationkey") % 2), F.floor(F.floor(F.col("c_custkey") / 2) * 5 / 4), "c_name", wave=400)
 
 
 @query("q11_first", "SELECT min(doc_id) AS doc_id FROM documents GROUP BY text")

@@ -195,10 +195,12 @@ def crawl_source(source: dict, strategies: dict[str, tuple[str, Callable[[dict],
 
 
 def crawl_calendar(pages: DataFrame, source: dict, seen: DataFrame) -> DataFrame:
-    """New listings of a calendar's pages (page, url, html): pages shown twice count once, then cards not in seen(key)."""
+    """New listings of a calendar's pages (page, url, html): cards of one key on a page are one, each field the first
+    that is not empty; pages shown twice count once; then cards not in seen(key)."""
     numbered = pages.select(F.concat_ws("#", "page", "url").alias("url"), "html", "page")
     cards = H.parse_pages(numbered, H.calendar, H.COLUMNS["calendar"]).withColumn("page", F.substring_index("url", "#", 1).cast("int"))
     cards = cards.withColumn("key", F.concat_ws("|", "title", "date_text"))
+    cards = A.first_truthy(cards, ["page", "key"], ["title", "date_text", "time_text", "location_text", "description"], "ord")
     kept = first_pages(cards).withColumn("at", F.col("page").cast("long") * (1 << 32) + F.col("ord"))
     return A.unseen(kept, "key", "at", seen).select("at", "key", "title", "date_text", "time_text", "location_text", "description", F.lit(source["url"]).alias("source_url"), F.lit(source["name"]).alias("source"))
 

@@ -96,16 +96,28 @@ def aid(value: str) -> Callable[[Node], bool]:
     return lambda n: n.attrs.get("data-aid") == value
 
 
-def suffix(url: str) -> str:
-    last = urlparse(url).path.rstrip("/").rpartition("/")[2]
+def address(base: str, href: str) -> str | None:
+    """href on a page at base; None for one that is no address."""
+    try:
+        return urljoin(base, href)
+    except ValueError:
+        return None
+
+
+def suffix(url: str | None) -> str:
+    try:
+        path = urlparse(url or "").path
+    except ValueError:
+        return ""
+    last = path.rstrip("/").rpartition("/")[2]
     stem, dot, end = last.rpartition(".")
     return f".{end.lower()}" if dot and stem and end else ""
 
 
 def links(url: str, html: str) -> Iterator[dict]:
-    """Anchors with an address: ord, href (absolute), text."""
+    """Anchors with an address: ord, href (absolute; None if it is no address), text."""
     for n, a in enumerate(x for x in parse(html).walk() if x.name == "a" and "href" in x.attrs):
-        yield {"ord": n, "href": urljoin(url, a.attrs["href"]), "text": a.text()}
+        yield {"ord": n, "href": address(url, a.attrs["href"]), "text": a.text()}
 
 
 def images(url: str, html: str, least: int = fixed.MIN_IMAGE_SIDE, flyer_links: bool = False) -> Iterator[dict]:
@@ -117,7 +129,7 @@ def images(url: str, html: str, least: int = fixed.MIN_IMAGE_SIDE, flyer_links:
     for n in root.walk():
         if n.name == "img":
             src = n.attrs.get("src") or n.attrs.get("data-src") or n.attrs.get("data-lazy-src")
-            if not src or suffix(urljoin(url, src)) not in fixed.CRAWL_IMAGES:
+            if not src or suffix(address(url, src)) not in fixed.CRAWL_IMAGES:
                 continue
             try:
                 sides = [int(n.attrs.get(k, 0)) for k in ("width", "height")]
@@ -125,12 +137,12 @@ def images(url: str, html: str, least: int = fixed.MIN_IMAGE_SIDE, flyer_links:
                     continue
             except ValueError:
                 pass
-            out.append(urljoin(url, src))
+            out.append(address(url, src))
     if flyer_links:
         for n in root.walk():
             if n.name == "a" and "href" in n.attrs:
-                href = urljoin(url, n.attrs["href"])
-                if suffix(href) in fixed.CRAWL_IMAGES and "flyer" in (href + "".join(n.texts())).lower():
+                href = address(url, n.attrs["href"])
+                if href and suffix(href) in fixed.CRAWL_IMAGES and "flyer" in (href + "".join(n.texts())).lower():
                     out.append(href)
     return ({"ord": k, "href": h} for k, h in enumerate(out))
 
@@ -146,7 +158,7 @@ def cards(url: str, html: str, *, source: str, select: tuple[str, ...] = (), fal
         head = card.first(lambda n: n.name in ("h2", "h3", "h4", "a"))
         link = card.first(lambda n: n.name == "a" and "href" in n.attrs)
         found = {f: card.first(has_class(p)) for f, p in (fields or {}).items()}
-        yield {"ord": k, "title": head.text() if head else "", **{f: n.text() if n else None for f, n in found.items()}, "source_url": urljoin(url, link.attrs["href"]) if link else url, "source": source}
+        yield {"ord": k, "title": head.text() if head else "", **{f: n.text() if n else None for f, n in found.items()}, "source_url": address(url, link.attrs["href"]) if link else url, "source": source}
 
 
 #: Card pages by strategy.

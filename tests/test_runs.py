@@ -130,3 +130,21 @@ def test_full_run():
     with pytest.raises(ZeroDivisionError):
         R.full_run([("sync", lambda: 1), ("crawl", lambda: 1 / 0)], records.append, lambda: next(ticks))
     assert [(r["status"], r["steps"]) for r in records] == [("success", "sync,crawl"), ("failed", "sync")]
+
+
+def test_cards_of_one_key_are_completed(spark):
+    """Two cards of one key on a page, the second with a description; a broken address elsewhere costs nothing."""
+    card = lambda title, more: f'<div data-aid="CALENDAR_BIGGER_SCREEN_CONTAINER"><h4 data-aid="CALENDAR_EVENT_TITLE">{title}</h4><span data-aid="CALENDAR_EVENT_DATE">May 1</span>{more}</div>'
+    page = card("A", "") + card("A", '<p data-aid="CALENDAR_DESC_TEXT">Gates at 9</p>') + card("B", "")
+    df = spark.createDataFrame([(0, "u", page)], "page int, url string, html string")
+    got = R.crawl_calendar(df, {"url": "u", "name": "Calendar"}, spark.createDataFrame([], "key string")).orderBy("at").collect()
+    assert [(r["title"], r["description"]) for r in got] == [("A", "Gates at 9"), ("B", None)]
+
+
+def test_broken_addresses(spark):
+    from eventloom.sources import html as H
+
+    page = '<a href="http://[bad">x</a><a href="/y">y</a><img src="http://[bad/z.jpg"><img src="/z.jpg">'
+    df = spark.createDataFrame([("https://h.example/", page), ("http://[base", page)], "url string, html string")
+    assert [tuple(r) for r in H.parse_pages(df, H.links, H.COLUMNS["links"]).filter("url LIKE 'https%'").orderBy("ord").collect()] == [("https://h.example/", 0, None, "x"), ("https://h.example/", 1, "https://h.example/y", "y")]
+    assert [r["href"] for r in H.parse_pages(df, H.images, H.COLUMNS["images"]).filter("url LIKE 'https%'").collect()] == ["https://h.example/z.jpg"]
