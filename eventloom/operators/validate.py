@@ -10,9 +10,11 @@ from datetime import datetime
 from urllib.parse import urlparse
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ..functions import fixed
+from ..functions.text import SPACE, let
 
 TEXT_OR_NULL = {"type": ["string", "null"]}
 #: The schema of an extracted event.
@@ -127,8 +129,8 @@ def problems(value: object, schema: dict, path: str = "$", root: dict | None = N
                 yield from problems(x, known[key], f"{path}.{key}", root)
 
 
-def validate(df: DataFrame, schema: dict, *, id: str = "seq", payload: str = "payload") -> DataFrame:
-    """id, path, message of each error in a column of JSON texts; paths begin with $[id]. A text that is no JSON is one error."""
+def _interpreted(df: DataFrame, schema: dict, *, id: str, payload: str) -> DataFrame:
+    """validate() by problems(), a row at a time."""
     kind = df.schema[id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,6 +147,172 @@ def validate(df: DataFrame, schema: dict, *, id: str = "seq", payload: str = "pa
     return df.select(id, payload).mapInArrow(run, f"`{id}` {kind}, path string, message string")
 
 
+class Recursive(ValueError):
+    """A schema that refers to itself, which no expression of finite size can hold."""
+
+
+ERROR = "array<struct<path:string,message:string>>"
+#: Java's forms of the formats; dates also have to be days of the calendar.
+_DAY = r"(\d{4})-(\d{1,2})-(\d{1,2})"
+_CLOCK = r"([01]\d|2[0-3])(:[0-5]\d(:[0-5]\d([.,]\d+)?)?|[0-5]\d([0-5]\d([.,]\d+)?)?)?"
+_ZONE = r"(Z|[+-]([01]\d|2[0-3])(:?[0-5]\d(:?[0-5]\d([.]\d+)?)?)?)?"
+_MOMENT = rf"(?s)(\d{{4}}-\d{{2}}-\d{{2}}|\d{{8}}|\d{{4}}-?W(0[1-9]|[1-4]\d|5[0-3])(-?[1-7])?)(.{_CLOCK}{_ZONE})?"
+_URI = r"[A-Za-z][A-Za-z0-9+.-]*://([^/?#\[\]]+|[^/?#\[\]@]*@?\[([0-9A-Fa-f:.]+|v[0-9A-Fa-f]+\.[^/?#\[\]]+)\](:\d*)?)([/?#].*)?"
+
+
+def _full(text: Column, pattern: str) -> Column:
+    return text.rlike(rf"\A(?:{pattern})\z")
+
+
+def _calendar_day(year: Column, month: Column, day: Column) -> Column:
+    return (year != "0000") & F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0")).try_cast("date").isNotNull()
+
+
+def _is_day(text: Column) -> Column:
+    return _full(text, _DAY) & _calendar_day(*[F.regexp_extract(text, _DAY, n) for n in (1, 2, 3)])
+
+
+def _is_moment(text: Column) -> Column:
+    plain = F.regexp_replace(F.substring(text, 1, 10), "-", "")
+    week = text.rlike(r"\A\d{4}-?W")
+    return _full(text, _MOMENT) & (week | _calendar_day(F.substring(plain, 1, 4), F.substring(plain, 5, 2), F.substring(plain, 7, 2)))
+
+
+FORMAT_COLUMNS: dict[str, Callable[[Column], Column]] = {
+    "date": _is_day,
+    "date-time": _is_moment,
+    "uuid": lambda t: _full(F.regexp_replace(F.regexp_replace(F.regexp_replace(t, "urn:|uuid:", ""), r"^[{}]+|[{}]+$", ""), "-", ""), "[0-9A-Fa-f]{32}"),
+    "uri": lambda t: _full(F.regexp_replace(F.regexp_replace(t, r"^[\x00-\x20]+|[\x00-\x20]+$", ""), r"[\t\r\n]", ""), f"(?s){_URI}"),
+    "email": lambda t: _full(t, rf"[^@{SPACE[1:-1]}]+@[^@{SPACE[1:-1]}]+\.[^@{SPACE[1:-1]}]+"),
+}
+
+
+def _quoted(text: Column) -> Column:
+    """A text in quotes as messages show it: single ones unless only they stand in it."""
+    plain = text
+    for c, shown in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        plain = F.replace(plain, F.lit(c), F.lit(shown))
+    other = F.contains(text, F.lit("'")) & ~F.contains(text, F.lit('"'))
+    return F.when(other, F.concat(F.lit('"'), plain, F.lit('"'))).otherwise(F.concat(F.lit("'"), F.replace(plain, F.lit("'"), F.lit("\\'")), F.lit("'")))
+
+
+def _kind(v: Column) -> Column:
+    """The name that messages give a value's type. Whole decimals are numbers with a point, unless they are too long for a long."""
+    t = F.schema_of_variant(v)
+    names = [("OBJECT", "dict"), ("ARRAY", "list"), ("STRING", "str"), ("BIGINT", "int"), ("BOOLEAN", "bool"), ("VOID", "NoneType")]
+    out = F.when(v.isNull(), "NoneType")
+    for head, name in names:
+        out = out.when(F.startswith(t, F.lit(head)), name)
+    return out.when(t.rlike(r"^DECIMAL\((19|[23]\d),0\)$"), "int").otherwise("float")
+
+
+_MADE_OF = {"array": ["list"], "object": ["dict"], "string": ["str"], "number": ["int", "float"], "null": ["NoneType"], "boolean": ["bool"], "integer": ["int"]}
+
+
+def _value(v: Column, kind: str) -> Column:
+    return F.try_variant_get(v, "$", kind)
+
+
+def _equals(n: Column, value: object) -> Column:
+    if isinstance(value, str):
+        return (n["kind"] == "str") & (_value(n["v"], "string") == value)
+    if value is None:
+        return n["kind"] == "NoneType"
+    if isinstance(value, int | float):
+        return n["kind"].isin("int", "float", "bool") & (_value(n["v"], "double") == float(value))
+    return F.to_json(n["v"]) == json.dumps(value, ensure_ascii=False, separators=(",", ":"), sort_keys=True)
+
+
+def _shown(n: Column) -> Column:
+    text = _value(n["v"], "string")
+    return F.when(n["kind"] == "str", _quoted(text)).when(n["kind"] == "NoneType", "None").when(n["kind"] == "bool", F.initcap(text)).when(n["kind"] == "float", _value(n["v"], "double").cast("string")).otherwise(text)
+
+
+def compiled(value: Column, schema: dict, path: Column, root: dict | None = None, above: tuple[str, ...] = ()) -> Column:
+    """problems() as an expression: an array of (path, message) for a VARIANT value. References are resolved here; Recursive if one meets itself."""
+    root = schema if root is None else root
+    none = F.array().cast(ERROR)
+    if ref := schema.get("$ref"):
+        if ref in above:
+            raise Recursive(ref)
+        target: object = root
+        for step in ref[2:].split("/") if ref.startswith("#/") else ():
+            target = target.get(step) if isinstance(target, dict) else None
+        if not ref.startswith("#/") or target is None:
+            return F.array(F.struct(path.alias("path"), F.lit(f"{'unresolved' if ref.startswith('#/') else 'unsupported'} ref {ref!r}").alias("message")))
+        return compiled(value, target, path, root, (*above, ref))
+
+    def of(n: Column) -> Column:
+        told: list[tuple[Column, Column]] = []
+        number, text = n["kind"].isin("int", "float"), _value(n["v"], "string")
+        if "enum" in schema:
+            known = F.lit(False)
+            for e in schema["enum"]:
+                known = known | F.coalesce(_equals(n, e), F.lit(False))
+            told.append((~known, F.concat(F.lit(f"expected one of {schema['enum']}, got "), _shown(n))))
+        for name, sign in (("minimum", ">="), ("maximum", "<=")):
+            if schema.get(name) is not None:
+                x = _value(n["v"], "double")
+                told.append((number & ((x < schema[name]) if name == "minimum" else (x > schema[name])), F.lit(f"must be {sign} {schema[name]}")))
+        if schema.get("format") in FORMAT_COLUMNS:
+            told.append(((n["kind"] == "str") & ~FORMAT_COLUMNS[schema["format"]](text), F.lit(f"expected {schema['format']} string")))
+        if schema.get("pattern"):
+            told.append(((n["kind"] == "str") & ~_full(text, schema["pattern"]), F.lit(f"must match pattern {schema['pattern']!r}")))
+        error = lambda ok, message: F.when(ok, F.struct(n["path"].alias("path"), message.alias("message")))
+        parts = [F.filter(F.array(*[error(ok, m) for ok, m in told]), lambda x: x.isNotNull()).cast(ERROR)] if told else []
+        if isinstance(schema.get("items"), dict):
+            each = F.transform(n["v"].try_cast("array<variant>"), lambda x, i: compiled(x, schema["items"], F.concat(n["path"], F.lit("["), i.cast("string"), F.lit("]")), root, above))
+            parts.append(F.when(n["kind"] == "list", F.flatten(each)).otherwise(none))
+        known = schema.get("properties", {})
+        if known or schema.get("required") or schema.get("additionalProperties") is False:
+
+            def inside(m: Column) -> Column:
+                keys, found = F.map_keys(m), []
+                missing = [error(~F.array_contains(keys, k), F.lit(f"missing required property {k!r}")) for k in schema.get("required", [])]
+                if missing:
+                    found.append(F.filter(F.array(*missing), lambda x: x.isNotNull()).cast(ERROR))
+                if schema.get("additionalProperties") is False:
+                    more = F.filter(keys, lambda k: ~k.isin(list(known))) if known else keys
+                    found.append(F.transform(F.array_sort(more), lambda k: F.struct(n["path"].alias("path"), F.concat(F.lit("unexpected property "), _quoted(k)).alias("message"))).cast(ERROR))
+                for k, rule in known.items():
+                    if isinstance(rule, dict) and rule:
+                        found.append(F.when(F.array_contains(keys, k), compiled(m[k], rule, F.concat(n["path"], F.lit(f".{k}")), root, above)).otherwise(none))
+                return F.concat(*found) if found else none
+
+            parts.append(F.when(n["kind"] == "dict", let(n["v"].try_cast("map<string,variant>"), inside)).otherwise(none))
+        rest = F.concat(*parts) if parts else none
+        kinds = schema.get("type")
+        if kinds is None:
+            return rest
+        kinds = kinds if isinstance(kinds, list) else [kinds]
+        good = n["kind"].isin([k for name in kinds for k in _MADE_OF.get(name, [])] or [""])
+        wrong = F.array(F.struct(n["path"].alias("path"), F.concat(F.lit(f"expected {' or '.join(kinds)}, got "), n["kind"]).alias("message"))).cast(ERROR)
+        return F.when(good, rest).otherwise(wrong)
+
+    return let(F.struct(value.alias("v"), _kind(value).alias("kind"), path.alias("path")), of)
+
+
+def validate(df: DataFrame, schema: dict, *, id: str = "seq", payload: str = "payload") -> DataFrame:
+    """id, path, message of each error in a column of JSON texts; paths begin with $[id].
+
+    The schema becomes one expression over the text as VARIANT, so no Python runs; one that refers to itself is
+    interpreted in Arrow batches instead. A text that is no JSON is one error: so are NaN and Infinity and, as Spark's
+    parser has it, an object with a key twice. A null text is a null value. Whole numbers of more than 38 digits count
+    as numbers with a point. In messages, lists and objects are shown as JSON.
+    """
+    at = F.concat(F.lit("$["), F.coalesce(F.col(id).cast("string"), F.lit("None")), F.lit("]"))
+    try:
+        # Wrapped in an array and an object, a text holds one value and nothing after it.
+        boxed = F.try_parse_json(F.concat(F.lit("["), F.col(payload), F.lit("]"))).try_cast("array<variant>")
+        rows = df.select(F.col(id), F.col(payload).alias("text_"), boxed.alias("box_"), F.try_parse_json(F.concat(F.lit('{"v":'), F.col(payload), F.lit("}"))).isNotNull().alias("whole_"))
+        broken = F.col("text_").isNotNull() & ~(F.coalesce(F.size("box_") == 1, F.lit(False)) & F.col("whole_"))
+        bad = F.array(F.struct(at.alias("path"), F.lit("invalid JSON").alias("message"))).cast(ERROR)
+        errors = F.when(broken, bad).otherwise(compiled(F.get("box_", F.lit(0)), schema, at))
+    except Recursive:
+        return _interpreted(df, schema, id=id, payload=payload)
+    return rows.select(F.col(id), F.explode(errors).alias("e_")).select(F.col(id), "e_.path", "e_.message")
+
+
 def check_tracks(data: object) -> list[dict]:
     """The enabled tracks of a track configuration; ConfigError names the first entry that is wrong."""
     return [e for e in _entries(data, "tracks", _track) if e.get("enabled", True)]

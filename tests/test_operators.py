@@ -134,6 +134,60 @@ def test_validate(spark):
     assert [(r["seq"], r["path"]) for r in validate(df, EVENT_SCHEMA).orderBy("seq").collect()] == [(1, "$[1]"), (2, "$[2]")]
 
 
+def held_against_problems(spark, schema, values):
+    """The compiled schema gives what problems() does, and runs no Python."""
+    rows = [(n, json.dumps(v)) for n, v in enumerate(values)]
+    out = validate(spark.createDataFrame(rows, "seq long, payload string"), schema)
+    assert not any(w in out._jdf.queryExecution().executedPlan().toString() for w in ("Arrow", "Python", "Pandas"))
+    assert sorted(map(tuple, out.collect())) == sorted((n, p, m) for n, v in enumerate(values) for p, m in problems(v, schema, f"$[{n}]"))
+
+
+def test_compiled_events(spark):
+    bad = event() | {"confidence": True, "event_type": "x'y", "classes": [1, "a", None], "series": 3, "track": {"city": 5}, "dates": [], "times": None, "notes": {"a": 1}}
+    del bad["title"]
+    held_against_problems(spark, EVENT_SCHEMA, [event(), bad, {}, [], None, "x", 1, 1.5, True, event() | {"confidence": 7}, event() | {"confidence": -0.5, "fees": {"entry": 3}}, event() | {"event_type": 4}])
+
+
+def test_compiled_formats(spark):
+    texts = {
+        "date": ["2026-05-01", "2026-5-1", "2026-02-30", "0000-01-01", "2026-13-01", " 2026-05-01", "2026-05-01\n", "26-05-01"],
+        "date-time": ["2026-05-01T00:00:00Z", "2026-05-01", "20260501T101112", "2026-05-01 10:11", "2026-05-01T10:11:12.5+02:00", "2026-05-01T25:00", "2026-02-30T10:00", "2026-W20-3", "2026-05-01T10:00:00+0200", "x", "", "Z"],
+        "uuid": ["{12345678123456781234567812345678}", "urn:uuid:12345678-1234-5678-1234-567812345678", "12345678-1234-5678-1234-56781234567", "g" * 32],
+        "uri": ["https://a", "http://[bad", "http://[::1]:80/x", "a:b", "//a", "https://", "HTTP://A/b?c#d", " https://a", "x+y.z-1://h/[q]"],
+        "email": ["a@b.c", "a@b", "a b@c.d", "a@b@c.d", "a@b.c\n", "\u3000a@b.c"],
+        "other": ["anything"],
+    }
+    for name, values in texts.items():
+        held_against_problems(spark, {"type": "string", "format": name}, values)
+    held_against_problems(spark, {"pattern": "a|ab"}, ["a", "ab", "abc", "a\n", 5])
+
+
+def test_compiled_rules(spark):
+    schema = {
+        "definitions": {"n": {"type": ["integer", "null"], "minimum": 0, "maximum": 10}},
+        "properties": {"a": {"$ref": "#/definitions/n"}, "b": {"items": {"$ref": "#/definitions/n"}}, "c": {"enum": [1, "x", None, True]}, "d": {"$ref": "#/no"}, "e": {"$ref": "http://x"}, "f": {"items": {"items": {"type": "boolean"}}}},
+        "additionalProperties": False, "required": ["a", "it's"],
+    }
+    values = [{"a": a} for a in (0, 10, 11, -1, None, 1.0, 2.5, "1", True, [], {}, 12345678901234567890)] + [{"b": [1, "x", 2.5, None, [1]]}, {"c": 1}, {"c": 1.0}, {"c": "x"}, {"c": "y\n'"}, {"c": "it\"'s"}, {"c": None}, {"c": False}, {"c": 2.5}, {"d": 1, "e": 1}, {"f": [[True], [0, "x"], 5]}, {"z'": 1, "y": 2, "it's": 3}]
+    held_against_problems(spark, schema, values)
+
+
+def test_texts_that_are_no_json(spark):
+    texts = ["", " ", "{", "x", "1 2", "1,2", "1] [2", "1} x", "{} x", '{"a":1,"a":2}', "NaN", "nul"]
+    got = validate(spark.createDataFrame(list(enumerate(texts)), "seq long, payload string"), {"type": "integer"}).collect()
+    assert sorted(map(tuple, got)) == [(n, f"$[{n}]", "invalid JSON") for n in range(len(texts))]
+    good = [" 1 ", "\t2\n"]
+    assert validate(spark.createDataFrame(list(enumerate(good)), "seq long, payload string"), {"type": "integer"}).count() == 0
+
+
+def test_schema_of_itself(spark):
+    schema = {"properties": {"next": {"$ref": "#"}, "v": {"type": "integer"}}, "definitions": {}}
+    tree = {"definitions": {"t": {"properties": {"next": {"$ref": "#/definitions/t"}, "v": {"type": "integer"}}}}, "$ref": "#/definitions/t"}
+    rows = [(0, json.dumps({"v": 1, "next": {"v": 2, "next": {"v": "x"}}})), (1, "{")]
+    got = validate(spark.createDataFrame(rows, "seq long, payload string"), tree).orderBy("seq").collect()
+    assert [r["path"] for r in got] == ["$[0].next.next.v", "$[1]"] and "unsupported" in next(problems({"next": 1}, schema))[1]
+
+
 @pytest.mark.parametrize(
     "entry, field",
     [({"name": " "}, "name"), ({"url": "ftp://x"}, "url"), ({"enabled": "yes"}, "enabled"), ({"strategy": "x"}, "strategy"), ({"max_pages": True}, "max_pages"), ({"max_pages": 0}, "max_pages"), ({"page_delay_seconds": -1}, "page_delay_seconds"), ({"request_headers": {"a": 1}}, "request_headers"), ({"strategy": "bracketraces"}, "event_pages"), ({"strategy": "bracketraces", "event_pages": ["a"]}, "event_pages"), ({"drag_racing_url": "x", "strategy": "racingjunk"}, "drag_racing_url")],
