@@ -112,11 +112,14 @@ def sync_folder(listing: DataFrame, state: str, staged: str, download: Callable[
     """Stage the new images of a folder's pages (url, html), save their ids, and count what became of the entries.
 
     download maps (file_id, path) to (file_id, path, content). Contents are rows of the table `staged`; the state is saved
-    after them, so a failed download leaves both as they were for the next run.
+    after them, so a failed download leaves both as they were for the next run; what is staged is known, so a run that
+    ended between the two stages nothing twice.
     """
     spark = listing.sparkSession
     entries = H.parse_pages(listing, H.folder, H.COLUMNS["folder"]).select("ord", "file_id", "title")
     known = read_sync_state(spark, state)
+    if exists(spark, staged):  # staged by a run that ended before it saved its state
+        known = known.union(spark.read.parquet(staged).select("file_id")).distinct()
     there = spark.read.parquet(staged).select(F.col("path").alias("title")) if exists(spark, staged) else spark.createDataFrame([], "title string")
     plan = cut(A.sync_plan(entries, known, there, fixed.STAGED_IMAGES))
     new = plan.filter("action = 'downloaded'").select("file_id", "path")

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 from typing import Any
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -98,6 +99,32 @@ def with_retries(operation: Callable[[], Any], *, attempts: int = 3, delay: floa
     raise ValueError("attempts must be positive")
 
 
+def get_url(url: str, headers: dict[str, str], timeout: float) -> tuple[bytes, str]:
+    """Body and content type of an address."""
+    from urllib.request import Request, urlopen
+
+    with urlopen(Request(url, headers=headers), timeout=timeout) as r:
+        return r.read(), r.headers.get("content-type", "")
+
+
+FETCHED = "url string, content binary, content_type string, error string, attempts int, slept_seconds double"
+
+
+def fetch_all(urls: DataFrame, *, headers: dict[str, str] | None = None, attempts: int = 3, delay: float = 1.0, timeout: float = 15, tasks: int = 32) -> DataFrame:
+    """FETCHED of each row of urls(url), in up to `tasks` tasks, with retries; what can't be fetched has an error and no content."""
+    heads = dict(headers or {})
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = [c.split()[0] for c in FETCHED.split(", ")]
+        for f in frames:
+            for url in f["url"]:
+                got, error, n, slept = with_retries(lambda: get_url(url, heads, timeout), attempts=attempts, delay=delay)  # noqa: B023
+                body, kind = got or (None, None)
+                yield pd.DataFrame([(url, body, kind, None if error is None else f"{type(error).__name__}: {error}", n, slept)], columns=names)
+
+    return urls.select("url").repartition(tasks).mapInPandas(run, FETCHED)
+
+
 class Page(InputPartition):
     def __init__(self, url: str) -> None:
         self.url = url
@@ -113,13 +140,7 @@ class FetchReader(DataSourceReader):
         return [Page(u) for u in self.urls]
 
     def read(self, partition: Page) -> Iterator[tuple]:
-        from urllib.request import Request, urlopen
-
-        def get() -> tuple[bytes, str]:
-            with urlopen(Request(partition.url, headers=self.headers), timeout=self.timeout) as r:
-                return r.read(), r.headers.get("content-type", "")
-
-        got, error, n, slept = with_retries(get, attempts=self.attempts, delay=self.delay)
+        got, error, n, slept = with_retries(lambda: get_url(partition.url, self.headers, self.timeout), attempts=self.attempts, delay=self.delay)
         body, kind = got or (None, None)
         yield partition.url, body, kind, None if error is None else f"{type(error).__name__}: {error}", n, slept
 
@@ -136,7 +157,7 @@ class FetchSource(DataSource):
         return "fetch"
 
     def schema(self) -> str:
-        return "url string, content binary, content_type string, error string, attempts int, slept_seconds double"
+        return FETCHED
 
     def reader(self, schema: Any) -> FetchReader:
         return FetchReader(dict(self.options))
