@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions import text as T
 from ..functions.matching import alike, tracks_match
+from ..functions.phash import hash_squares
 from ..operators import aggregates as A
 from ..operators.graph import cut
 from ..operators.joins import find_same_event, first_match, hash_join, overlap_join
@@ -462,3 +463,12 @@ def q33(spark: SparkSession, sf: str) -> DataFrame:
     fetched = pages.select("url", F.col("html").alias("body"), F.when(F.col("page_id") % 3 == 0, "image/png").otherwise("text/html").alias("content_type"))
     staged = pages.filter("page_id % 4 = 0").select(T.file_name_of(F.col("url")).alias("path")).distinct()
     return R.new_images(fetched, staged).select("path")
+
+
+# The lowest 4 x 4 frequencies of vectors taken as squares of 8 x 8 luminances.
+@query("q34_phash", """WITH f AS (SELECT vec_id, u, v, sum(embedding[r * 8 + c + 1]::DOUBLE * cos(pi() * u * (2 * r + 1) / 16) * cos(pi() * v * (2 * c + 1) / 16)) AS y
+  FROM embeddings, range(4) a(u), range(4) b(v), range(8) d(r), range(8) e(c) WHERE len(embedding) = 64 GROUP BY vec_id, u, v),
+m AS (SELECT *, median(y) OVER (PARTITION BY vec_id) AS middle FROM f)
+SELECT vec_id, printf('%04x', CAST(sum(CASE WHEN y > middle THEN 1 << CAST(15 - 4 * u - v AS INTEGER) ELSE 0 END) AS INTEGER)) AS phash FROM m GROUP BY vec_id""")
+def q34(spark: SparkSession, sf: str) -> DataFrame:
+    return hash_squares(table(spark, sf, "embeddings").select("vec_id", "embedding"), "embedding", side=8, size=4).select("vec_id", "phash")

@@ -53,8 +53,9 @@ def record_run(spark: SparkSession, run: dict, path: str) -> None:
 
 
 def log_errors(errors: DataFrame, path: str) -> None:
-    """Add errors(context, error, details map<string,string>) to the dead letters; those of test flyers are left out."""
+    """Add errors(context, error, details map<string,string>, and trace if there is one) to the dead letters; those of test flyers are left out."""
     quiet = F.exists(F.map_values(F.coalesce("details", F.create_map().cast("map<string,string>"))), lambda v: F.contains(v, F.lit("test-flyers")))
+    errors = errors if "trace" in errors.columns else errors.withColumn("trace", F.lit(None).cast("string"))
     errors.filter(~F.coalesce(quiet, F.lit(False))).withColumn("ts", F.current_timestamp()).write.mode("append").parquet(path)
 
 
