@@ -186,20 +186,19 @@ def hash_join(left: DataFrame, right: DataFrame, *, distance: int = 10, column:
     width = bits // 4
     value = lambda h, k: F.conv(F.substring(h, 1 + width * k, width), 16, 10).cast("int")
     masks = sorted(sum(1 << b for b in c) for n in range(min(radius, bits) + 1) for c in combinations(range(bits), n))
-    l = left.select(*[F.col(c).alias(f"l_{c}") for c in left.columns]).filter(F.col(f"l_{column}").isNotNull())
-    r = right.select(*[F.col(c).alias(f"r_{c}") for c in right.columns]).filter(F.col(f"r_{column}").isNotNull())
-    here = F.array(*[F.struct(F.lit(k).alias("k"), value(F.col(f"l_{column}"), k).alias("v")) for k in range(blocks)])
-    there = F.array(*[F.struct(F.lit(k).alias("k"), value(F.col(f"r_{column}"), k).alias("v")) for k in range(blocks)])
-    l = l.withColumn("b_", F.explode(here)).withColumn("m_", F.explode(F.array(*map(F.lit, masks)))).withColumn("v_", F.col("b_.v").bitwiseXOR(F.col("m_")))
-    l = l.select("*", F.col("b_.k").alias("k_")).drop("b_", "m_")
-    r = r.withColumn("b_", F.explode(there)).select("*", F.col("b_.k").alias("k_"), F.col("b_.v").alias("v_")).drop("b_")
+    rows = {s: df.select(*[F.col(c).alias(f"{s}_{c}") for c in df.columns]).filter(F.col(f"{s}_{column}").isNotNull()) for s, df in (("l", left), ("r", right))}
+    # Hashes are matched once each, however many rows have them, and without the rows' other columns.
+    l, r = (rows[s].groupBy(F.col(f"{s}_{column}").alias(s)).agg(F.lit(1)).select(s) for s in ("l", "r"))
+    blocked = lambda h: F.array(*[F.struct(F.lit(k).alias("k"), value(F.col(h), k).alias("v")) for k in range(blocks)])
+    l = l.withColumn("b_", F.explode(blocked("l"))).withColumn("m_", F.explode(F.array(*map(F.lit, masks)))).select("l", F.col("b_.k").alias("k_"), F.col("b_.v").bitwiseXOR(F.col("m_")).alias("v_"))
+    r = r.withColumn("b_", F.explode(blocked("r"))).select("r", F.col("b_.k").alias("k_"), F.col("b_.v").alias("v_"))
     first = F.lit(True)
-    a, b = F.col(f"l_{column}"), F.col(f"r_{column}")
+    a, b = F.col("l"), F.col("r")
     for k in range(blocks - 1):
-        first = first & ((F.col("l.k_") <= k) | (F.bit_count(value(a, k).bitwiseXOR(value(b, k))) > radius))
-    rule = (hash_distance(a, b) <= distance) & first
-    out = l.alias("l").join(r.alias("r"), (F.col("l.k_") == F.col("r.k_")) & (F.col("l.v_") == F.col("r.v_")) & rule & (condition if condition is not None else F.lit(True)))
-    return out.drop("k_", "v_")
+        first = first & ((F.col("x.k_") <= k) | (F.bit_count(value(a, k).bitwiseXOR(value(b, k))) > radius))
+    near = l.alias("x").join(r.alias("y"), (F.col("x.k_") == F.col("y.k_")) & (F.col("x.v_") == F.col("y.v_")) & (hash_distance(a, b) <= distance) & first).select("l", "r")
+    out = near.join(rows["l"], F.col("l") == F.col(f"l_{column}")).join(rows["r"], F.col("r") == F.col(f"r_{column}")).drop("l", "r")
+    return out if condition is None else out.filter(condition)
 
 
 def first_match(pairs: DataFrame, key: str, order: str) -> DataFrame:

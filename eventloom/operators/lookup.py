@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,8 +30,72 @@ def alias_table(spark: SparkSession, aliases: list[tuple[str, list[str]]] = fixe
     return spark.createDataFrame([(n, a, c) for n, (a, c) in enumerate(known.items())], "ord int, alias string, canonical string")
 
 
-def resolve(df: DataFrame, name: str, aliases: DataFrame, out: str = "canonical") -> DataFrame:
-    """df with the canonical name of column `name`, for alias tables too long for one expression.
+#: Automata that this worker has built, by the aliases that they hold; one at a time.
+_AUTOMATA: dict[bytes, object] = {}
+
+
+def _automaton(aliases: tuple[tuple[str, str], ...]) -> object:
+    """An Aho-Corasick automaton of the aliases of four letters or more; a match gives the alias' place and length."""
+    import ahocorasick
+
+    key = hashlib.sha256(repr(aliases).encode()).digest()
+    if key not in _AUTOMATA:
+        _AUTOMATA.clear()
+        a = ahocorasick.Automaton()
+        for place, (alias, _) in enumerate(aliases):
+            if len(alias) >= 4:
+                a.add_word(alias, (place, len(alias)))
+        a.make_automaton()
+        _AUTOMATA[key] = a
+    return _AUTOMATA[key]
+
+
+_PLAIN = frozenset("abcdefghijklmnopqrstuvwxyz0123456789")
+
+
+def first_alias(automaton: object, text: str) -> int | None:
+    """The first place of the aliases that stand in a text, with no letter or digit of ASCII at either end."""
+    best = None
+    for end, (place, length) in automaton.iter(text) if len(automaton) else ():
+        if (best is None or place < best) and (end + 1 == len(text) or text[end + 1] not in _PLAIN) and (end < length or text[end - length] not in _PLAIN):
+            best = place
+    return best
+
+
+def resolve(df: DataFrame, name: str, aliases: DataFrame, out: str = "canonical", *, most: int = BROADCAST_ROWS) -> DataFrame:
+    """df with the canonical name of column `name`: of an equal alias, else of the first of four letters or more that
+    stands in the name between characters other than letters and digits; else the name itself.
+
+    aliases(ord, alias, canonical), lower-case and distinct, become one automaton for all names, each of which is read
+    once, in Arrow batches and where it is: no shuffle. Beyond `most` aliases the same comes from resolve_by_join().
+    """
+    if aliases.limit(most + 1).count() > most:
+        return resolve_by_join(df, name, aliases, out)
+    known = tuple((r["alias"], r["canonical"]) for r in aliases.orderBy("ord").collect())
+    equal = dict(known)
+    kept = [c for c in df.columns if c != out]
+    plain = F.lower(stripped(F.col(name)))
+    schema = df.select(*kept).schema.add(out, "string")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = _automaton(known)
+        memo: dict[str, str | None] = {}
+        for b in batches:
+            found = []
+            for text, own in zip(b["plain_"].to_pylist(), b["own_"].to_pylist()):
+                if text is not None and text not in memo:
+                    if len(memo) > 100_000:
+                        memo.clear()
+                    place = first_alias(automaton, text)
+                    memo[text] = equal.get(text, known[place][1] if place is not None else None)
+                found.append(own if text is None or memo[text] is None else memo[text])
+            yield pa.RecordBatch.from_arrays([*[b[c] for c in kept], pa.array(found, pa.string())], [*kept, out])
+
+    return df.select(*kept, plain.alias("plain_"), F.col(name).alias("own_")).mapInArrow(run, schema)
+
+
+def resolve_by_join(df: DataFrame, name: str, aliases: DataFrame, out: str = "canonical") -> DataFrame:
+    """resolve() for alias tables of any size, by joins.
 
     Equal aliases are an equi-join. For the others the name's stretches of words are equi-joined with the aliases,
     which is the same as standing between characters other than letters and digits; the first alias of four letters

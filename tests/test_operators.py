@@ -1,5 +1,6 @@
 import json
 import random
+import re
 from datetime import date, timedelta
 
 import pytest
@@ -235,7 +236,38 @@ def test_sync_plan(spark):
 def test_lookup(spark):
     df = spark.createDataFrame([("xrp",), ("Big Kil Kare Night",), (None,), ("x-the strip.",), ("mirth",)], "name string")
     assert {r["name"]: r["canonical"] for r in resolve(df, "name", alias_table(spark)).collect()} == {"xrp": "Xtreme Raceway Park", "Big Kil Kare Night": "Kil-Kare Raceway", None: None, "x-the strip.": "The Strip at Las Vegas Motor Speedway", "mirth": "mirth"}
+    assert {r["name"]: r["canonical"] for r in resolve(df, "name", alias_table(spark), most=3).collect()} == {r["name"]: r["canonical"] for r in resolve(df, "name", alias_table(spark)).collect()}
     t = spark.createDataFrame([(("xtreme", "", None, "OK"), ("", None, "w")), (("no", "n", None, None), None)], "track struct<id:string,name:string,city:string,state:string>, contact struct<phone:string,email:string,website:string>")
     a, b = backfill(t, catalog_table(spark)).orderBy("track.id").collect()
     assert tuple(a["track"]) == ("no", "n", None, None) and a["contact"] is None
     assert tuple(b["track"]) == ("xtreme-tx", "Xtreme Raceway Park", "Ferris", "OK") and tuple(b["contact"]) == ("972-544-3724", None, "w")
+
+
+def test_many_aliases(spark):
+    """Ten thousand aliases in one automaton, against each alias' own pattern."""
+    rng = random.Random(2)
+    letters = "ab1 -é."
+    words = sorted({"".join(rng.choice(letters) for _ in range(rng.choice([2, 3, 4, 5, 6, 7]))).strip() for _ in range(14_000)} - {""})
+    rng.shuffle(words)
+    aliases = [(n, w, f"C{n % 700}") for n, w in enumerate(words[:10_000])]
+    names = ["".join(rng.choice(letters) for _ in range(rng.choice([3, 8, 15]))) for _ in range(60)] + words[:5] + ["", "ZZ", None]
+    table = spark.createDataFrame(aliases, "ord int, alias string, canonical string")
+
+    def plain(name):
+        if name is None:
+            return None
+        text = name.strip().lower()
+        if (c := {a: c for _, a, c in aliases}.get(text)) is not None:
+            return c
+        return next((c for _, a, c in aliases if len(a) >= 4 and a in text and re.search(rf"(^|[^a-z0-9]){re.escape(a)}([^a-z0-9]|$)", text)), name)
+
+    df = spark.createDataFrame(list(enumerate(names)), "n int, name string")
+    want = {n: plain(x) for n, x in enumerate(names)}
+    assert dict(resolve(df, "name", table).select("n", "canonical").collect()) == want
+    assert dict(resolve(df.withColumnRenamed("name", "canonical"), "canonical", table).select("n", "canonical").collect()) == want
+
+
+def test_copies_of_a_hash_are_matched_once(spark):
+    df = spark.createDataFrame([(n, "0" * 16 if n < 300 else "f" * 16) for n in range(320)], "k int, phash string")
+    out = hash_join(df, df.filter("k >= 290"), distance=5)
+    assert out.count() == 300 * 10 + 20 * 20 and out.columns == ["l_k", "l_phash", "r_k", "r_phash"]
