@@ -15,6 +15,9 @@ EVENT_PAGE_WORDS = ["event", "schedule", "race", "calendar", "upcoming", "news",
 # Image suffixes of crawled links, and of staged files (with gif).
 CRAWL_IMAGES = [".jpg", ".jpeg", ".png", ".webp"]
 STAGED_IMAGES = [".jpg", ".jpeg", ".png", ".webp", ".gif"]
+# Where a shared folder is listed and its files are found.
+FOLDER_VIEW = "https://drive.google.com/embeddedfolderview?id={folder_id}#list"
+FILE_DOWNLOAD = "https://drive.google.com/uc?export=download&id={file_id}"
 FOLDER_HOSTS = ("drive.google.com", "www.drive.google.com")
 
 # Media types by suffix; anything else is jpeg.

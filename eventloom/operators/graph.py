@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Parts in which a key that many rows have is met.
+PARTS = 16
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df with its lineage cut by a checkpoint in the shared folder of spark.checkpoint.dir (on a local master, any)."""
     spark = df.sparkSession
@@ -23,15 +27,20 @@ def cut(df: DataFrame) -> DataFrame:
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, component) of all ids in nodes(id): the least id that edges(a, b) reach.
 
-    Labels spread along edges and then jump to the label of their label, so long chains take few rounds.
+    Labels spread along edges and then jump to the label of their label, so long chains take few rounds. A label that
+    many ids share is looked up in PARTS parts, and so are the labels of ids with many edges, so that neither a hub nor
+    a component that holds most ids is one task's work; messages to an id are a minimum, combined before the shuffle.
     """
+    parts = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part")
+    part_of = lambda c: F.pmod(F.xxhash64(c), F.lit(PARTS)).cast("int")
     both = cut(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct())
     labels = cut(nodes.select("id", F.col("id").alias("component")))
     while True:
-        near = both.join(labels.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("component").alias("n"))
+        told = labels.select(F.col("id").alias("b"), "component", parts)
+        near = both.withColumn("part", part_of("a")).join(told, ["b", "part"]).groupBy(F.col("a").alias("id")).agg(F.min("component").alias("n"))
         low = labels.join(near, "id", "left").select("id", F.least("component", F.coalesce("n", "component")).alias("m"), "component")
-        jump = low.select(F.col("id").alias("m"), F.col("m").alias("mm"))
-        new = cut(low.join(jump, "m").select("id", F.least("m", "mm").alias("component"), (F.least("m", "mm") != F.col("component")).alias("moved")))
+        jump = low.select(F.col("id").alias("m"), F.col("m").alias("mm")).join(low.select("m").distinct(), "m").select("m", "mm", parts)
+        new = cut(low.withColumn("part", part_of("id")).join(jump, ["m", "part"]).select("id", F.least("m", "mm").alias("component"), (F.least("m", "mm") != F.col("component")).alias("moved")))
         labels = new.select("id", "component")
         if not new.filter("moved").limit(1).count():
             return labels

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import json
 import traceback
@@ -35,6 +36,43 @@ class Replay:
         return self.answers[prompt_key(text, image)]
 
 
+class NoAnswer(ValueError):
+    """The model answered without calling the tool."""
+
+
+class ToolCall:
+    """An extractor over a client that answers with blocks: the record is the input of the tool's first call among them.
+
+    send takes a request (kind, tool, instructions, content) and returns blocks with type, name and input. Images go in
+    Base64 with their media type, by their first bytes; a text follows the instructions.
+    """
+
+    TOOL = "store_event"
+
+    def __init__(self, send: Callable[[dict], list[dict]], schema: dict = EVENT_SCHEMA) -> None:
+        self.send, self.schema = send, schema
+
+    def request(self, instructions: str, text: str | None, image: bytes | None) -> dict:
+        tool = {"name": self.TOOL, "input_schema": self.schema}
+        if image is None:
+            return {"kind": "text", "tool": tool, "content": [{"type": "text", "text": f"{instructions}\n\n{text or ''}"}]}
+        source = {"type": "base64", "media_type": media_type_of(image), "data": base64.standard_b64encode(image).decode()}
+        return {"kind": "image", "tool": tool, "content": [{"type": "image", "source": source}, {"type": "text", "text": instructions}]}
+
+    def __call__(self, instructions: str, text: str | None, image: bytes | None) -> dict:
+        for block in self.send(self.request(instructions, text, image)):
+            if block.get("type") == "tool_use" and block.get("name") == self.TOOL:
+                return block["input"]
+        title = next((x[7:] for x in (text or "").split("\n") if x.startswith("title: ")), None)
+        raise NoAnswer(f"the model did not call {self.TOOL}" + (f" for listing: {title}" if title else ""))
+
+
+def media_type_of(image: bytes) -> str:
+    """Media type by an image's first bytes, image/jpeg by default."""
+    heads = [(b"\x89PNG", "image/png"), (b"GIF8", "image/gif")]
+    return "image/webp" if image[:4] == b"RIFF" and image[8:12] == b"WEBP" else next((kind for head, kind in heads if image.startswith(head)), "image/jpeg")
+
+
 def extract(inputs: DataFrame, extractor: Extractor, today: date, *, attempts: int = 3, delay: float = 1.0, schema: dict = EVENT_SCHEMA) -> DataFrame:
     """seq, payload, status (ok, error), error, attempts, slept_seconds, trace for inputs(seq, text, image).
 

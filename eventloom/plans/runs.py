@@ -16,7 +16,8 @@ from ..functions import text as T
 from ..operators import aggregates as A
 from ..operators.graph import cut
 from ..sources import html as H
-from ..sources.readers import exists, read_runs
+from ..sources.files import FileSink
+from ..sources.readers import exists, fetch_all, read_runs
 from .workflow import _move, archive, record_run
 
 #: Fetches pages: a list of URLs to (url, html); what could not be fetched has a null html.
@@ -129,6 +130,46 @@ def sync_folder(listing: DataFrame, state: str, staged: str, download: Callable[
     return {"listed": sum(counts.values())} | {a: counts.get(a, 0) for a in ("downloaded", "skipped_known", "skipped_non_image")}
 
 
+def sync_files(spark: SparkSession, url: str, state: str, folder: str, *, view: str = fixed.FOLDER_VIEW, download: str = fixed.FILE_DOWNLOAD, **how: object) -> dict[str, int]:
+    """Download the new images of a shared folder as files of a local or mounted folder; counts as sync_folder() gives them.
+
+    The folder's page and the files are fetched with retries (options of fetch_all()); if one can't be, no file is
+    added, the state stays, and OSError tells which. Files appear together, then the state is saved; a run that ended
+    between the two finds its files under their names and adds none twice under another.
+    """
+    spark.dataSource.register(FileSink)
+    page = cut(fetch_all(spark.createDataFrame([(view.format(folder_id=folder_id(url)),)], "url string"), **how))
+    _raise_failed(page)
+    html = page.select("url", F.make_valid_utf8(F.col("content").cast("string")).alias("html"))
+    entries = H.parse_pages(html, H.folder, H.COLUMNS["folder"]).select("ord", "file_id", "title")
+    known = read_sync_state(spark, state)
+    there = spark.createDataFrame([], "title string")
+    if exists(spark, folder):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+        there = files.select(F.substring_index(F.url_decode(F.col("path")), "/", -1).alias("title"))
+    plan = cut(A.sync_plan(entries, known, there, fixed.STAGED_IMAGES))
+    new = plan.filter("action = 'downloaded'").select("file_id", "path", F.replace(F.lit(download), F.lit("{file_id}"), F.col("file_id")).alias("url"))
+    got = cut(fetch_all(new.select("url"), **how))
+    _raise_failed(got)
+    got.join(new, "url").select("path", "content").write.format("files").option("folder", folder).mode("append").save()
+    save_sync_state(known.union(new.select("file_id")), state)
+    counts = {r["action"]: r["count"] for r in plan.groupBy("action").count().collect()}
+    return {"listed": sum(counts.values())} | {a: counts.get(a, 0) for a in ("downloaded", "skipped_known", "skipped_non_image")}
+
+
+def folder_id(url: str) -> str:
+    """The id in the address of a shared folder; ConfigError without one."""
+    parts = urlparse(url)
+    check_sync_config({"google_drive_folder_url": url})
+    return parts.path.partition("/folders/")[2].partition("/")[0] or parse_qs(parts.query)["id"][0]
+
+
+def _raise_failed(fetched: DataFrame) -> None:
+    wrong = fetched.filter("error IS NOT NULL").select("url", "error").limit(5).collect()
+    if wrong:
+        raise OSError("; ".join(f"{r['url']}: {r['error']}" for r in wrong))
+
+
 # Crawling
 
 

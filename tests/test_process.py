@@ -232,3 +232,35 @@ def test_logger(tmp_path, monkeypatch, capsys):
     assert capsys.readouterr().out == "said once\n" and (tmp_path / "a" / "log.txt").read_text().count("INFO eventloom.test said once") == 1
     monkeypatch.setenv(logs.LEVEL, "error")
     assert logs.get_logger("eventloom.test").level == logging.ERROR and not log.propagate
+
+
+def test_check(spark, tmp_path):
+    from eventloom.plans.check import check
+
+    good, bad = EVENT, EVENT | {"confidence": 2, "event_type": "x"}
+    (tmp_path / "good.json").write_text(json.dumps([good] * 3, indent=2))
+    (tmp_path / "bad.json").write_text(json.dumps([good, bad], indent=2))
+    (tmp_path / "lines.json").write_text("\n".join(map(json.dumps, [good, bad, bad])))
+    (tmp_path / "cut.json").write_text("[{")
+    (tmp_path / "none.json").write_text("[]")
+    at = lambda n: str(tmp_path / f"{n}.json")
+    assert check(spark, at("good")) == (0, [f"Schema validation passed for {at('good')}"]) and check(spark, at("none"))[0] == 0
+    code, lines = check(spark, at("bad"))
+    assert code == 1 and lines[0] == f"Schema validation failed for {at('bad')}:" and lines[1] == "  - $[1].confidence: must be <= 1" and lines[2].startswith("  - $[1].event_type: expected one of") and len(lines) == 3
+    assert len(check(spark, at("lines"))[1]) == 5 and check(spark, at("lines"), most=1)[1][-1] == "  and 3 more"
+    assert check(spark, at("cut")) == (1, [f"Schema validation failed for {at('cut')}:", "  - $[0]: invalid JSON"]) and check(spark, at("missing"))[0] == 1
+
+
+def test_tool_calls():
+    from eventloom.plans.extract import NoAnswer, ToolCall, media_type_of
+
+    sent = []
+    blocks = [{"type": "text", "text": "so"}, {"type": "tool_use", "name": "other", "input": {}}, {"type": "tool_use", "name": "store_event", "input": EVENT}, {"type": "tool_use", "name": "store_event", "input": {}}]
+    ask = ToolCall(lambda r: (sent.append(r), blocks)[1])
+    assert ask("hint", "title: A", None) == EVENT and sent[0]["content"] == [{"type": "text", "text": "hint\n\ntitle: A"}] and sent[0]["tool"]["name"] == "store_event"
+    assert ask("hint", None, b"GIF89a") == EVENT and sent[1]["content"][0]["source"] == {"type": "base64", "media_type": "image/gif", "data": "R0lGODlh"}
+    with pytest.raises(NoAnswer, match="did not call store_event for listing: A$"):
+        ToolCall(lambda r: blocks[:2])("hint", "source_url: u\ntitle: A", None)
+    with pytest.raises(NoAnswer, match="did not call store_event$"):
+        ToolCall(lambda r: [])("hint", None, b"x")
+    assert [media_type_of(x) for x in (b"\x89PNG..", b"RIFF....WEBP", b"RIFF....WAVE", b"")] == ["image/png", "image/webp", "image/jpeg", "image/jpeg"]

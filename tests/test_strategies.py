@@ -148,3 +148,26 @@ def test_commit_can_be_repeated(tmp_path):
     with pytest.raises(PathConflict):
         other.commit(messages)
     assert held(tmp_path) == {"a": b"1"}
+
+
+# Shared folder
+
+
+def test_shared_folder(spark, site, tmp_path):
+    from eventloom.plans import runs as R
+
+    entry = lambda i, t: f'<div class="flip-entry" id="entry-{i}"><a href="v"><div class="flip-entry-title">{t}</div></a></div>'
+    site.pages["/view?id=F-1"] = ("text/html", "".join([entry("id1longer", "a b.jpg"), entry("id2longer", "a b.jpg"), entry("x", "notes.txt"), entry("id1longer", "c.png")]).encode())
+    site.pages |= {"/get?id=id1longer": ("image/jpeg", b"one"), "/get?id=id2longer": ("image/jpeg", b"two")}
+    folder, state = tmp_path / "flyers", str(tmp_path / "state")
+    run = lambda: R.sync_files(spark, "https://drive.google.com/drive/folders/F-1", state, str(folder), view=f"{site.url}/view?id={{folder_id}}", download=f"{site.url}/get?id={{file_id}}", **FAST)
+    assert run() == {"listed": 4, "downloaded": 2, "skipped_known": 1, "skipped_non_image": 1}
+    assert held(folder) == {"a b.jpg": b"one", "a b-id2longe.jpg": b"two"} and {r["file_id"] for r in R.read_sync_state(spark, state).collect()} == {"id1longer", "id2longer"}
+    assert run() == {"listed": 4, "downloaded": 0, "skipped_known": 3, "skipped_non_image": 1} and site.asked.count("/get?id=id1longer") == 1
+    site.pages["/view?id=F-1"] = ("text/html", (entry("id3", "d.png") + entry("gone", "e.png")).encode())
+    site.pages["/get?id=id3"] = ("image/png", b"three")
+    with pytest.raises(OSError, match="gone"):
+        run()
+    assert len(held(folder)) == 2 and R.read_sync_state(spark, state).count() == 2
+    with pytest.raises(R.ConfigError):
+        R.folder_id("https://drive.google.com/drive")
