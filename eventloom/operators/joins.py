@@ -11,48 +11,53 @@ from ..functions.matching import alike, ranges_overlap, states_match
 from ..functions.text import hash_distance
 from .graph import cut
 
-#: Days are numbered from 0001-01-01 and kept within 2^22 of them; days beyond count as the first or last.
-LEVELS, DAY_ONE = 22, 719_162
+#: Days are numbered from 0001-01-01 in units of 8, of which there are 2^19; days beyond count as the first or last.
+LEVELS, UNIT, DAY_ONE = 19, 8, 719_162
 #: Nodes of this level and above are so few (2^15 at most) that the set of those in use is broadcast.
-WIDE = 8
+WIDE = 5
 #: A word that stands in more distinct names than this is met in pairs of words only.
 COMMON = 64
 #: A track with more known classes than this in a year is met by title, too.
 CROWDED = 256
 
 
-def _nodes(a: Column, b: Column) -> Column:
-    """Array of structs (k, level, whole): the dyadic nodes that make up the days a..b, and those that reach over an end.
+def _nodes(df: DataFrame, a: str, b: str, least: int = 0) -> DataFrame:
+    """df with k_, level_, whole_: a row for each dyadic node of level `least` or more that the units a..b are made up of
+    (whole_), or that reaches over one of their ends.
 
-    Node x of a level holds the days x * 2^level and on; k numbers all nodes. A range is made up of two nodes a level
-    at most, and two a level reach over its ends, so a range has at most 4 * 23 rows whatever its length.
+    Node x of a level holds the units x * 2^level and on; k_ numbers all nodes. A range is made up of two nodes a level
+    at most, and two a level reach over its ends, so a range has at most 4 * 20 rows whatever its length. A level is a
+    row before its nodes are, so that all of this is compiled arithmetic.
     """
-    right = lambda x, l: F.call_function("shiftright", x, l)
-
-    def of(l: Column) -> Column:
-        size = F.call_function("shiftleft", F.lit(1), l)
-        first, last = right(a + size - 1, l), right(b + 1, l) - 1
-        inner = F.filter(F.array(F.struct(first.alias("x"), (first % 2 == 1).alias("in")), F.struct(last.alias("x"), (last % 2 == 0).alias("in"))), lambda n: n["in"] & (first <= last))
-        outer = F.array_distinct(F.filter(F.array(right(a, l), right(b, l)), lambda x: (x < first) | (x > last)))
-        return F.concat(F.transform(inner, lambda n: node(l, n["x"], F.lit(True))), F.transform(outer, lambda x: node(l, x, F.lit(False))))
-
-    def node(l: Column, x: Column, whole: Column) -> Column:
-        return F.struct((F.call_function("shiftleft", F.lit(1), F.lit(LEVELS) - l) + x).alias("k"), l.alias("level"), whole.alias("whole"))
-
-    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), of))
+    level = F.col("level_")
+    right = lambda x: F.call_function("shiftright", x, level)
+    first, last = right(F.col(a) + F.call_function("shiftleft", F.lit(1), level) - 1), right(F.col(b) + 1) - 1
+    at_a, at_b = right(F.col(a)), right(F.col(b))
+    outside = lambda x: (x < F.col("first_")) | (x > F.col("last_"))
+    base = F.call_function("shiftleft", F.lit(1), F.lit(LEVELS) - level)
+    rows = df.withColumn("level_", F.explode(F.sequence(F.lit(least), F.lit(LEVELS)))).withColumns({"first_": first, "last_": last})
+    some = F.col("first_") <= F.col("last_")
+    code = lambda x, whole: (base + x) * 2 + int(whole)
+    codes = F.array(
+        F.when(some & (F.col("first_") % 2 == 1), code(F.col("first_"), True)), F.when(some & (F.col("last_") % 2 == 0), code(F.col("last_"), True)),
+        F.when(outside(at_a), code(at_a, False)), F.when((at_a != at_b) & outside(at_b), code(at_b, False)),
+    )
+    rows = rows.withColumn("code_", F.explode(codes)).filter("code_ IS NOT NULL")
+    return rows.select(*df.columns, F.call_function("shiftright", "code_", F.lit(1)).alias("k_"), "level_", (F.col("code_") % 2 == 1).alias("whole_"))
 
 
 def _day(date: Column) -> Column:
-    return F.least(F.greatest(F.unix_date(date) + DAY_ONE, F.lit(0)), F.lit((1 << LEVELS) - 1))
+    """The unit that a day is in."""
+    return F.least(F.greatest(F.floor((F.unix_date(date) + DAY_ONE) / UNIT), F.lit(0)), F.lit((1 << LEVELS) - 1)).cast("int")
 
 
 def overlap_join(left: DataFrame, right: DataFrame, condition: Column | None = None, *, start: str = "start", end: str = "end", on: list[str] | None = None) -> DataFrame:
     """Pairs (columns of left as l_*, of right as r_*) whose date ranges overlap.
 
-    Ranges are cut into dyadic nodes, and two that overlap meet at the node of one that is a node of the other or
-    holds one of its nodes: the one with the later of the two starts, so that no pair comes twice and no cross
+    Ranges are widened to units of days and cut into dyadic nodes, and two that overlap meet at the node of one that is a node of the other or
+    holds one of its nodes: the one that has the later of the two starts, so that no pair comes twice and no cross
     product is made. Short ranges have a few rows below WIDE levels; wider nodes are copied only if the other side
-    is made up of them, which a broadcast set of at most 2^15 numbers tells. A range of thousands of years has 92 rows
+    is made up of them, which a broadcast set of at most 2^15 numbers tells. A range of thousands of years has 80 rows
     at most. One that ends before it starts is taken as the days between; the rule of ranges_overlap() decides.
     A missing end is the start; a missing start pairs with nothing. `on` names further columns that must be equal.
     """
@@ -63,11 +68,12 @@ def overlap_join(left: DataFrame, right: DataFrame, condition: Column | None = N
         return out.withColumns({f"{side}_a_": F.least(a, b), f"{side}_b_": F.greatest(a, b)})
 
     def wide(df: DataFrame, side: str) -> DataFrame:
-        nodes = df.select(f"{side}_a_", f"{side}_b_").distinct().select(F.explode(_nodes(F.col(f"{side}_a_"), F.col(f"{side}_b_"))).alias("n_"))
-        return nodes.filter(F.col("n_.whole") & (F.col("n_.level") >= WIDE)).select(F.col("n_.k").alias("wide_")).distinct()
+        a, b = f"{side}_a_", f"{side}_b_"
+        long = df.select(a, b).filter(F.col(b) - F.col(a) >= (1 << WIDE) - 1)
+        return _nodes(long, a, b, WIDE).filter("whole_").select(F.col("k_").alias("wide_")).distinct()
 
     def spread(df: DataFrame, side: str, others: DataFrame) -> DataFrame:
-        out = df.withColumn("n_", F.explode(_nodes(F.col(f"{side}_a_"), F.col(f"{side}_b_")))).select(*df.columns, F.col("n_.k").alias("k_"), F.col("n_.level").alias("level_"), F.col("n_.whole").alias("whole_"))
+        out = _nodes(df, f"{side}_a_", f"{side}_b_")
         out = out.join(F.broadcast(others), F.when(~F.col("whole_") & (F.col("level_") >= WIDE), F.col("k_")) == F.col("wide_"), "left")
         return out.filter(F.col("whole_") | (F.col("level_") < WIDE) | F.col("wide_").isNotNull()).drop("wide_")
 

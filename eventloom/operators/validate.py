@@ -302,15 +302,21 @@ def validate(df: DataFrame, schema: dict, *, id: str = "seq", payload: str = "pa
     """
     at = F.concat(F.lit("$["), F.coalesce(F.col(id).cast("string"), F.lit("None")), F.lit("]"))
     try:
-        # Wrapped in an array and an object, a text holds one value and nothing after it.
-        boxed = F.try_parse_json(F.concat(F.lit("["), F.col(payload), F.lit("]"))).try_cast("array<variant>")
-        rows = df.select(F.col(id), F.col(payload).alias("text_"), boxed.alias("box_"), F.try_parse_json(F.concat(F.lit('{"v":'), F.col(payload), F.lit("}"))).isNotNull().alias("whole_"))
-        broken = F.col("text_").isNotNull() & ~(F.coalesce(F.size("box_") == 1, F.lit(False)) & F.col("whole_"))
+        # Wrapped in an array, a text holds one value and nothing after it; one with a bracket might close the array itself.
+        text = F.col(payload)
+        boxed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).try_cast("array<variant>")
+        whole = ~F.contains(text, F.lit("]")) | F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}"))).isNotNull()
         bad = F.array(F.struct(at.alias("path"), F.lit("invalid JSON").alias("message"))).cast(ERROR)
-        errors = F.when(broken, bad).otherwise(compiled(F.get("box_", F.lit(0)), schema, at))
+
+        def of(r: Column) -> Column:
+            good = r["text"].isNull() | (F.coalesce(F.size(r["box"]) == 1, F.lit(False)) & r["whole"])
+            return F.when(good, compiled(F.get(r["box"], F.lit(0)), schema, at)).otherwise(bad)
+
+        errors = let(F.struct(text.alias("text"), boxed.alias("box"), whole.alias("whole")), of)
     except Recursive:
         return _interpreted(df, schema, id=id, payload=payload)
-    return rows.select(F.col(id), F.explode(errors).alias("e_")).select(F.col(id), "e_.path", "e_.message")
+    # Not explode(): Spark would compute the array once more to filter rows by its size.
+    return df.select(F.col(id), F.explode_outer(errors).alias("e_")).filter("e_ IS NOT NULL").select(F.col(id), "e_.path", "e_.message")
 
 
 def check_tracks(data: object) -> list[dict]:

@@ -29,13 +29,17 @@ def test_wide_ranges(spark):
 
 def test_copies_of_a_range_are_few(spark):
     rng = random.Random(5)
-    rows = [(n, *sorted((rng.randrange(1 << 22), rng.randrange(1 << 22)))) for n in range(200)] + [(200, 0, (1 << 22) - 1), (201, 1, (1 << 22) - 2), (202, 7, 7)]
-    nodes = spark.createDataFrame(rows, "k int, a int, b int").select("k", "a", "b", J._nodes(F.col("a"), F.col("b")).alias("n")).collect()
-    for r in nodes:
-        whole = [(n["level"], n["k"] - (1 << (J.LEVELS - n["level"]))) for n in r["n"] if n["whole"]]
-        spans = sorted((x << l, (x + 1 << l) - 1) for l, x in whole)
-        assert spans[0][0] == r["a"] and spans[-1][1] == r["b"] and all(p[1] + 1 == q[0] for p, q in zip(spans, spans[1:]))
-        assert len(whole) <= 2 * J.LEVELS and len(r["n"]) <= 4 * (J.LEVELS + 1)
+    rows = [(n, *sorted((rng.randrange(1 << J.LEVELS), rng.randrange(1 << J.LEVELS)))) for n in range(200)] + [(200, 0, (1 << J.LEVELS) - 1), (201, 1, (1 << J.LEVELS) - 2), (202, 7, 7)]
+    nodes = {}
+    for r in J._nodes(spark.createDataFrame(rows, "k int, a int, b int"), "a", "b").collect():
+        nodes.setdefault((r["k"], r["a"], r["b"]), []).append(r)
+    assert len(nodes) == len(rows)
+    for (_, a, b), all_ in nodes.items():
+        spans = sorted((x << n["level_"], (x + 1 << n["level_"]) - 1, n["whole_"]) for n in all_ for x in [n["k_"] - (1 << (J.LEVELS - n["level_"]))])
+        whole = [(p, q) for p, q, w in spans if w]
+        assert whole[0][0] == a and whole[-1][1] == b and all(p[1] + 1 == q[0] for p, q in zip(whole, whole[1:]))
+        assert all(p <= b and q >= a and (p < a or q > b) for p, q, w in spans if not w)
+        assert len(whole) <= 2 * J.LEVELS and len(set(spans)) == len(spans) <= 4 * (J.LEVELS + 1)
 
 
 def is_alike(a, b):
