@@ -73,3 +73,17 @@ TRACK_CATALOG = [
 ]
 # Other slugs of known tracks.
 SLUG_ALIASES = {"xtreme": "xtreme-tx"}
+
+# What a prompt says about missing years, and the name of the tool that a model calls.
+DATE_HINT = "Today's date is {day}. If {subject} omits the year, default to {year} unless {subject} clearly indicates a different year."
+ANSWER_TOOL = "store_event"
+
+# The end of an address line that names a city and a state.
+CITY_STATE = r"([A-Za-z][A-Za-z .'-]+?)\s*,?\s+([A-Z]{2})\s+\d{5}(?:-\d{4})?$"
+
+# What the validation of a file says.
+CHECK_PASSED, CHECK_FAILED, CHECK_ERROR = "Schema validation passed for {path}", "Schema validation failed for {path}:", "  - {path}: {message}"
+
+# The names of a calendar card's parts.
+CALENDAR_WIDE, CALENDAR_NARROW = "CALENDAR_BIGGER_SCREEN_CONTAINER", "CALENDAR_SMALLER_SCREEN_CONTAINER"
+CALENDAR_PARTS = {"day": "CALENDAR_EVENT_DATE", "title": "CALENDAR_EVENT_TITLE", "time": "CALENDAR_EVENT_TIME", "text": "CALENDAR_DESC_TEXT"}

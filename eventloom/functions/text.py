@@ -155,8 +155,7 @@ def details(description: Column) -> Column:
 def city_state(location: Column) -> Column:
     """struct<city, state> of an address line that ends in state and ZIP code; nulls if it does not."""
     compact = F.trim(F.regexp_replace(location, r"(?U)\s+", " "))
-    pattern = r"([A-Za-z][A-Za-z .'-]+?)\s*,?\s+([A-Z]{2})\s+\d{5}(?:-\d{4})?$"
-    part = lambda n: F.nullif(F.trim(F.regexp_extract(compact, pattern, n)), F.lit(""))
+    part = lambda n: F.nullif(F.trim(F.regexp_extract(compact, fixed.CITY_STATE, n)), F.lit(""))
     return F.struct(part(1).alias("city"), part(2).alias("state"))
 
 
@@ -173,7 +172,7 @@ def prompt_text(fields: dict[str, Column], leave_out: tuple[str, ...] = ("source
 
 def date_hint(subject: str, today: date) -> str:
     """What a prompt says about missing years."""
-    return f"Today's date is {today.isoformat()}. If {subject} omits the year, default to {today.year} unless {subject} clearly indicates a different year."
+    return fixed.DATE_HINT.format(day=today.isoformat(), year=today.year, subject=subject)
 
 
 def media_type(path: Column) -> Column:

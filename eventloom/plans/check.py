@@ -9,6 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import fixed
 from ..operators.validate import EVENT_SCHEMA, validate
 from ..sources.readers import exists
 
@@ -32,8 +33,8 @@ def check(spark: SparkSession, path: str, schema: dict = EVENT_SCHEMA, *, most:
     wrong = validate(payloads(spark, path), schema).orderBy("seq", "path", "message")
     rows = wrong.limit(most + 1).collect()
     if not rows:
-        return 0, [f"Schema validation passed for {path}"]
-    lines = [f"Schema validation failed for {path}:", *[f"  - {r['path']}: {r['message']}" for r in rows[:most]]]
+        return 0, [fixed.CHECK_PASSED.format(path=path)]
+    lines = [fixed.CHECK_FAILED.format(path=path), *[fixed.CHECK_ERROR.format(**r.asDict()) for r in rows[:most]]]
     return 1, lines + ([f"  and {wrong.count() - most} more"] if len(rows) > most else [])
 
 

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import fixed
 from ..functions.text import date_hint
 from ..operators.validate import EVENT_SCHEMA, problems
 from ..sources.readers import exists, with_retries
@@ -47,7 +48,7 @@ class ToolCall:
     Base64 with their media type, by their first bytes; a text follows the instructions.
     """
 
-    TOOL = "store_event"
+    TOOL = fixed.ANSWER_TOOL
 
     def __init__(self, send: Callable[[dict], list[dict]], schema: dict = EVENT_SCHEMA) -> None:
         self.send, self.schema = send, schema

@@ -171,15 +171,15 @@ CARD_PAGES = {
 def calendar(url: str, html: str) -> Iterator[dict]:
     """Cards of a calendar page: ord, title, date_text, time_text, location_text, description. Wide ones if there are any, else narrow ones."""
     root = parse(html)
-    found = root.all(aid("CALENDAR_BIGGER_SCREEN_CONTAINER")) or root.all(aid("CALENDAR_SMALLER_SCREEN_CONTAINER"))
+    found = root.all(aid(fixed.CALENDAR_WIDE)) or root.all(aid(fixed.CALENDAR_NARROW))
     for k, card in enumerate(found):
-        part = {f: card.first(aid(f"CALENDAR_{f}")) for f in ("EVENT_DATE", "EVENT_TITLE", "EVENT_TIME", "DESC_TEXT")}
-        if not part["EVENT_DATE"] or not part["EVENT_TITLE"]:
+        part = {f: card.first(aid(name)) for f, name in fixed.CALENDAR_PARTS.items()}
+        if not part["day"] or not part["title"]:
             continue
-        title, day = part["EVENT_TITLE"].text(" "), part["EVENT_DATE"].text(" ")
+        title, day = part["title"].text(" "), part["day"].text(" ")
         if not title or not day or any(w in title.strip().lower() for w in fixed.OUT_OF_SCOPE):
             continue
-        time, place = part["EVENT_TIME"], None
+        time, place = part["time"], None
         times: list[str] = []
         if time:
             times = [t for t in (n.text(" ") for n in time.all(lambda n: n.name == "h4")) if t]
@@ -191,7 +191,7 @@ def calendar(url: str, html: str) -> Iterator[dict]:
                 p = next((n for n in after if isinstance(n, Node) and n.name == "p"), None)
                 place = (p.text(" ") or None) if p else None
         at = f"{times[0]} - {times[2]}" if len(times) >= 3 and times[1] == "-" else " ".join(times) or None
-        yield {"ord": k, "title": title, "date_text": day, "time_text": at, "location_text": place, "description": part["DESC_TEXT"].text("\n") if part["DESC_TEXT"] else None}
+        yield {"ord": k, "title": title, "date_text": day, "time_text": at, "location_text": place, "description": part["text"].text("\n") if part["text"] else None}
 
 
 def folder(url: str, html: str) -> Iterator[dict]:
