@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from ..sources import html as H
 from ..sources.files import FileSink
 from ..sources.paging import ListingSource
 from ..sources.readers import fetch_all
+from .runs import crawl_calendar, crawl_source
 
 #: Titles of earlier runs that a pager is told beforehand; with more, it may read pages up to max_pages that are then left out.
 TOLD_TITLES = 100_000
@@ -91,3 +93,23 @@ def bracketraces(spark: SparkSession, source: dict, seen: DataFrame, folder: str
     ranked = images.filter("href IS NOT NULL").select(F.col("href").alias("url"), (F.col("page").cast("long") * (1 << 32) + F.col("ord")).alias("ord"))
     new = A.unseen(ranked, "url", "ord", seen.select(F.col("key").alias("url")))
     return stage_images(cut(new), folder, there, headers=source.get("request_headers"), **how)
+
+
+#: Namespaces of the state in which each strategy's keys are kept.
+NAMESPACES = {"bracketraces": "seen_urls", "rss": "seen_urls", "racingjunk": "racingjunk_events", "myracepass": "myracepass_events", "tmccc": "tmccc_events"}
+
+
+def collect(spark: SparkSession, source: dict, seen: DataFrame, folder: str, there: DataFrame, *, browse: Callable[[str], DataFrame] | None = None, warn: Callable[[str], None] = print, **how: object) -> tuple[str, DataFrame] | None:
+    """(kind, rows) of what a source collects by its strategy, new with regard to seen(namespace, key): `images` as
+    stage_images() gives them, else `listings`. None, with a warning, for an unknown strategy.
+
+    browse gives the pages (page, url, html) of a calendar that needs a browser; without one a calendar has no pages.
+    """
+    keys = seen.filter(F.col("namespace") == NAMESPACES.get(source.get("strategy"), "")).select("key").distinct()
+    none = lambda url: spark.createDataFrame([], "page int, url string, html string")
+    listings = {n: ("listings", lambda s, f=f: f(spark, s, keys, **how)) for n, f in (("racingjunk", racingjunk), ("myracepass", myracepass), ("rss", rss))}
+    known = listings | {
+        "bracketraces": ("images", lambda s: bracketraces(spark, s, keys, folder, there, **how)),
+        "tmccc": ("listings", lambda s: crawl_calendar((browse or none)(s["url"]), s, keys)),
+    }
+    return crawl_source(source, known, warn)

@@ -110,6 +110,22 @@ def test_bracketraces(spark, site, tmp_path):
     assert "/old.png" not in site.asked and "/seen.png" not in site.asked and site.asked.count("/a.webp") == 1
 
 
+def test_dispatch(spark, site, tmp_path):
+    """Each strategy reads its own namespace of the state."""
+    site.pages |= {"/drag?page=1": listing("A", "B"), "/events": ("text/html", b'<div class="event-card"><h3>A</h3></div>'), "/feed": ("text/xml", b"<rss><item><title>t</title><link>A</link></item></rss>")}
+    seen = spark.createDataFrame([("racingjunk_events", "A"), ("seen_urls", "A")], "namespace string, key string")
+    there, said = spark.createDataFrame([], "path string"), []
+    go = lambda **e: S.collect(spark, {"name": "n", "page_delay_seconds": 0} | e, seen, str(tmp_path / "f"), there, warn=said.append, **FAST)
+    titles = lambda got: (got[0], [r["title"] for r in got[1].collect()])
+    assert titles(go(strategy="racingjunk", url=site.url, drag_racing_url=f"{site.url}/drag")) == ("listings", ["B"])
+    assert titles(go(strategy="myracepass", url=f"{site.url}/events")) == ("listings", ["A"])
+    assert titles(go(strategy="rss", url=f"{site.url}/feed")) == ("listings", [])
+    assert titles(go(strategy="tmccc", url=site.url)) == ("listings", [])
+    assert go(strategy="other", url="u") is None and "other" in said[0]
+    kind, rows = go(strategy="bracketraces", url=site.url, event_pages=["/none"])
+    assert kind == "images" and rows.count() == 0
+
+
 # Files
 
 
