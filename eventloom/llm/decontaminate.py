@@ -82,6 +82,10 @@ class Index:
         # The lemma: windows within e edits share at least size - q + 1 - q * e of their q-grams with the text.
         self.need = np.maximum(1, self.size - q + 1 - q * self.budget)
         self.half = np.maximum(self.budget, 4)  # of the width of a band
+        # Windows of equal text have one name, by their hash; the n-th item's begin at names_at[n].
+        names = [grams(c, int(k)) + np.uint64(k) for c, k in zip(self.codes, self.size)]
+        self.names = np.concatenate([*names, np.empty(0, np.uint64)])
+        self.names_at = np.cumsum([0, *[len(x) for x in names]])
         self.short = np.flatnonzero(self.size < q).tolist()
         hashes = [grams(c, q) for c in self.codes]
         h = np.concatenate([*hashes, np.empty(0, np.uint64)])
@@ -140,31 +144,49 @@ class Index:
         here, to = here[ok], to[ok]
         if not len(here):
             return
-        # Windows that hold the hits from `here` to `to`, by item and band, each once.
-        n = of[here]
+        # Windows that hold the hits from `here` to `to`, by item and band, each once: their starts and ends grow within a band.
+        n, low = of[here], band[here]
         first = np.maximum(0, off[to] - (self.size[n] - self.q))
-        windows = np.maximum(np.minimum(off[here], self.last[n]) - first + 1, 0)
+        last = np.minimum(off[here], self.last[n])
+        again = np.r_[False, (n[1:] == n[:-1]) & (low[1:] == low[:-1])]
+        first = np.where(again, np.maximum(first, np.r_[0, last[:-1]] + 1), first)
+        windows = np.maximum(last - first + 1, 0)
         start = np.repeat(first - np.cumsum(windows) + windows, windows) + np.arange(windows.sum())
-        all_of = np.unique(np.stack([np.repeat(n, windows), np.repeat(band[here], windows), start]), axis=1)
-        n, low, start = all_of[0], all_of[1] * self.half[all_of[0]], all_of[2]
+        n, low = np.repeat(n, windows), np.repeat(low, windows)
+        low = low * self.half[n]
         middle = low + self.half[n] + start
         part = np.searchsorted(starts, np.clip(middle + self.size[n] // 2, 0, len(c) - 1), side="right") - 1
-        # The first window of each band as it is; then what is left of the items not yet found, by alignment.
-        for k in np.flatnonzero(np.r_[True, (n[1:] != n[:-1]) | (low[1:] != low[:-1])]).tolist():
-            item, t = self.items[n[k]]
-            if (int(part[k]), item) not in found:
-                s, size, half = int(start[k]), int(self.size[n[k]]), int(self.half[n[k]])
-                x = max(0, int(low[k]) + s)
-                if text.find(t[s : s + size], x, x + 2 * half + size) >= 0:
-                    found.add((int(part[k]), item))
-        for size, budget in {(int(self.size[x]), int(self.budget[x])) for x in np.unique(n)}:
-            mine = np.flatnonzero((self.size[n] == size) & (self.budget[n] == budget))
-            for a in range(0, len(mine), 1024):
-                k = np.array([x for x in mine[a : a + 1024].tolist() if (int(part[x]), self.items[n[x]][0]) not in found], np.int64)
-                if len(k):
-                    patterns = np.stack([self.codes[x][s : s + size] for x, s in zip(n[k].tolist(), start[k].tolist())])
-                    near = edits(patterns, c, middle[k], budget) <= budget
-                    found |= {(int(part[x]), self.items[n[x]][0]) for x in k[near].tolist()}
+        # Equal windows at one place of the text are one case, however many items have them.
+        name = np.unique(self.names[self.names_at[n] + start], return_inverse=True)[1]
+        _, case_of, case = np.unique(name * (len(c) + 4 * self.reach + 1) + middle + 2 * self.reach, return_index=True, return_inverse=True)
+        pair_of, pair = np.unique(part * len(self.items) + n, return_inverse=True)
+        done = np.array([(p // len(self.items), self.items[p % len(self.items)][0]) in found for p in pair_of.tolist()], bool)
+        good = np.zeros(len(case_of), bool)
+        # The first window of each band as it is; then the cases of the items not yet found, by alignment.
+        heads = np.flatnonzero(np.r_[True, (n[1:] != n[:-1]) | (low[1:] != low[:-1])])
+        for k in np.unique(case[heads[~done[pair[heads]]]]).tolist():
+            w = case_of[k]
+            s, size, half = int(start[w]), int(self.size[n[w]]), int(self.half[n[w]])
+            x = max(0, int(low[w]) + s)
+            good[k] = text.find(self.items[n[w]][1][s : s + size], x, x + 2 * half + size) >= 0
+        done[pair[good[case]]] = True
+        tried = good.copy()
+        sizes = self.size[n[case_of]]
+        for size in np.unique(sizes).tolist():
+            mine = np.flatnonzero(sizes == size)
+            budget = int(self.budget[n[case_of[mine[0]]]])
+            while True:
+                # Each pair's first cases that are left, so that most pairs are found before all of theirs are aligned.
+                open_ = np.zeros(len(case_of), bool)
+                open_[case[~done[pair]]] = True
+                k = mine[open_[mine] & ~tried[mine]][:1024]
+                if not len(k):
+                    break
+                tried[k] = True
+                patterns = np.stack([self.codes[x][s : s + size] for x, s in zip(n[case_of[k]].tolist(), start[case_of[k]].tolist())])
+                good[k] = edits(patterns, c, middle[case_of[k]], budget) <= budget
+                done[pair[good[case]]] = True
+        found |= {(p // len(self.items), self.items[p % len(self.items)][0]) for p in pair_of[done].tolist()}
 
 
 def pieces(pos: np.ndarray, count: np.ndarray, most: int, reach: int) -> Iterator[tuple[int, int]]:

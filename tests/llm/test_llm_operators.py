@@ -496,6 +496,41 @@ def test_archive_forms():
         assert [(r["type"], r["payload"]) for r in warc.records(content)] == [("warcinfo", b"software: x"), ("response", b"hi")]
 
 
+def test_broken_archives(spark, tmp_path):
+    """Each fault is a row with `error`; the whole records around it are read."""
+    import gzip
+
+    record = lambda name, size=None, block="hi": f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <{name}>\r\nContent-Length: {len(block) if size is None else size}\r\n\r\n{block}\r\n\r\n".encode()
+    read = lambda content: [(r.get("record_id"), bool(r.get("error"))) for r in warc.records(content)]
+    a, b, c = (record(x) for x in "abc")
+    assert read(a + b"WARC/1.1\r\nWARC-Type: resp") == [("<a>", False), (None, True)]
+    for bad in ("many", "-1", "9" * 5000, "\u00b2", 4000):
+        assert read(a + record("b", bad) + c) == [("<a>", False), ("<b>", True), ("<c>", False)]
+    assert read(a + b[:-6]) == [("<a>", False), ("<b>", True)]
+    one, two, three = gzip.compress(a), gzip.compress(b), gzip.compress(c)
+    assert read(one + b"\0" * 512) == [("<a>", False)]
+    assert read(one + b"rest" + two) == [("<a>", False), ("<b>", False), (None, True)]
+    assert read(one + two[:-9]) [0] == ("<a>", False) and read(one + two[:-9])[-1] == (None, True)
+    spoilt = two[:12] + bytes(255 - x for x in two[12:])
+    got = read(one + spoilt + three)
+    assert got[0] == ("<a>", False) and ("<c>", False) in got and got[-1] == (None, True)
+    assert read(b"") == read(b"no archive") == [] and read(b"\x1f\x8b") == [(None, True)]
+
+    (tmp_path / "x.gz").write_bytes(one + spoilt + three)
+    (tmp_path / "y.gz").write_bytes(gzip.compress(a + record("b", "many")))
+    recs = warc.read_archive(spark, str(tmp_path), "*.gz", payloads=False)
+    assert "payload" not in recs.columns and recs.filter("error is null").count() == 3 and recs.filter("error is not null").count() == 2
+    assert warc.assemble(recs).count() == 0
+
+
+def test_archive_is_parsed_once(spark, tmp_path):
+    """assemble() of a written table reads no archive, so the query's plan has one parse of it."""
+    warc.write_archive(spark.range(3).selectExpr("id AS page_id", "'u' AS url", "'h' AS html"), str(tmp_path / "w"))
+    recs = line_dedup.saved(warc.read_archive(spark, str(tmp_path / "w"), "*.gz", payloads=False))
+    out = warc.assemble(recs)
+    assert out.count() == 3 and "MapInArrow" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 # Lines that SimHash keeps apart
 
 
@@ -590,6 +625,29 @@ def test_phrases_that_many_items_share():
     assert 7 in decontaminate.search(index, [text, items[7][1]])[1] and time.perf_counter() - start < 30
 
 
+def test_a_passage_of_many_items_is_aligned_once(monkeypatch):
+    """The rows that are aligned do not grow with the items that hold the same passage; all of them are found."""
+    rng = random.Random(15)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randint(3, 8)))
+    common = " ".join(word() for _ in range(36))
+    spoilt = list(common[20:160])
+    for k in rng.sample(range(len(spoilt)), 9):
+        spoilt[k] = "z"
+    text, rows, plain = decontaminate.normalise("".join(spoilt)), [], decontaminate.edits
+    monkeypatch.setattr(decontaminate, "edits", lambda patterns, *more: rows.append(len(patterns)) or plain(patterns, *more))
+    cost = {}
+    for n in (20, 400):
+        items = [(i, " ".join([*(word() for _ in range(i % 7)), common, word()])) for i in range(n)]
+        index = decontaminate.Index(items, 8, 80, 0.075)
+        rows.clear()
+        got = decontaminate.search(index, [text])[0]
+        cost[n] = sum(rows)
+        windows = {i: {t[k : k + 80] for k in range(max(1, len(t) - 79))} for i, t in index.items}
+        near = {w for w in set().union(*windows.values()) if brute.best_stretch(w, text) <= 6} if n == 20 else None
+        assert got == (sorted(i for i, w in windows.items() if w & near) if near is not None else list(range(n)))
+    assert cost[400] <= 3 * max(cost[20], 1024)
+
+
 @pytest.mark.parametrize("bucket_rows", [8192, 7])
 def test_shards_are_brute_force(spark, bucket_rows):
     """Ranks in seeded order within each source, sorted by their fraction, cut into shards: held against one sorted list."""
