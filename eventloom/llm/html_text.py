@@ -2,9 +2,10 @@
 
 Tokens (start tags and runs of text, in their path) that occur equally often in each page of a host form an equivalence class.
 Classes that hold in nearly all pages, without tokens that change places, and that nest in one slot of the largest
-class, are the host's template. The stretches between the tokens of the largest class are its slots. Of a page, text that is a
-token of the template goes, and so do slots that are menus over the host's pages; elements and class words that stand
-for something beside the article choose among the rest.
+class, are the host's template. The stretches between the tokens of the largest class are its slots. The slot with most text
+outside links over the host's pages, and those like it, hold the main text; text that is a token of the template is none.
+What elements and class words name as beside the article goes from inside a slot (comments or adverts that only some pages
+have), and they choose alone where a host has no template.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import html as entities
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 import xxhash
@@ -40,6 +41,7 @@ NEVER_TEXT = NOISE - frozenset("alert notice notices related recommended share s
 #: Those that make a whole article or main something else, as one of its names.
 CONTENT_NOISE = frozenset("ad ads advert advertisement sponsored promo comment comments cookie cookies consent popup modal sidebar nav navigation menu".split())
 BROADCAST_TOKENS = 500_000
+SUMS = ["letters", "linked", "plain", "own", "inner"]
 _WORDS = re.compile(r"[A-Za-z]+")
 
 
@@ -129,19 +131,21 @@ def token(path: int, text: str) -> int:
 
 @dataclass(frozen=True)
 class Template:
-    """Tokens of a host's valid classes, those of its largest class, and those of them after which a menu stands."""
+    """Tokens of a host's valid classes, those of its largest class, and those of them after which a menu or main text stands."""
 
     tokens: frozenset[int] = frozenset()
     root: frozenset[int] = frozenset()
     menus: frozenset[int] = frozenset()
+    main: frozenset[int] = frozenset()
 
 
 def extract(page: str, template: Template = Template()) -> str:
-    """Main text of a page, without its host's template.
+    """Main text of a page, from the main slots of its host's template.
 
-    Runs of text that are template tokens go, and those in a menu slot that are not in an article or main. Of the others, those
-    inside an article or main that is not aside count if there are any, else those of the whole page; what is aside
-    (menus, headers, footers, adverts, forms, comments) never.
+    Runs of text that are template tokens go, and so do all outside the main slots. Of the others, those inside an article
+    or main that is not aside count if there are any, else all; what is aside (menus, headers, footers, adverts, forms,
+    comments) never. A page without text in main slots, or of a host without them, is read whole; then runs in a menu slot
+    that are not in an article or main go.
     """
     inner: list[str] = []
     outer: list[str] = []
@@ -152,14 +156,15 @@ def extract(page: str, template: Template = Template()) -> str:
             slot = name
         if not text:
             continue
-        gone = aside or name in template.tokens or slot in template.menus and not inside
+        gone = aside or name in template.tokens or (slot not in template.main if template.main else slot in template.menus and not inside)
         for out, own in ((inner, inside), (outer, True)):
             if fresh:
                 out.append(" ")
             if own and not gone:
                 out.append(entities.unescape(text))
     clean = lambda x: " ".join("".join(x).split())
-    return clean(inner) or clean(outer)
+    found = clean(inner) or clean(outer)
+    return extract(page, replace(template, main=frozenset())) if not found and template.main else found
 
 
 def host_of(url: str) -> Column:
@@ -170,13 +175,13 @@ def host_of(url: str) -> Column:
 def places(page: str, root: dict[int, int], classes: dict[int, tuple[int, int]]) -> dict[int, list[int]]:
     """For each token of the classes (token -> class and its size), where it stands in a page.
 
-    [least and greatest place among its class's tokens, least and greatest root token before it, letters of the slot after it (of
-    a root token), those of them in links]. Places count within a class, from 0 again after each whole class.
+    [least and greatest place among its class's tokens, least and greatest root token before it]. Places count within a
+    class, from 0 again after each whole class.
     """
     out: dict[int, list[int]] = {}
     seen: Counter[int] = Counter()
     slot = 0
-    for path, text, _, _, _, link in runs(page):
+    for path, text, *_ in runs(page):
         if text and text.isspace():
             continue
         name = token(path, text)
@@ -184,24 +189,38 @@ def places(page: str, root: dict[int, int], classes: dict[int, tuple[int, int]])
             kind, size = known
             place = seen[kind] % size
             seen[kind] += 1
-            at = out.setdefault(name, [place, place, slot, slot, 0, 0])
+            at = out.setdefault(name, [place, place, slot, slot])
             at[0], at[1], at[2], at[3] = min(at[0], place), max(at[1], place), min(at[2], slot), max(at[3], slot)
         if name in root:
             slot = name
-        elif text and slot in out:
-            out[slot][4] += len(text)
-            out[slot][5] += len(text) * link
     return out
 
 
+def letters(page: str, template: Template, out: dict[int, list[int]]) -> None:
+    """Add to out, for the slot after each root token: its letters, those in links, those of its own text outside links, and of
+    these those not aside and those in an article or main. Own text is no token of the template."""
+    at = None
+    for path, text, _, aside, inside, link in runs(page):
+        if text and text.isspace():
+            continue
+        name = token(path, text)
+        if name in template.root:
+            at = out.setdefault(name, [0] * len(SUMS))
+        elif text and at is not None:
+            own = len(text) * (name not in template.tokens and not link)
+            for k, n in enumerate((len(text), len(text) * link, own, own * (not aside), own * (inside and not aside))):
+                at[k] += n
+
+
 def templates(pages: DataFrame, *, url: str = "url", html: str = "html", least_pages: int = 5, share: float = 0.9, class_size: int = 3, menu: float = 0.8) -> DataFrame:
-    """host, tokens, root and menus (see Template) of each host with at least least_pages different pages.
+    """host, tokens, root, menus and main (see Template) of each host with at least least_pages different pages.
 
     Equal pages of a host count once. A class holds the tokens with one occurrence vector (told by a hash of page
     and count over its pages) and must have class_size tokens and occur in `share` of the pages. Tokens that do not
     always stand at the same place among the class's leave it. It is valid if class_size tokens stay, and if it is the
     host's largest class or all of its tokens always stand in one and the same slot of that. A slot is a menu if over all pages `menu` of its letters, and more,
-    are in links. Counts are summed before they are shuffled, so a host with any share of the pages is dealt like others.
+    are in links. Of the others, the slot with most letters outside links is main, and so is one of whose such letters half
+    or more are of the same kind: in an article or main if half of the first one's are, else not aside. Counts are summed before they are shuffled, so a host with any share of the pages is dealt like others.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,17 +264,44 @@ def templates(pages: DataFrame, *, url: str = "url", html: str = "html", least_p
                         known = found.as_py()
                         seen[host] = ({c["token"]: 1 for c in known if c["root"]}, {c["token"]: (c["vector"], c["size"]) for c in known})
                     rows += [(host, t, *v) for t, v in places(page or "", *seen[host]).items()]
-                columns = list(zip(*rows)) or [()] * 8
-                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), *[pa.array(c, pa.int64()) for c in columns[1:]]], ["host", "token", "lo", "hi", "slot_lo", "slot_hi", "letters", "linked"])
+                columns = list(zip(*rows)) or [()] * 6
+                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), *[pa.array(c, pa.int64()) for c in columns[1:]]], ["host", "token", "lo", "hi", "slot_lo", "slot_hi"])
 
-    stood = some.join(small, "host").mapInArrow(place, "host string, token long, lo long, hi long, slot_lo long, slot_hi long, letters long, linked long")
-    stood = stood.groupBy("host", "token").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("slot_lo").alias("slot_lo"), F.max("slot_hi").alias("slot_hi"), F.sum("letters").alias("letters"), F.sum("linked").alias("linked"))
+    stood = some.join(small, "host").mapInArrow(place, "host string, token long, lo long, hi long, slot_lo long, slot_hi long")
+    stood = stood.groupBy("host", "token").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("slot_lo").alias("slot_lo"), F.max("slot_hi").alias("slot_hi"))
     stood = cut(classes.join(stood, ["host", "token"]).filter("lo = hi"))
     nested = F.max("root") | (F.min("slot_lo") == F.max("slot_hi"))
     valid = stood.groupBy("host", "vector").agg((F.count("*") >= class_size).alias("whole"), nested.alias("nested")).filter("whole and nested").select("host", "vector")
     stood = stood.join(valid, ["host", "vector"])
-    of = lambda condition: F.collect_list(F.when(condition, F.col("token")))
-    return stood.groupBy("host").agg(F.collect_list("token").alias("tokens"), of(F.col("root")).alias("root"), of(F.col("root") & (F.col("letters") > 0) & (F.col("linked") >= menu * F.col("letters"))).alias("menus"))
+    held = cut(stood.groupBy("host").agg(F.collect_list("token").alias("tokens"), F.collect_list(F.when(F.col("root"), F.col("token"))).alias("root")))
+
+    # Third pass: what the slots hold.
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, Template] = {}
+        for b in batches:
+            for at in range(0, b.num_rows, 64):
+                part = b.slice(at, 64)
+                sums: dict[str, dict[int, list[int]]] = {}
+                for host, page, tokens, root in zip(part["host"].to_pylist(), part["html"].to_pylist(), part["tokens"], part["root"]):
+                    if host not in seen:
+                        if len(seen) > 1000:
+                            seen.clear()
+                        seen[host] = Template(frozenset(tokens.as_py()), frozenset(root.as_py()))
+                    letters(page or "", seen[host], sums.setdefault(host, {}))
+                rows = [(host, t, *v) for host, slots in sums.items() for t, v in slots.items()]
+                columns = list(zip(*rows)) or [()] * (2 + len(SUMS))
+                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), *[pa.array(c, pa.int64()) for c in columns[1:]]], ["host", "token", *SUMS])
+
+    few = held.agg(F.coalesce(F.sum(F.size("tokens") + F.size("root")), F.lit(0))).first()[0] <= BROADCAST_TOKENS
+    slots = some.join(F.broadcast(held) if few else held, "host").mapInArrow(fill, "host string, token long, " + ", ".join(f"{c} long" for c in SUMS))
+    slots = slots.groupBy("host", "token").agg(*[F.sum(c).alias(c) for c in SUMS])
+    linked = (F.col("letters") > 0) & (F.col("linked") >= menu * F.col("letters"))
+    holds = lambda *what: F.when(~linked & (F.col("plain") > 0), F.struct(*what))
+    slots = slots.groupBy("host").agg(F.collect_list(F.when(linked, F.col("token"))).alias("menus"), F.max(holds("plain", "token", "inner")).alias("top"), F.collect_list(holds("plain", "token", "inner", "own")).alias("slots"))
+    alike = "filter(slots, s -> s.token = top.token or 2 * if(2 * top.inner >= top.plain, s.inner, s.own) >= s.plain)"
+    main = F.expr(f"transform({alike}, s -> s.token)")
+    none = F.array().cast("array<long>")
+    return held.join(slots.select("host", "menus", main.alias("main")), "host", "left").select("host", "tokens", "root", F.coalesce("menus", none).alias("menus"), F.coalesce("main", none).alias("main"))
 
 
 def main_text(pages: DataFrame, *, url: str = "url", html: str = "html", out: str = "main_text") -> DataFrame:
@@ -265,13 +311,13 @@ def main_text(pages: DataFrame, *, url: str = "url", html: str = "html", out: st
     one space. A null or empty html, or one without content, gives ''; truncated markup is read as far as it goes; a
     page of a host with few pages is read without a template; null urls are one host. Repeated rows give repeated
     rows; other columns pass through, but one named `out` is replaced. Templates go to the workers by broadcast if
-    they have BROADCAST_TOKENS tokens (of up to three longs) or less, by a shuffled join if more.
+    they have BROADCAST_TOKENS tokens (of up to four longs) or less, by a shuffled join if more.
     """
     pages = without(pages, out)
     names = pages.columns
     host, template = fresh(pages, "host", "template")
     known = templates(pages, url=url, html=html)
-    known = cut(known.select(F.col("host").alias("of_host"), F.struct("tokens", "root", "menus").alias(template)))
+    known = cut(known.select(F.col("host").alias("of_host"), F.struct("tokens", "root", "menus", "main").alias(template)))
     few = known.agg(F.coalesce(F.sum(F.size(F.col(template)["tokens"])), F.lit(0))).first()[0] <= BROADCAST_TOKENS
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema)
     all_of = pages.withColumn(host, host_of(url)).join(F.broadcast(known) if few else known, F.col(host) == known["of_host"], "left")

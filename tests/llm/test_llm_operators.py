@@ -456,6 +456,56 @@ def test_slots_order_and_nesting(spark):
     assert len(t["menus"]) == 1 and set(t["menus"]) <= set(t["root"]) <= set(t["tokens"])
 
 
+def test_main_slots_need_no_names(spark, monkeypatch):
+    """Without word lists and content elements, the slots of the template give the same text of every page of its hosts."""
+    pages = spark.read.parquet(f"{DATA.replace('sf0.001', 'sf0.01')}/pages.parquet")
+    known = {r["host"]: html_text.Template(*[frozenset(r[k]) for k in ("tokens", "root", "menus", "main")]) for r in html_text.templates(pages).collect()}
+    rows = [(r["host"], r["html"] or "") for r in pages.withColumn("host", html_text.host_of("url")).collect() if r["host"] in known]
+    want = [html_text.extract(page, known[host]) for host, page in rows]
+    assert len(rows) >= 100 and all(t.main and t.main <= t.root and not t.main & t.menus for t in known.values())
+    for name in ("ASIDE", "NOISE", "NEVER_TEXT", "CONTENT_NOISE", "CONTENT"):
+        monkeypatch.setattr(html_text, name, frozenset())
+    assert [html_text.extract(page, known[host]) for host, page in rows] == want
+    assert sum(html_text.extract(page) == w for (_, page), w in zip(rows, want)) < len(rows) // 10
+
+
+def test_main_slots_edges(spark):
+    """Headings and bodies in slots of their own stay; what only some pages have goes by its name; a page unlike the others is read whole."""
+    rng = random.Random(16)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    rows, want = [], {}
+    for n in range(20):
+        title, body = word(), " ".join(word() for _ in range(30))
+        extra = f"<div class=comments>{word()} {word()}</div>" if n % 3 == 0 else ""
+        rows.append((n, f"https://s.org/{n}", f"<html><body><div class=x1><a href=/>{word()}</a> <a href=/>{word()}</a></div><article><h1>{title}</h1><div class=body><p>{body}</p>{extra}</div></article><div class=x2>{word()}</div></body></html>"))
+        want[n] = f"{title} {body}"
+    rows += [(20, "https://s.org/odd", "<p>Other page</p>"), (21, "https://s.org/none", None)]
+    want |= {20: "Other page", 21: ""}
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r["page_id"]: r["main_text"] for r in html_text.main_text(df).collect()} == want
+
+
+def test_classes_are_brute_force(spark):
+    """A template's root is one of its host's largest sets of tokens with the same count in every page; its tokens are in 90 % of the pages."""
+    pages = spark.read.parquet(f"{DATA.replace('sf0.001', 'sf0.01')}/pages.parquet").withColumn("host", html_text.host_of("url"))
+    by_host = defaultdict(set)
+    for r in pages.collect():
+        by_host[r["host"]].add(r["html"] or "")
+    known = {r["host"]: r for r in html_text.templates(pages).collect()}
+    for host, texts in by_host.items():
+        counts = [Counter(html_text.token(x[0], x[1]) for x in html_text.runs(t) if not x[1] or not x[1].isspace()) for t in texts]
+        classes = defaultdict(set)
+        for t in set().union(*counts):
+            if sum(t in c for c in counts) >= 0.9 * len(counts):
+                classes[tuple(c[t] for c in counts)].add(t)
+        largest = max((len(c) for c in classes.values()), default=0)
+        if len(texts) < 5 or largest < 3:
+            assert host not in known
+        elif host in known:
+            assert any(set(known[host]["root"]) <= c for c in classes.values() if len(c) == largest)
+            assert set(known[host]["tokens"]) <= set().union(*[c for c in classes.values() if len(c) >= 3])
+
+
 def test_pages_of_the_table(spark):
     import html
     import re
