@@ -114,7 +114,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(id, component) of every id in edges, component the smallest id reachable.
 
     Each round sends every id's label to its neighbours; the messages to an id are a minimum that is combined before
-    the one shuffle of a round, so a hub's neighbours are never gathered. After four rounds, labels also jump to the
+    a round's shuffle of them. The links of one id lie in one task, which streams them and holds no group, but a hub of
+    very many links makes that task long. After four rounds, labels also jump to the
     label of their label (a hub's label is looked up once, in parts), so that long chains end soon. edges: two
     long columns; self-links are allowed.
     """

@@ -361,26 +361,21 @@ def test_lines_are_brute_force(spark, monkeypatch):
     check_lines(spark, df)
 
 
-def test_recall_of_lines(spark):
-    """Of the pairs of different lines within the edit similarity, found by comparing all, at least 90 % end in one group."""
+def test_recall_of_lines(spark, monkeypatch):
+    """Of the pairs of different lines within the edit similarity, found by comparing all, at least 90 % end in one component."""
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
-    lines = lines_of(spark, docs)
-    pairs = brute.near_lines(list(set(lines.values())))
-    at = defaultdict(list)
-    for place, n in lines.items():
-        at[n].append(place)
-    rows = {r["doc_id"]: set(r["cuts"]) for r in cut_places(docs).collect()}
-    found = sum(any(p in rows.get(d, ()) for d, p in at[a]) or any(p in rows.get(d, ()) for d, p in at[b]) for a, b in pairs)
+    lines = sorted(set(lines_of(spark, docs).values()))
+    pairs = brute.near_lines(lines)
+    labels, plain = [], line_dedup.components
+    monkeypatch.setattr(line_dedup, "components", lambda links: labels.append(plain(links)) or labels[-1])
+    line_dedup.dedup_lines(docs.select("doc_id", "text")).count()
+    component = {r["id"]: r["component"] for r in labels[-1].collect()}
+    node = {r["n"]: r["h"] for r in spark.createDataFrame([(x,) for x in lines], "n string").select("n", F.xxhash64("n").alias("h")).collect()}
+    of = lambda line: component.get(node[line], node[line])
+    found = sum(of(a) == of(b) for a, b in pairs)
     assert pairs and found >= 0.9 * len(pairs)
 
 
-def cut_places(docs):
-    """doc_id and the positions of the lines that go: those of a line number put before each line's text would change it, so from the counts of a run a line at a time."""
-    out = line_dedup.dedup_lines(docs.select("doc_id", "text"))
-    both = out.filter("n_removed > 0").select("doc_id", F.split("text", "\n").alias("kept"), "n_removed").join(docs.select("doc_id", F.split("text", "\n").alias("all")), "doc_id")
-    return both.select("doc_id", F.expr("filter(transform(all, (x, p) -> if(array_contains(kept, x), -1, p)), p -> p >= 0)").alias("cuts"))
-
-
 def test_simhash(spark):
     """A bit is the majority of fifteen votes: the least ranked words, in turn."""
     rng = random.Random(11)
