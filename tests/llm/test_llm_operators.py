@@ -295,21 +295,52 @@ def test_languages_of_held_out_rows(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
-def test_phrases_are_longest_matches():
-    parser = langid.Parser({"x": ["banana", "bad"]})
-    known = [" banana ", " bad "]
-
-    def plain(s):
-        n = 0
-        while s:
-            k = max((k for k in range(1, len(s) + 1) if any(s[:k] in w for w in known)), default=1)
-            s, n = s[k:], n + 1
-        return n
-
+def plain_phrases(parts, s):
+    """Phrases of s by the definition: longest stretches that occur in a part, or single bytes; a stretch of text at a time."""
+    n = 0
+    for at in range(0, len(s), langid.STRETCH):
+        i, t = 0, s[at : at + langid.STRETCH]
+        while i < len(t):
+            k = 1
+            while i + k < len(t) and any(t[i : i + k + 1] in p for p in parts):
+                k += 1
+            i, n = i + k, n + 1
+    return n
+
+
+def test_phrases_are_longest_matches(monkeypatch):
+    monkeypatch.setattr(langid, "STRETCH", 24)
     rng = random.Random(9)
-    for _ in range(300):
-        s = " " + "".join(rng.choices("band z", k=rng.randint(1, 12))) + " "
-        assert parser.phrases(parser.trees[0], s) == plain(s)
+    model = {"x": [b" banana ban ", b" bad "], "y": [b" zab bad nab ", "é ñé".encode()]}
+    parser = langid.Parser(model)
+    texts = [" ".join("".join(rng.choices("bandzqéñ", k=rng.randint(1, 9))) for _ in range(rng.randint(1, 12))).encode() for _ in range(300)]
+    got = parser.phrases(texts)
+    assert [list(r) for r in got] == [[plain_phrases(model[k], t) for k in "xy"] for t in texts]
+
+
+def test_languages_by_definition(documents, monkeypatch):
+    """Predictions of documents, in groups of few, against phrases counted by the definition."""
+    monkeypatch.setattr(langid, "TOGETHER", 5_000)
+    model = langid.train(documents.filter(~langid.held_out()), bytes_per_language=6_000)
+    texts = [r["text"] for r in documents.filter("length(text) between 20 and 2500").orderBy("doc_id").limit(40).collect()]
+    want = []
+    for t in texts:
+        rates = sorted((plain_phrases(model[k], langid.running(t)) * np.log2(1 + sum(map(len, model[k]))), k) for k in model)
+        want.append((rates[0][1], pytest.approx(1 - rates[0][0] / rates[1][0])))
+    assert list(langid.Parser(model).predict(texts)) == want
+
+
+def test_many_and_long_labels(spark):
+    """The model stays within its bound with many labels; a label may be long; too many raise."""
+    rng = random.Random(3)
+    rows = [(f"label {n}" if n else "l" * 10_000, " ".join("".join(rng.choices(chr(97 + n % 26) + "eaio", k=5)) for _ in range(40))) for n in range(120) for _ in range(3)]
+    df = spark.createDataFrame(rows, "lang string, text string")
+    model = langid.train(df, model_bytes=12_000)
+    assert len(model) == 120 and all(0 < sum(map(len, parts)) <= 100 for parts in model.values())
+    got = langid.identify(df, model).collect()
+    assert len(got) == 360 and {r["lang_pred"] for r in got} <= set(model)
+    with pytest.raises(ValueError, match="more than 100 labels"):
+        langid.train(df, languages=100)
 
 
 def test_langid_edges(odd):
