@@ -407,6 +407,51 @@ def test_recall_of_lines(spark, monkeypatch):
     assert pairs and found >= 0.9 * len(pairs)
 
 
+def test_recall_by_length_and_edits(spark):
+    """Real lines with letters changed at random, up to the edit similarity: at least 90 % are found in every class of length.
+
+    No line takes part twice, so a copy goes only if it is linked to its own original.
+    """
+    rng = random.Random(5)
+    lines = sorted(set(lines_of(spark, spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).values()))
+    rng.shuffle(lines)
+    docs, cells = [], defaultdict(list)
+    for least, most in ((20, 79), (80, 199), (200, 799)):
+        pool = [x for x in lines if least <= len(x) <= most and sum(map(str.isalpha, x)) >= 0.7 * len(x)]
+        for percent in (3, 6, 8, 10):
+            for _ in range(50):
+                line = pool.pop()
+                other = list(line)
+                for k in rng.sample([k for k, c in enumerate(line) if c.isalpha()], len(line) * percent // 100):
+                    other[k] = rng.choice([c for c in "abcdefghijklmnopqrstuvwxyz" if c != line[k]])
+                docs += [(len(docs), line), (len(docs) + 1, "".join(other))]
+                cells[least, percent].append(len(docs) - 1)
+    for size in (3_600, 6_000, 20_000):
+        line = " ".join("".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9))) for _ in range(size // 6))
+        other = [rng.choice("qrstuvwxyz") if k % 15 == 7 and c != " " else c for k, c in enumerate(line)]
+        docs += [(len(docs), line), (len(docs) + 1, "".join(other))]
+        cells[size, 7].append(len(docs) - 1)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    gone = {r["doc_id"]: r["n_removed"] for r in line_dedup.dedup_lines(df).collect()}
+    recall = {cell: sum(gone[k] for k in held) / len(held) for cell, held in cells.items()}
+    assert min(recall.values()) >= 0.9, recall
+
+
+def test_hot_lines_are_dealt_once(spark, monkeypatch):
+    """Of a line that stands often only its first occurrence goes to buckets; the result is the same."""
+    rng = random.Random(8)
+    line = " ".join("".join(rng.choices("abcdefgh", k=7)) for _ in range(12))
+    docs = [(n, f"{line}\n{n} some words of its own {rng.random()}") for n in range(60)] + [(99, line.replace("a", "b", 2))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = sorted((r["doc_id"], r["n_removed"]) for r in line_dedup.dedup_lines(df).collect())
+    assert want[0][1] == 0 and want[-1] == (99, 1) and all(n >= 1 for i, n in want if i)
+    dealt = []
+    monkeypatch.setattr(line_dedup, "HOT", 10)
+    monkeypatch.setattr(line_dedup, "_small", lambda df, most=None: dealt.append((df.columns, df.count())) or F.broadcast(df))
+    assert sorted((r["doc_id"], r["n_removed"]) for r in line_dedup.dedup_lines(df).collect()) == want
+    assert (["h1", "h2", "first"], 1) in dealt
+
+
 def test_simhash(spark):
     """A bit is the majority of fifteen votes: the least ranked words, in turn."""
     rng = random.Random(11)
