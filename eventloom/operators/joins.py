@@ -19,13 +19,15 @@ WIDE = 5
 COMMON = 64
 #: A track with more known classes than this in a year is met by title, too.
 CROWDED = 256
+#: Bits of a node's key that hold its level.
+LEVEL_BITS = 5
 
 
 def _nodes(df: DataFrame, a: str, b: str, least: int = 0) -> DataFrame:
-    """df with k_, level_, whole_: a row for each dyadic node of level `least` or more that the units a..b are made up of
+    """df with k_, whole_: a row for each dyadic node of level `least` or more that the units a..b are made up of
     (whole_), or that reaches over one of their ends.
 
-    Node x of a level holds the units x * 2^level and on; k_ numbers all nodes. A range is made up of two nodes a level
+    Node x of a level holds the units x * 2^level and on; k_ numbers all nodes, with the level in its lowest bits. A range is made up of two nodes a level
     at most, and two a level reach over its ends, so a range has at most 4 * 20 rows whatever its length. A level is a
     row before its nodes are, so that all of this is compiled arithmetic.
     """
@@ -43,7 +45,12 @@ def _nodes(df: DataFrame, a: str, b: str, least: int = 0) -> DataFrame:
         F.when(outside(at_a), code(at_a, False)), F.when((at_a != at_b) & outside(at_b), code(at_b, False)),
     )
     rows = rows.withColumn("code_", F.explode(codes)).filter("code_ IS NOT NULL")
-    return rows.select(*df.columns, F.call_function("shiftright", "code_", F.lit(1)).alias("k_"), "level_", (F.col("code_") % 2 == 1).alias("whole_"))
+    k = F.call_function("shiftleft", F.call_function("shiftright", "code_", F.lit(1)), F.lit(LEVEL_BITS)) + level
+    return rows.select(*df.columns, k.alias("k_"), (F.col("code_") % 2 == 1).alias("whole_"))
+
+
+def _level(k: Column) -> Column:
+    return k.bitwiseAND(F.lit((1 << LEVEL_BITS) - 1))
 
 
 def _day(date: Column) -> Column:
@@ -57,36 +64,46 @@ def overlap_join(left: DataFrame, right: DataFrame, condition: Column | None = N
     Ranges are widened to units of days and cut into dyadic nodes, and two that overlap meet at the node of one that is a node of the other or
     holds one of its nodes: the one that has the later of the two starts, so that no pair comes twice and no cross
     product is made. Short ranges have a few rows below WIDE levels; wider nodes are copied only if the other side
-    is made up of them, which a broadcast set of at most 2^15 numbers tells. A range of thousands of years has 80 rows
-    at most. One that ends before it starts is taken as the days between; the rule of ranges_overlap() decides.
+    is made up of them, which a broadcast set of at most 2^15 numbers tells, and narrower ones if the other side has a
+    range as long. A range of thousands of years has 80 rows
+    at most. Rows are many more than Spark's estimate of them, so neither side is broadcast. One that ends before it starts is taken as the days between; the rule of ranges_overlap() decides.
     A missing end is the start; a missing start pairs with nothing. `on` names further columns that must be equal.
     """
 
+    def days(side: str) -> tuple[Column, Column]:
+        a, b = _day(F.col(f"{side}_{start}")), _day(F.coalesce(f"{side}_{end}", f"{side}_{start}"))
+        return F.least(a, b), F.greatest(a, b)
+
     def ranges(df: DataFrame, side: str) -> DataFrame:
         out = df.select(*[F.col(c).alias(f"{side}_{c}") for c in df.columns]).filter(F.col(f"{side}_{start}").isNotNull())
-        a, b = _day(F.col(f"{side}_{start}")), _day(F.coalesce(f"{side}_{end}", f"{side}_{start}"))
-        return out.withColumns({f"{side}_a_": F.least(a, b), f"{side}_b_": F.greatest(a, b)})
+        a, b = days(side)
+        return out.withColumns({f"{side}_a_": a, f"{side}_b_": b})
 
-    def wide(df: DataFrame, side: str) -> DataFrame:
+    def used(df: DataFrame, side: str) -> DataFrame:
+        """The wide nodes that df is made up of, and -1 - level for each lower level that its longest range allows."""
         a, b = f"{side}_a_", f"{side}_b_"
         long = df.select(a, b).filter(F.col(b) - F.col(a) >= (1 << WIDE) - 1)
-        return _nodes(long, a, b, WIDE).filter("whole_").select(F.col("k_").alias("wide_")).distinct()
+        wide = _nodes(long, a, b, WIDE).filter("whole_").select(F.col("k_").alias("used_")).distinct()
+        low = F.filter(F.sequence(F.lit(0), F.lit(WIDE - 1)), lambda x: F.call_function("shiftleft", F.lit(1), x) <= F.col("units_"))
+        return wide.union(df.agg(F.max(F.col(b) - F.col(a) + 1).alias("units_")).select(F.explode(low).alias("x")).select(-1 - F.col("x")))
 
     def spread(df: DataFrame, side: str, others: DataFrame) -> DataFrame:
-        out = _nodes(df, f"{side}_a_", f"{side}_b_")
-        out = out.join(F.broadcast(others), F.when(~F.col("whole_") & (F.col("level_") >= WIDE), F.col("k_")) == F.col("wide_"), "left")
-        return out.filter(F.col("whole_") | (F.col("level_") < WIDE) | F.col("wide_").isNotNull()).drop("wide_")
+        out = _nodes(df, f"{side}_a_", f"{side}_b_").drop(f"{side}_a_", f"{side}_b_")
+        level = _level(F.col("k_"))
+        asked = F.when(~F.col("whole_"), F.when(level >= WIDE, F.col("k_")).otherwise(-1 - level))
+        return out.join(F.broadcast(others), asked == F.col("used_"), "left").filter(F.col("whole_") | F.col("used_").isNotNull()).drop("used_")
 
     l, r = ranges(left, "l"), ranges(right, "r")
-    l, r = spread(l, "l", wide(r, "r")), spread(r, "r", wide(l, "l"))
+    l, r = spread(l, "l", used(r, "r")), spread(r, "r", used(l, "l"))
     keys = F.col("l.k_") == F.col("r.k_")
     for c in on or []:
         keys = keys & (F.col(f"l_{c}") == F.col(f"r_{c}"))
     rule = ranges_overlap(F.col(f"l_{start}"), F.col(f"l_{end}"), F.col(f"r_{start}"), F.col(f"r_{end}"))
-    meeting = F.call_function("shiftright", F.greatest("l_a_", "r_a_") + (1 << LEVELS), F.col("l.level_")) == F.col("l.k_")
+    level = _level(F.col("l.k_"))
+    meeting = F.call_function("shiftright", F.greatest(days("l")[0], days("r")[0]) + (1 << LEVELS), level) == F.call_function("shiftright", "l.k_", F.lit(LEVEL_BITS))
     once = (F.col("l.whole_") | F.col("r.whole_")) & meeting
-    out = l.alias("l").join(r.alias("r"), keys & once & rule & (condition if condition is not None else F.lit(True)))
-    return out.drop("k_", "level_", "whole_", "l_a_", "l_b_", "r_a_", "r_b_")
+    out = l.alias("l").hint("merge").join(r.alias("r").hint("merge"), keys & once & rule & (condition if condition is not None else F.lit(True)))
+    return out.drop("k_", "whole_")
 
 
 def alike_names(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -117,9 +134,9 @@ def alike_names(left: DataFrame, right: DataFrame) -> DataFrame:
         asked = short.select(n.alias("short"), F.explode(F.when(F.length(n) >= 3, gram(n, 3)).otherwise(F.array(n))).alias("g"))
         # A gram that no long name holds rules its name out.
         best = asked.join(rare, "g", "left").groupBy("short").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "g")).alias("m")).filter("m.n > 0")
-        return best.select("short", F.col("m.g").alias("g")).join(held, "g").filter(F.contains("long", "short")).select("short", "long")
+        return best.select("short", F.col("m.g").alias("g")).join(held.hint("merge"), "g").filter(F.contains("long", "short")).select("short", "long")
 
-    shared = by_words(left).withColumnRenamed("name", "l").join(by_words(right).withColumnRenamed("name", "r"), "key").select("l", "r")
+    shared = by_words(left).withColumnRenamed("name", "l").hint("merge").join(by_words(right).withColumnRenamed("name", "r").hint("merge"), "key").select("l", "r")
     pairs = shared.union(inside(left, right).toDF("l", "r")).union(inside(right, left).select(F.col("long").alias("l"), F.col("short").alias("r")))
     return pairs.distinct().filter(alike(F.col("l"), F.col("r")))
 
