@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.matching import alike, ranges_overlap, states_match
-from ..functions.text import hash_distance
 from .graph import cut
 
 #: Days are numbered from 0001-01-01 in units of 8, of which there are 2^19; days beyond count as the first or last.
@@ -21,6 +20,8 @@ COMMON = 64
 CROWDED = 256
 #: Bits of a node's key that hold its level.
 LEVEL_BITS = 5
+#: Distinct hashes of a tile, on average; tasks that tiles are dealt to at most.
+TILE, TILE_TASKS = 2048, 4096
 
 
 def _nodes(df: DataFrame, a: str, b: str, least: int = 0) -> DataFrame:
@@ -200,27 +201,37 @@ def event_classes(records: DataFrame, *, id: str = "id") -> tuple[DataFrame, Dat
 def hash_join(left: DataFrame, right: DataFrame, *, distance: int = 10, column: str = "phash", condition: Column | None = None) -> DataFrame:
     """Pairs (columns of left as l_*, of right as r_*) of 16-digit hashes that differ in `distance` bits at most.
 
-    Hashes are cut into blocks so that some block of a pair differs in two bits at most; the left side goes to all
-    values that near. Pairs meet in the first such block only. Null hashes pair with nothing. Beyond distance 47 the
-    blocks are single digits and selectivity ends; use it for small inputs only.
+    Hashes are cut into four blocks, so that some block of a pair differs in two bits at most; the left side goes to all
+    values that near, and pairs meet in the first such block only. Beyond distance 11 blocks are no filter, as most
+    of their values are near: then tiles of TILE hashes of each side meet, every pair of tiles in one task. That job
+    is quadratic, but no task holds more than tiles. Neither side is broadcast, as its rows are many more than Spark's
+    estimate of them. Hashes are compared as numbers, and null or shorter ones pair with nothing.
     """
-    blocks = next((b for b in (4, 8, 16) if distance // b <= 2), 16)
-    radius, bits = distance // blocks, 64 // blocks
-    width = bits // 4
-    value = lambda h, k: F.conv(F.substring(h, 1 + width * k, width), 16, 10).cast("int")
-    masks = sorted(sum(1 << b for b in c) for n in range(min(radius, bits) + 1) for c in combinations(range(bits), n))
-    rows = {s: df.select(*[F.col(c).alias(f"{s}_{c}") for c in df.columns]).filter(F.col(f"{s}_{column}").isNotNull()) for s, df in (("l", left), ("r", right))}
+    half = lambda h, at: F.conv(F.substring(h, at, 8), 16, 10).cast("long")
+    number = lambda h: F.call_function("shiftleft", half(h, 1), F.lit(32)).bitwiseOR(half(h, 9))
+    rows = {s: df.select(*[F.col(c).alias(f"{s}_{c}") for c in df.columns], number(F.col(column)).alias(f"{s}_v_")).filter(F.col(f"{s}_v_").isNotNull()) for s, df in (("l", left), ("r", right))}
     # Hashes are matched once each, however many rows have them, and without the rows' other columns.
-    l, r = (rows[s].groupBy(F.col(f"{s}_{column}").alias(s)).agg(F.lit(1)).select(s) for s in ("l", "r"))
-    blocked = lambda h: F.array(*[F.struct(F.lit(k).alias("k"), value(F.col(h), k).alias("v")) for k in range(blocks)])
-    l = l.withColumn("b_", F.explode(blocked("l"))).withColumn("m_", F.explode(F.array(*map(F.lit, masks)))).select("l", F.col("b_.k").alias("k_"), F.col("b_.v").bitwiseXOR(F.col("m_")).alias("v_"))
-    r = r.withColumn("b_", F.explode(blocked("r"))).select("r", F.col("b_.k").alias("k_"), F.col("b_.v").alias("v_"))
-    first = F.lit(True)
+    l, r = (rows[s].select(F.col(f"{s}_v_").alias(s)).distinct() for s in ("l", "r"))
     a, b = F.col("l"), F.col("r")
-    for k in range(blocks - 1):
-        first = first & ((F.col("x.k_") <= k) | (F.bit_count(value(a, k).bitwiseXOR(value(b, k))) > radius))
-    near = l.alias("x").join(r.alias("y"), (F.col("x.k_") == F.col("y.k_")) & (F.col("x.v_") == F.col("y.v_")) & (hash_distance(a, b) <= distance) & first).select("l", "r")
-    out = near.join(rows["l"], F.col("l") == F.col(f"l_{column}")).join(rows["r"], F.col("r") == F.col(f"r_{column}")).drop("l", "r")
+    near = F.bit_count(a.bitwiseXOR(b)) <= distance
+    if distance // 4 <= 2:
+        value = lambda h, k: F.call_function("shiftright", h, F.lit(48 - 16 * k)).bitwiseAND(F.lit(0xFFFF))
+        masks = sorted(sum(1 << b for b in c) for n in range(distance // 4 + 1) for c in combinations(range(16), n))
+        blocked = lambda h: F.array(*[F.struct(F.lit(k).alias("k"), value(F.col(h), k).alias("v")) for k in range(4)])
+        l = l.withColumn("b_", F.explode(blocked("l"))).withColumn("m_", F.explode(F.array(*map(F.lit, masks)))).select("l", F.col("b_.k").alias("k_"), F.col("b_.v").bitwiseXOR(F.col("m_")).alias("v_"))
+        r = r.withColumn("b_", F.explode(blocked("r"))).select("r", F.col("b_.k").alias("k_"), F.col("b_.v").alias("v_"))
+        for k in range(3):
+            near = near & ((F.col("k_") <= k) | (F.bit_count(value(a, k).bitwiseXOR(value(b, k))) > distance // 4))
+        met = l.hint("merge").join(r.hint("merge"), ["k_", "v_"])
+    else:
+        l, r = cut(l), cut(r)
+        tiles = [max(1, -(-df.count() // TILE)) for df in (l, r)]
+        tasks = min(tiles[0] * tiles[1], TILE_TASKS)
+        of = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+        each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+        l, r = l.select("l", of("l", tiles[0]).alias("i_"), each(tiles[1]).alias("j_")), r.select("r", each(tiles[0]).alias("i_"), of("r", tiles[1]).alias("j_"))
+        met = l.repartition(tasks, "i_", "j_").hint("merge").join(r.repartition(tasks, "i_", "j_").hint("merge"), ["i_", "j_"])
+    out = met.filter(near).select("l", "r").join(rows["l"], a == F.col("l_v_")).join(rows["r"], b == F.col("r_v_")).drop("l", "r", "l_v_", "r_v_")
     return out if condition is None else out.filter(condition)
 
 

@@ -19,3 +19,24 @@ def test_spread_ranges_are_not_broadcast(spark):
     out = J.overlap_join(df, df)
     assert "SortMergeJoin [k_#" in plan(out)
     assert out.count() == 50 * 50
+
+
+def test_distant_hashes_meet_in_tiles(spark, monkeypatch):
+    monkeypatch.setattr(J, "TILE", 16)
+    rng = random.Random(7)
+    base = [rng.getrandbits(64) for _ in range(15)]
+    hashes = base + [b ^ sum(1 << x for x in rng.sample(range(64), rng.randrange(30))) for b in base for _ in range(5)]
+    rows = [(n, f"{h:016x}") for n, h in enumerate(hashes)] + [(900, f"{hashes[0]:016X}"), (999, None)]
+    df = spark.createDataFrame(rows, "k int, phash string")
+    out = J.hash_join(df, df, distance=20)
+    assert "SortMergeJoin [i_#" in plan(out)
+    got = sorted((r["l_k"], r["r_k"]) for r in out.collect())
+    assert got == sorted((a, b) for a, x in rows[:-1] for b, y in rows[:-1] if (int(x, 16) ^ int(y, 16)).bit_count() <= 20)
+
+
+def test_near_hashes_are_not_broadcast(spark):
+    rows = [(n, f"{n * 0x9E3779B97F4A7C15 % (1 << 64):016x}") for n in range(30)]
+    df = spark.createDataFrame(rows, "k int, phash string")
+    out = J.hash_join(df, df, distance=10)
+    assert "SortMergeJoin [k_#" in plan(out)
+    assert {(a, a) for a, _ in rows} <= {(r["l_k"], r["r_k"]) for r in out.collect()}
