@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.text import canonical_track, iso_date, let, normal_title, normal_track, or_else, track_slug
-from .graph import components, cut
+from .graph import components, discard, saved
 from .joins import event_classes, hash_join
 
 _ALIASES = {alias.lower(): canonical for canonical, names in fixed.TRACK_ALIASES for alias in names}
@@ -326,7 +326,7 @@ def _waves(rows: DataFrame, most: int) -> DataFrame:
 
     Ranks are local ranks in ranges of the sorted rows plus the counts of earlier ranges, so that no task ranks a component.
     """
-    ranged = cut(rows.select("component", "seq").repartitionByRange(F.col("component"), F.col("seq")).withColumn("part", F.spark_partition_id()))
+    ranged = saved(rows.select("component", "seq").repartitionByRange(F.col("component"), F.col("seq")).withColumn("part", F.spark_partition_id()))
     before = ranged.groupBy("component", "part").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(W.partitionBy("component").orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
     local = F.row_number().over(W.partitionBy("component", "part").orderBy("seq"))
     ranks = ranged.withColumn("r", local).join(before.select("component", "part", "before"), ["component", "part"])
@@ -343,36 +343,36 @@ def upsert(rows: DataFrame, *, distance: int = fixed.HASH_DISTANCE, wave: int =
     inputs do. Null names, titles or dates match nothing, nor does a hash that is not 16 hexadecimal digits; an input
     with a payload that is no record has the outcome `error`.
     """
-    rows = cut(rows)
+    rows = saved(rows)
     raw = rows.withColumn("v", F.from_json("payload", "title string, track struct<name:string,state:string>, dates struct<start:string,end:string>, flyers array<struct<phash:string>>"))
     start = iso_date(F.col("v.dates.start"))
     ok = raw.filter("status = 'ok'").select(F.col("seq").alias("id"), normal_track(canonical_track(F.col("v.track.name"))).alias("track_key"), F.col("v.track.state").alias("state"), normal_title(F.col("v.title")).alias("title_key"), start.alias("start"), F.coalesce(iso_date(F.col("v.dates.end")), start).alias("end"))
-    members, pairs = map(cut, event_classes(ok))
+    members, pairs = map(saved, event_classes(ok))
     own = F.transform(F.filter(F.coalesce("v.flyers", F.array()), lambda f: (F.col("kind") == "event") & f["phash"].isNotNull()), lambda f: f["phash"])
     hashes = raw.select("seq", F.explode(F.array_distinct(F.concat(F.array("phash"), F.coalesce(own, F.array().cast("array<string>"))))).alias("h")).filter("h rlike '^[0-9a-fA-F]{16}$'").select("seq", F.lower("h").alias("h"))
-    hashes = cut(hashes)
-    distinct = cut(hashes.groupBy("h").agg(F.min("seq").alias("first")))
-    near = cut(hash_join(distinct.select(F.col("h").alias("phash"), "first"), distinct.select(F.col("h").alias("phash"), "first"), distance=distance, condition=F.col("l_first") <= F.col("r_first")))
+    hashes = saved(hashes)
+    distinct = saved(hashes.groupBy("h").agg(F.min("seq").alias("first")))
+    near = saved(hash_join(distinct.select(F.col("h").alias("phash"), "first"), distinct.select(F.col("h").alias("phash"), "first"), distance=distance, condition=F.col("l_first") <= F.col("r_first")))
     links = members.select(F.col("cid").alias("a"), F.col("id").alias("b")).union(pairs)
     links = links.union(hashes.join(distinct, "h").select("first", "seq")).union(near.select("l_first", "r_first"))
     labels = components(rows.select(F.col("seq").alias("id")), links.filter("a <> b"))
     joined = rows.join(labels.withColumnRenamed("id", "seq"), "seq").withColumn("last", F.lit(None).cast("long"))
-    parts = cut(_waves(joined, wave))
-    done = cut(_wave(parts.filter("wave = 0").drop("wave"), distance))
+    parts = saved(_waves(joined, wave))
+    done = saved(_wave(parts.filter("wave = 0").drop("wave"), distance))
     count = parts.agg(F.max("wave")).first()[0] or 0
     if not count:
         return done.select("seq", "outcome", "payload")
 
-    either = cut(pairs.union(pairs.select("b", "a")).union(members.select("cid", "cid").distinct().toDF("a", "b")).toDF("cid", "like"))
-    alike_hashes = cut(near.select(F.col("l_phash").alias("h"), F.col("r_phash").alias("seen")).union(near.select("r_phash", "l_phash")).distinct())
+    either = saved(pairs.union(pairs.select("b", "a")).union(members.select("cid", "cid").distinct().toDF("a", "b")).toDF("cid", "like"))
+    alike_hashes = saved(near.select(F.col("l_phash").alias("h"), F.col("r_phash").alias("seen")).union(near.select("r_phash", "l_phash")).distinct())
     applied = lambda out: out.filter("outcome IN ('new', 'merged')").select("seq")
     columns = joined.columns
     large = parts.filter("wave = 1").select("component").distinct()
-    place = parts.select("seq", "component").join(large, "component")
-    state = cut(done.filter("payload IS NOT NULL").select("seq", "payload", "last").join(place, "seq"))
-    outcomes = [done.filter("outcome IS NOT NULL").select("seq", "outcome")]
+    place = saved(parts.select("seq", "component").join(large, "component"))
+    state = saved(done.filter("payload IS NOT NULL").select("seq", "payload", "last").join(place, "seq"))
+    outs = [done]
     events = parts.filter("kind = 'event'").select("seq", "wave")
-    seen = cut(hashes.join(applied(done).union(events.filter("wave = 0").select("seq")), "seq").select("h").distinct())
+    seen = saved(hashes.join(applied(done).union(events.filter("wave = 0").select("seq")), "seq").select("h").distinct())
     for k in range(1, count + 1):
         inputs = parts.filter(F.col("wave") == k).drop("wave")
         of = inputs.select("seq", "component").join(members.withColumnRenamed("id", "seq"), "seq").select("component", "cid").distinct()
@@ -383,14 +383,15 @@ def upsert(rows: DataFrame, *, distance: int = fixed.HASH_DISTANCE, wave: int =
         records = needed.select(*[F.lit("record").alias(c) if c == "kind" else F.col(c) if c in ("seq", "component", "payload", "last") else blank[c].alias(c) for c in columns])
         heard = inputs.select("seq", "component").join(hashes, "seq").join(alike_hashes, "h").select("component", F.col("seen").alias("h")).distinct().join(seen, "h", "left_semi")
         told = heard.select(*[F.lit("hash").alias(c) if c == "kind" else F.col("h").alias(c) if c == "phash" else F.col(c) if c == "component" else blank[c].alias(c) for c in columns])
-        out = cut(_wave(inputs.select(*columns).unionByName(records).unionByName(told), distance))
-        outcomes.append(out.filter("outcome IS NOT NULL").select("seq", "outcome"))
+        out = saved(_wave(inputs.select(*columns).unionByName(records).unionByName(told), distance))
+        outs.append(out)
         changed = out.filter("payload IS NOT NULL").select("seq", "payload", "last").join(place, "seq")
-        state = cut(state.join(changed.select("seq"), "seq", "left_anti").unionByName(changed))
-        seen = cut(seen.union(hashes.join(applied(out).union(events.filter(F.col("wave") == k).select("seq")), "seq").select("h")).distinct())
-    told = outcomes[0]
-    for more in outcomes[1:]:
-        told = told.union(more)
+        before = state, seen
+        state = saved(state.join(changed.select("seq"), "seq", "left_anti").unionByName(changed))
+        seen = saved(seen.union(hashes.join(applied(out).union(events.filter(F.col("wave") == k).select("seq")), "seq").select("h")).distinct())
+        discard(*before)
+    # One scan of all waves' files, however many they are.
+    told = rows.sparkSession.read.schema(done.schema).parquet(*[f for out in outs for f in out.inputFiles()]).filter("outcome IS NOT NULL").select("seq", "outcome")
     small = done.filter("payload IS NOT NULL").join(place.select("seq"), "seq", "left_anti").select("seq", "payload")
     payloads = small.unionByName(state.select("seq", "payload"))
     return rows.select("seq").join(told, "seq", "left").join(payloads, "seq", "left").filter("outcome IS NOT NULL OR payload IS NOT NULL").select("seq", "outcome", "payload")

@@ -8,6 +8,7 @@ from datetime import date, timedelta
 from pyspark.sql import functions as F
 
 from eventloom.operators import joins as J
+from eventloom.operators.graph import components
 
 
 def plan(df) -> str:
@@ -40,3 +41,10 @@ def test_near_hashes_are_not_broadcast(spark):
     out = J.hash_join(df, df, distance=10)
     assert "SortMergeJoin [k_#" in plan(out)
     assert {(a, a) for a, _ in rows} <= {(r["l_k"], r["r_k"]) for r in out.collect()}
+
+
+def test_estimates_stay_small_over_rounds(spark):
+    chain = spark.range(1, 60).select((F.col("id") * 37 % 60).alias("a"), ((F.col("id") + 1) * 37 % 60).alias("b")).filter("b <> 0")
+    labels = components(spark.range(60).toDF("id"), chain)
+    assert int(str(labels._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < 1 << 30
+    assert {r["component"] for r in labels.filter("id > 0").collect()} == {1}
