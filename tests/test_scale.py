@@ -48,3 +48,15 @@ def test_estimates_stay_small_over_rounds(spark):
     labels = components(spark.range(60).toDF("id"), chain)
     assert int(str(labels._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < 1 << 30
     assert {r["component"] for r in labels.filter("id > 0").collect()} == {1}
+
+
+def test_short_and_long_ranges_overlap_without_their_units_in_the_shuffle(spark):
+    rng, base = random.Random(3), date(2020, 1, 1)
+    rows = [(n, s := base + timedelta(rng.randrange(900)), s + timedelta(rng.choice([-9, 0, 3, 30, 100, 700]))) for n in range(60)]
+    df = spark.createDataFrame(rows, "k int, start date, end date")
+    for left, right in ((df.filter("datediff(end, start) <= 3"), df), (df, df.filter("datediff(end, start) <= 30"))):
+        out = J.overlap_join(left, right)
+        assert not any("l_a_#" in line for line in plan(out).splitlines() if "SortMergeJoin" in line)
+        sides = [{r["k"]: (r["start"], r["end"]) for r in x.collect()} for x in (left, right)]
+        want = sorted((a, b) for a, (s, e) in sides[0].items() for b, (t, f) in sides[1].items() if s <= f and t <= e)
+        assert sorted((r["l_k"], r["r_k"]) for r in out.collect()) == want
