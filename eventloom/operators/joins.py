@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.matching import alike, ranges_overlap, states_match
-from .graph import cut
+from .graph import cut, saved
 
 #: Days are numbered from 0001-01-01 in units of 8, of which there are 2^19; days beyond count as the first or last.
 LEVELS, UNIT, DAY_ONE = 19, 8, 719_162
@@ -20,15 +20,17 @@ COMMON = 64
 CROWDED = 256
 #: Bits of a node's key that hold its level.
 LEVEL_BITS = 5
+#: Levels of nodes of whole days, numbered from 0001-01-01; 2^22 days reach beyond the year 9999.
+DAY_LEVELS = 22
 #: Distinct hashes of a tile, on average; tasks that tiles are dealt to at most.
 TILE, TILE_TASKS = 2048, 4096
 
 
-def _nodes(df: DataFrame, a: str, b: str, least: int = 0) -> DataFrame:
-    """df with k_, whole_: a row for each dyadic node of level `least` or more that the units a..b are made up of
+def _nodes(df: DataFrame, a: str, b: str, least: int = 0, most: int | None = None, levels: int = LEVELS) -> DataFrame:
+    """df with level_, k_, whole_: a row for each dyadic node of level `least` to `most` that the units a..b are made up of
     (whole_), or that reaches over one of their ends.
 
-    Node x of a level holds the units x * 2^level and on; k_ numbers all nodes, with the level in its lowest bits. A range is made up of two nodes a level
+    Node x of a level holds the units x * 2^level and on; k_ numbers all nodes. A range is made up of two nodes a level
     at most, and two a level reach over its ends, so a range has at most 4 * 20 rows whatever its length. A level is a
     row before its nodes are, so that all of this is compiled arithmetic.
     """
@@ -37,8 +39,8 @@ def _nodes(df: DataFrame, a: str, b: str, least: int = 0) -> DataFrame:
     first, last = right(F.col(a) + F.call_function("shiftleft", F.lit(1), level) - 1), right(F.col(b) + 1) - 1
     at_a, at_b = right(F.col(a)), right(F.col(b))
     outside = lambda x: (x < F.col("first_")) | (x > F.col("last_"))
-    base = F.call_function("shiftleft", F.lit(1), F.lit(LEVELS) - level)
-    rows = df.withColumn("level_", F.explode(F.sequence(F.lit(least), F.lit(LEVELS)))).withColumns({"first_": first, "last_": last})
+    base = F.call_function("shiftleft", F.lit(1), F.lit(levels) - level)
+    rows = df.withColumn("level_", F.explode(F.sequence(F.lit(least), F.lit(levels if most is None else most)))).withColumns({"first_": first, "last_": last})
     some = F.col("first_") <= F.col("last_")
     code = lambda x, whole: (base + x) * 2 + int(whole)
     codes = F.array(
@@ -46,8 +48,13 @@ def _nodes(df: DataFrame, a: str, b: str, least: int = 0) -> DataFrame:
         F.when(outside(at_a), code(at_a, False)), F.when((at_a != at_b) & outside(at_b), code(at_b, False)),
     )
     rows = rows.withColumn("code_", F.explode(codes)).filter("code_ IS NOT NULL")
-    k = F.call_function("shiftleft", F.call_function("shiftright", "code_", F.lit(1)), F.lit(LEVEL_BITS)) + level
-    return rows.select(*df.columns, k.alias("k_"), (F.col("code_") % 2 == 1).alias("whole_"))
+    return rows.select(*df.columns, "level_", F.call_function("shiftright", "code_", F.lit(1)).alias("k_"), (F.col("code_") % 2 == 1).alias("whole_"))
+
+
+def _keyed(df: DataFrame, a: str, b: str, least: int = 0, most: int | None = None, levels: int = LEVELS) -> DataFrame:
+    """_nodes() with the level in the lowest bits of k_."""
+    k = F.call_function("shiftleft", "k_", F.lit(LEVEL_BITS)) + F.col("level_")
+    return _nodes(df, a, b, least, most, levels).select(*df.columns, k.alias("k_"), "whole_")
 
 
 def _level(k: Column) -> Column:
@@ -84,12 +91,12 @@ def overlap_join(left: DataFrame, right: DataFrame, condition: Column | None = N
         """The wide nodes that df is made up of, and -1 - level for each lower level that its longest range allows."""
         a, b = f"{side}_a_", f"{side}_b_"
         long = df.select(a, b).filter(F.col(b) - F.col(a) >= (1 << WIDE) - 1)
-        wide = _nodes(long, a, b, WIDE).filter("whole_").select(F.col("k_").alias("used_")).distinct()
+        wide = _keyed(long, a, b, WIDE).filter("whole_").select(F.col("k_").alias("used_")).distinct()
         low = F.filter(F.sequence(F.lit(0), F.lit(WIDE - 1)), lambda x: F.call_function("shiftleft", F.lit(1), x) <= F.col("units_"))
         return wide.union(df.agg(F.max(F.col(b) - F.col(a) + 1).alias("units_")).select(F.explode(low).alias("x")).select(-1 - F.col("x")))
 
     def spread(df: DataFrame, side: str, others: DataFrame) -> DataFrame:
-        out = _nodes(df, f"{side}_a_", f"{side}_b_").drop(f"{side}_a_", f"{side}_b_")
+        out = _keyed(df, f"{side}_a_", f"{side}_b_").drop(f"{side}_a_", f"{side}_b_")
         level = _level(F.col("k_"))
         asked = F.when(~F.col("whole_"), F.when(level >= WIDE, F.col("k_")).otherwise(-1 - level))
         return out.join(F.broadcast(others), asked == F.col("used_"), "left").filter(F.col("whole_") | F.col("used_").isNotNull()).drop("used_")
@@ -152,6 +159,29 @@ def classes(records: DataFrame, value: Column, name: str) -> DataFrame:
     return same.filter("track_key <> '' AND title_key <> '' AND start IS NOT NULL").groupBy(*RECORD).agg(F.min(name).alias(name))
 
 
+def _alike_of(new: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of two sides' classes(): pairs (l, r) of tracks that are alike, those of titles, and the known tracks that have more than CROWDED classes in a year."""
+    names = lambda df, c: df.select(F.col(c).alias("name")).distinct()
+    tracks = saved(alike_names(names(new, "track_key"), names(known, "track_key")))
+    titles = saved(alike_names(names(new, "title_key"), names(known, "title_key")))
+    crowded = known.groupBy("track_key", F.year("start").alias("y_")).agg(F.count("*").alias("n_")).filter(F.col("n_") > CROWDED).select("track_key").distinct()
+    return tracks, titles, saved(crowded)
+
+
+def _calm(new: DataFrame, known: DataFrame, tracks: DataFrame, crowded: DataFrame, rest: Column) -> DataFrame:
+    """Pairs of classes whose known track is not crowded."""
+    new = new.join(tracks.toDF("track_key", "track_"), "track_key").join(crowded.toDF("track_"), "track_", "left_anti")
+    known = known.join(crowded, "track_key", "left_anti").withColumn("track_", F.col("track_key"))
+    return overlap_join(new, known, rest & alike(F.col("l_title_key"), F.col("r_title_key")), on=["track_"]).drop("l_track_", "r_track_")
+
+
+def _busy(new: DataFrame, known: DataFrame, tracks: DataFrame, titles: DataFrame, crowded: DataFrame, rest: Column) -> DataFrame:
+    """Pairs of classes whose known track is crowded; the title is in the key, too."""
+    new = new.join(tracks.toDF("track_key", "track_"), "track_key").join(crowded.toDF("track_"), "track_", "left_semi").join(titles.toDF("title_key", "title_"), "title_key")
+    known = known.join(crowded, "track_key", "left_semi").withColumns({"track_": F.col("track_key"), "title_": F.col("title_key")})
+    return overlap_join(new, known, rest, on=["track_", "title_"]).drop("l_track_", "r_track_", "l_title_", "r_title_")
+
+
 def same_event_classes(new: DataFrame, known: DataFrame, condition: Column | None = None) -> DataFrame:
     """Pairs of classes() (columns of new as l_*, of known as r_*) that are one event: tracks and titles alike, no two states, dates that overlap.
 
@@ -159,19 +189,50 @@ def same_event_classes(new: DataFrame, known: DataFrame, condition: Column | Non
     the classes of such a track at the nodes of their dates. Where a track has more than CROWDED classes in a
     year, the title is in the key, too, so that all known classes of a key match but for their dates' ends and states.
     """
-    names = lambda df, c: df.select(F.col(c).alias("name")).distinct()
-    tracks = cut(alike_names(names(new, "track_key"), names(known, "track_key")))
-    titles = cut(alike_names(names(new, "title_key"), names(known, "title_key")))
-    crowded = known.groupBy("track_key", F.year("start").alias("y_")).agg(F.count("*").alias("n_")).filter(F.col("n_") > CROWDED).select("track_key").distinct()
-    new = new.join(tracks.toDF("track_key", "track_"), "track_key")
-    calm_new, calm_known = (df.join(crowded.withColumnRenamed("track_key", c), c, "left_anti") for df, c in ((new, "track_"), (known.withColumn("track_", F.col("track_key")), "track_")))
+    tracks, titles, crowded = _alike_of(new, known)
     rest = states_match(F.col("l_state"), F.col("r_state"))
     rest = rest if condition is None else rest & condition
-    calm = overlap_join(calm_new, calm_known, rest & alike(F.col("l_title_key"), F.col("r_title_key")), on=["track_"])
-    busy_new = new.join(crowded.withColumnRenamed("track_key", "track_"), "track_", "left_semi").join(titles.toDF("title_key", "title_"), "title_key")
-    busy_known = known.join(crowded, "track_key", "left_semi").withColumns({"track_": F.col("track_key"), "title_": F.col("title_key")})
-    busy = overlap_join(busy_new, busy_known, rest, on=["track_", "title_"])
-    return calm.drop("l_track_", "r_track_").unionByName(busy.drop("l_track_", "r_track_", "l_title_", "r_title_"))
+    return _calm(new, known, tracks, crowded, rest).unionByName(_busy(new, known, tracks, titles, crowded, rest))
+
+
+def _same_sets(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(l, rep) and (rep, r): names l that are like the same names r have one rep, told by number and two 64-bit sums of hashes."""
+    marks = pairs.groupBy("l").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("r")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "r")).alias("y"))
+    reps = saved(marks.join(marks.groupBy("n", "x", "y").agg(F.min("l").alias("rep")), ["n", "x", "y"]).select("l", "rep"))
+    return reps, saved(pairs.join(reps.filter("l = rep"), "l").select("rep", "r"))
+
+
+def _least_busy(new: DataFrame, known: DataFrame, tracks: DataFrame, titles: DataFrame, crowded: DataFrame) -> DataFrame:
+    """RECORD, match: for classes of new the least ord_ of the classes of known on crowded tracks that are the same event.
+
+    No pairs are made: for each track, title, state and dyadic node of days, of the known classes that hold it whole, and of
+    those that reach into it, only the least ord_ is kept. Two ranges overlap if a node of one is a node of the other, or holds
+    one of its nodes. Names that are like the same names are one. Ranges that end before they start, or that leave
+    the numbered days, are joined by _busy().
+    """
+    odd = (F.col("end") < F.col("start")) | (F.unix_date("start") < -DAY_ONE) | (F.unix_date("end") >= (1 << DAY_LEVELS) - DAY_ONE)
+    number = lambda c: F.unix_date(c) + F.lit(DAY_ONE)
+    days = lambda df: df.withColumns({"a_": number("start"), "b_": number("end")})
+    (track_of, track_to), (title_of, title_to) = _same_sets(tracks.join(crowded.toDF("r"), "r", "left_semi")), _same_sets(titles)
+    l = new.filter(~odd).join(track_of.toDF("track_key", "track_"), "track_key").join(title_of.toDF("title_key", "title_"), "title_key")
+    l = saved(days(l.withColumn("c_", F.monotonically_increasing_id())))
+    r = saved(days(known.filter(~odd).join(crowded, "track_key", "left_semi")).select("track_key", "title_key", "state", "a_", "b_", "ord_"))
+    top = [max(0, (df.agg(F.max(F.col("b_") - F.col("a_") + 1).alias("n")).first()["n"] or 1).bit_length() - 1) for df in (l, r)]
+    level = _level(F.col("k_"))
+    spread = lambda df, other: _keyed(df, "a_", "b_", 0, max(top), DAY_LEVELS).drop("a_", "b_").filter(F.col("whole_") | (level <= other))
+    cells = spread(r, top[0]).groupBy("track_key", "title_key", "state", "k_", "whole_").agg(F.min("ord_").alias("ord_"))
+    cells = cells.join(track_to.toDF("track_", "track_key"), "track_key").join(title_to.toDF("title_", "title_key"), "title_key")
+    cells = cells.groupBy("track_", "title_", "state", "k_", "whole_").agg(F.min("ord_").alias("ord_"))
+    asked = spread(l.select("c_", "track_", "title_", "state", "a_", "b_"), top[1])
+    x, y = asked.alias("x").hint("merge"), cells.alias("y").hint("merge")
+    same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("track_", "title_", "k_")]
+    met = x.join(y, same[0] & same[1] & same[2] & (F.col("x.whole_") | F.col("y.whole_")) & states_match(F.col("x.state"), F.col("y.state")))
+    found = l.select("c_", *RECORD).join(met.groupBy("c_").agg(F.min("ord_").alias("match")), "c_").select(*RECORD, "match")
+    if new.filter(odd).isEmpty() and known.filter(odd).isEmpty():
+        return found
+    rest = states_match(F.col("l_state"), F.col("r_state"))
+    pairs = _busy(new.filter(odd), known, tracks, titles, crowded, rest).unionByName(_busy(new.filter(~odd), known.filter(odd), tracks, titles, crowded, rest))
+    return found.union(pairs.select(*[f"l_{c}" for c in RECORD], "r_ord_"))
 
 
 def find_same_event(new: DataFrame, known: DataFrame, *, id: str = "id", order: str = "ord") -> DataFrame:
@@ -183,8 +244,10 @@ def find_same_event(new: DataFrame, known: DataFrame, *, id: str = "id", order:
     """
     end = F.coalesce("end", "start")
     of = new.select(F.col(id).alias("id_"), "track_key", F.upper(F.coalesce("state", F.lit(""))).alias("state"), "title_key", "start", end.alias("end"))
-    pairs = same_event_classes(classes(new, F.lit(0), "none_"), classes(known, F.col(order), "ord_"))
-    best = pairs.groupBy(*[f"l_{c}" for c in RECORD]).agg(F.min("r_ord_").alias("match")).toDF(*RECORD, "match")
+    new, known = saved(classes(new, F.lit(0), "none_").select(*RECORD)), saved(classes(known, F.col(order), "ord_"))
+    tracks, titles, crowded = _alike_of(new, known)
+    calm = _calm(new, known, tracks, crowded, states_match(F.col("l_state"), F.col("r_state"))).select(*[f"l_{c}" for c in RECORD], "r_ord_")
+    best = calm.union(_least_busy(new, known, tracks, titles, crowded)).toDF(*RECORD, "match").groupBy(*RECORD).agg(F.min("match").alias("match"))
     return of.join(best, RECORD).select(F.col("id_").alias(id), "match").distinct()
 
 
