@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.matching import alike, ranges_overlap, states_match
 from .graph import cut, saved
+from .lookup import sized
 
 #: Days are numbered from 0001-01-01 in units of 8, of which there are 2^19; days beyond count as the first or last.
 LEVELS, UNIT, DAY_ONE = 19, 8, 719_162
@@ -22,6 +23,8 @@ CROWDED = 256
 LEVEL_BITS = 5
 #: Levels of nodes of whole days, numbered from 0001-01-01; 2^22 days reach beyond the year 9999.
 DAY_LEVELS = 22
+#: Days of a block of running sums, as a power of 2.
+BLOCK = 10
 #: Distinct hashes of a tile, on average; tasks that tiles are dealt to at most.
 TILE, TILE_TASKS = 2048, 4096
 
@@ -114,6 +117,41 @@ def overlap_join(left: DataFrame, right: DataFrame, condition: Column | None = N
     return out.drop("k_", "whole_")
 
 
+def overlap_totals(left: DataFrame, right: DataFrame, value: str, *, start: str = "start", end: str = "end", out: str = "total") -> DataFrame:
+    """Rows of left whose date range any of right's overlaps, with `out`, the sum of `value` (whole numbers) over those of right.
+
+    No pairs are made: of right's ranges, those that have begun by a range's end, less those that have ended before its
+    start, overlap it. Both sums are running ones over days, in blocks of 2^BLOCK days and over the blocks (4,000 of
+    them to the year 9999). Pairs with a range that ends before it starts are joined, by overlap_join(). Missing days
+    are taken as there.
+    """
+    day = lambda c: F.unix_date(c).cast("long")
+    ranges = lambda df: df.filter(F.col(start).isNotNull()).withColumns({"a_": day(F.col(start)), "b_": day(F.coalesce(end, start))})
+    l, r = ranges(left), saved(ranges(right).select("a_", "b_", F.coalesce(value, F.lit(0)).cast("long").alias("v_")))
+    odd, none, one = F.col("b_") < F.col("a_"), F.lit(0).cast("long"), F.lit(1).cast("long")
+    sums = ["begun_", "begun_n_", "ended_", "ended_n_"]
+    at_day = lambda *cols: F.struct(*[c.alias(n) for c, n in zip(cols, ("day_", *sums), strict=True)])
+    ends = F.array(at_day(F.col("a_"), F.col("v_"), one, none, none), at_day(F.col("b_") + 1, none, none, F.col("v_"), one))
+    days = r.filter(~odd).select(F.explode(ends).alias("x")).select("x.*")
+    asked = l.select(F.explode(F.array("a_", "b_")).alias("day_")).distinct().select("day_", *[none.alias(c) for c in sums])
+    days = saved(days.union(asked).groupBy("day_").agg(*[F.sum(c).alias(c) for c in sums]).withColumn("block_", F.shiftright("day_", BLOCK)))
+    before = Window.orderBy("block_").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = days.groupBy("block_").agg(*[F.sum(c).alias(c) for c in sums]).select(F.col("block_").alias("of_"), *[F.coalesce(F.sum(c).over(before), none).alias(f"{c}0") for c in sums])
+    within = Window.partitionBy("block_").orderBy("day_").rowsBetween(Window.unboundedPreceding, 0)
+    running = days.select("day_", "block_", *[F.sum(c).over(within).alias(c) for c in sums]).join(blocks, F.col("block_") == F.col("of_"))
+    running = saved(running.select("day_", *[(F.col(c) + F.col(f"{c}0")).alias(c) for c in sums]))
+    at = lambda c, names: sized(running.select(F.col("day_").alias(c), *names))
+    found = l.join(at("b_", sums[:2]), "b_").join(at("a_", sums[2:]), "a_")
+    found = found.withColumns({"v_": F.when(odd, none).otherwise(F.col("begun_") - F.col("ended_")), "n_": F.when(odd, none).otherwise(F.col("begun_n_") - F.col("ended_n_"))})
+    odd_left, odd_right = l.filter(odd), r.filter(odd)
+    if not (odd_left.isEmpty() and odd_right.isEmpty()):
+        dates = lambda df, *more: df.select(F.date_from_unix_date(F.col("a_").cast("int")).alias("start"), F.date_from_unix_date(F.col("b_").cast("int")).alias("end"), *more)
+        pairs = overlap_join(dates(odd_left).distinct(), dates(r, "v_")).union(overlap_join(dates(l.filter(~odd)).distinct(), dates(odd_right, "v_")))
+        more = pairs.groupBy(day(F.col("l_start")).alias("a_"), day(F.col("l_end")).alias("b_")).agg(F.sum("r_v_").alias("more_"), F.count("*").alias("more_n_"))
+        found = found.join(more, ["a_", "b_"], "left").withColumns({"v_": F.col("v_") + F.coalesce("more_", none), "n_": F.col("n_") + F.coalesce("more_n_", none)})
+    return found.filter("n_ > 0").select(*left.columns, F.col("v_").alias(out))
+
+
 def alike_names(left: DataFrame, right: DataFrame) -> DataFrame:
     """(l, r) of all names of left(name) and right(name) that are alike(), each pair once. Names are distinct and not empty.
 

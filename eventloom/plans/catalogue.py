@@ -15,7 +15,7 @@ from ..functions.matching import alike, tracks_match
 from ..functions.phash import hash_squares
 from ..operators import aggregates as A
 from ..operators.graph import cut
-from ..operators.joins import find_same_event, first_match, hash_join, overlap_join
+from ..operators.joins import find_same_event, first_match, hash_join, overlap_join, overlap_totals
 from ..operators.lookup import alias_table, backfill, catalog_table, enrich_calendar, resolve
 from ..operators.upsert import merge_columns, upsert
 from ..operators.validate import validate
@@ -130,9 +130,8 @@ def q06c(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "customer").select("c_custkey", since.alias("start"), F.date_add(since, F.floor(F.abs("c_acctbal") * 7.3).cast("int")).alias("end"))
     day = F.col("o_orderdate").cast("date")
     o = table(spark, sf, "orders").groupBy(day.alias("start"), F.date_add(day, (F.col("o_orderkey") % 9).cast("int")).alias("end")).agg(F.count("*").alias("n"))
-    # Customers with one time are joined once.
-    times = overlap_join(c.select("start", "end").distinct(), o).groupBy(F.col("l_start").alias("start"), F.col("l_end").alias("end")).agg(F.sum("r_n").alias("orders"))
-    return c.hint("merge").join(times, ["start", "end"]).select("c_custkey", "orders")
+    whole = lambda df: df.dropna(subset=["start", "end"])
+    return overlap_totals(whole(c), whole(o), "n", out="orders").groupBy("c_custkey").agg(F.sum("orders").alias("orders"))
 
 
 @query("q07_alike", """WITH p AS (SELECT p_brand, lower(p_name) || CASE WHEN p_size % 2 = 0 THEN ' large' ELSE '' END AS n, CASE p_size % 3 WHEN 0 THEN '' WHEN 1 THEN 'TX' ELSE 'ok' END AS s, count(*) AS c FROM part GROUP BY ALL)
